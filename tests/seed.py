@@ -1,0 +1,78 @@
+"""Small known data set: 24 sales in three monthly batches, five stores, and a snapshot example."""
+
+import datetime as dt
+from decimal import Decimal
+
+from tillwise import schemas
+
+D = dt.date.fromisoformat
+
+# The expected KPI figures belong to exactly these sales
+# (order date, store, customer, product, quantity, unit price).
+SALES = """
+2026-01-05 Y001 CUST001 PRD001 2 50000
+2026-01-05 Y001 CUST002 PRD002 1 75000
+2026-01-08 Y002 CUST003 PRD001 3 50000
+2026-01-10 Y002 CUST004 PRD003 1 120000
+2026-01-12 Y003 CUST005 PRD002 2 75000
+2026-01-15 Y003 CUST001 PRD004 4 30000
+2026-01-18 Y004 CUST006 PRD001 1 50000
+2026-01-20 Y004 CUST007 PRD003 2 120000
+2026-01-22 Y005 CUST008 PRD004 5 30000
+2026-01-25 Y005 CUST009 PRD002 1 75000
+2026-02-03 Y001 CUST010 PRD003 2 120000
+2026-02-05 Y001 CUST011 PRD001 1 50000
+2026-02-08 Y002 CUST002 PRD004 3 30000
+2026-02-12 Y003 CUST012 PRD002 2 75000
+2026-02-15 Y004 CUST003 PRD001 4 50000
+2026-02-18 Y005 CUST013 PRD003 1 120000
+2026-02-22 Y005 CUST014 PRD004 2 30000
+2026-03-03 Y001 CUST002 PRD003 2 120000
+2026-03-05 Y001 CUST004 PRD001 1 50000
+2026-03-08 Y002 CUST003 PRD002 2 75000
+2026-03-10 Y002 CUST009 PRD004 3 30000
+2026-03-12 Y003 CUST010 PRD001 4 50000
+2026-03-15 Y004 CUST005 PRD003 1 120000
+2026-03-18 Y005 CUST008 PRD002 2 75000
+"""
+
+MONTHS = [D("2026-01-01"), D("2026-02-01"), D("2026-03-01")]
+AS_OF = D("2026-10-01")
+
+
+def sale(order_id, day, store, customer, product, qty, price, batch=None, total=None):
+    day = D(day) if isinstance(day, str) else day
+    total = Decimal(qty) * Decimal(price) if total is None else total
+    return (order_id, day, store, customer, product, int(qty), Decimal(price), Decimal(total), batch or day.replace(day=1))
+
+
+def sales(spark, rows=None):
+    if rows is None:
+        rows = [sale(i, *line.split()) for i, line in enumerate(SALES.split("\n")[1:-1], 1)]
+    return spark.createDataFrame(rows, schemas.SRC_SALES)
+
+
+def stores(spark, rows):
+    """Rows of (batch date, code, latitude, longitude)."""
+    full = [(c, la, lo, None, None, None, None, None, dt.datetime.combine(D(d), dt.time())) for d, c, la, lo in rows]
+    return spark.createDataFrame(full, schemas.SRC_STORE)
+
+
+def seed_stores(spark):
+    return stores(spark, [(str(m), f"Y00{i}", f"-{i}", "100") for m in MONTHS for i in range(1, 6)])
+
+
+def customers(spark, rows):
+    """Rows of (batch date, customer, tier[, email])."""
+    full = [
+        (c, f"name of {c}", e[0] if e else f"{c}@x", "1", "town", "land", D("2025-01-01"), t, D(d)) for d, c, t, *e in rows
+    ]
+    return spark.createDataFrame(full, schemas.SRC_CUSTOMER)
+
+
+def rows_of(df, *cols):
+    """Rows as tuples with decimals as floats, sorted."""
+    def plain(v):
+        return float(v) if isinstance(v, Decimal) else v
+    out = [tuple(plain(v) for v in r) for r in df.select(*(cols or df.columns)).collect()]
+    return sorted(out, key=lambda r: tuple((v is not None, str(type(v)), v) if v is not None else (False, "", "") for v in r))
