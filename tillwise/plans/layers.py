@@ -1,7 +1,7 @@
 """How every derived table follows from the others.
 
-``Layers`` builds tables on demand: asking for one builds what it needs first. A ``keep`` function
-decides what happens to a finished table (written and read back, or left lazy).
+``Layers`` builds tables on demand: asking for one builds what it needs first. Every table built
+passes through ``keep``, which may write it and return the stored copy, or leave it lazy.
 """
 
 from __future__ import annotations
@@ -84,8 +84,7 @@ class Layers(Mapping[str, DataFrame]):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
-            built = self._build(name)
-            self._tables[name] = self._keep(built, name) if name in DOMAINS else built
+            self._tables[name] = self._keep(self._build(name), name)
         return self._tables[name]
 
     def __contains__(self, name: object) -> bool:

@@ -107,6 +107,8 @@ class RetailWarehouse:
 
     def marts(self, as_of: dt.date) -> None:
         def keep(df: DataFrame, name: str) -> DataFrame:
+            if name not in DOMAINS:
+                return df
             write_table(df, self._path(name), sort_by=SORT_KEYS[name])
             return self.table(name)
 
