@@ -504,7 +504,7 @@ def _(t):
     SELECT month, {n('orders', 'total_orders')}, {n('buyers', 'unique_customers')}, {n('stores', 'active_stores')},
            {n('qty', 'total_qty')}, {c('revenue_c', 'total_revenue')}, {c('aov_c', 'avg_order_value')} FROM day_months""")
 def _(t):
-    return sales_marts.monthly_from_daily(sales_marts.daily_sales(t["fact_sales"]))
+    return sales_marts.monthly_from_daily(sales_marts.daily_sales(t["fact_sales"], unique_orders=True))
 
 
 @entry("first_per_group", f"""
@@ -550,7 +550,7 @@ def _(t):
 
 @entry("prev_row", f"SELECT month, {c('lag(revenue_c) OVER (ORDER BY month)', 'before')} FROM day_months")
 def _(t):
-    months = sales_marts.monthly_from_daily(sales_marts.daily_sales(t["fact_sales"]))
+    months = sales_marts.monthly_from_daily(sales_marts.daily_sales(t["fact_sales"], unique_orders=True))
     return months.select("month", windows.prev("total_revenue", "month").alias("before"))
 
 
@@ -578,7 +578,7 @@ def _(t):
 
 @entry("share_of_total", f"SELECT month, {c(pct('revenue_c', 'sum(revenue_c) OVER ()'), 'share')} FROM day_months")
 def _(t):
-    months = sales_marts.monthly_from_daily(sales_marts.daily_sales(t["fact_sales"]))
+    months = sales_marts.monthly_from_daily(sales_marts.daily_sales(t["fact_sales"], unique_orders=True))
     return months.select("month", windows.share_of_total("total_revenue").alias("share"))
 
 
@@ -587,7 +587,7 @@ def _(t):
 
 @entry("sort_months", f"SELECT month, {n('orders', 'total_orders')} FROM revenue_k ORDER BY month")
 def _(t):
-    return kpis.kpi_revenue(t["fact_sales"]).select("month", "total_orders").orderBy(windows.asc("month"))
+    return kpis.kpi_revenue(t["fact_sales"], unique_orders=True).select("month", "total_orders").orderBy(windows.asc("month"))
 
 
 @entry("top_k", f"SELECT order_id, {c('total_c', 'total_amount')} FROM sales ORDER BY total_c DESC, order_id LIMIT 20")
@@ -608,8 +608,8 @@ def _(t):
 
 @entry("union_grains", f"SELECT grain, count(*) AS rows, {c('sum(revenue_c)', 'total')} FROM periods GROUP BY ALL")
 def _(t):
-    daily = sales_marts.daily_sales(t["fact_sales"]).select(F.lit("daily").alias("grain"), "total_revenue")
-    monthly = sales_marts.monthly_from_daily(sales_marts.daily_sales(t["fact_sales"])).select(F.lit("monthly").alias("grain"), "total_revenue")
+    daily = sales_marts.daily_sales(t["fact_sales"], unique_orders=True).select(F.lit("daily").alias("grain"), "total_revenue")
+    monthly = sales_marts.monthly_from_daily(sales_marts.daily_sales(t["fact_sales"], unique_orders=True)).select(F.lit("monthly").alias("grain"), "total_revenue")
     return relational.union_grains(daily, monthly).groupBy("grain").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("total_revenue").alias("total"))
 
@@ -727,19 +727,25 @@ def _(t):
 # === marts =========================================================================================
 
 
-@entry("store_performance", f"""
+_STORE_PERFORMANCE = f"""
     SELECT initial_store_code, month, {n('orders', 'total_orders')}, {n('buyers', 'unique_customers')}, {n('qty', 'total_qty_sold')},
            {c('revenue_c', 'total_revenue')}, {c('aov_c', 'avg_order_value')}, {n('rk', 'revenue_rank')},
-           {c('running_c', 'cumulative_revenue')} FROM store_perf""")
+           {c('running_c', 'cumulative_revenue')} FROM store_perf"""
+
+
+@entry("store_performance", _STORE_PERFORMANCE)
 def _(t):
-    return store_marts.store_performance(t["fact_sales"], t["code_history"])
+    return store_marts.store_performance(t["fact_sales"], t["code_history"], unique_orders=True)
 
 
-@entry("store_directory", f"""
+_STORE_DIRECTORY = f"""
     SELECT initial_store_code, current_code AS current_store_code, status, {d('active_since')}, {n('changes', 'total_code_changes')},
-           {c('revenue_c', 'lifetime_revenue')}, {n('orders', 'lifetime_orders')} FROM store_dir""")
+           {c('revenue_c', 'lifetime_revenue')}, {n('orders', 'lifetime_orders')} FROM store_dir"""
+
+
+@entry("store_directory", _STORE_DIRECTORY)
 def _(t):
-    return store_marts.store_directory(t["fact_sales"], t["code_history"])
+    return store_marts.store_directory(t["fact_sales"], t["code_history"], unique_orders=True)
 
 
 @entry("store_code_journey", "SELECT initial_store_code, string_agg(store_code, ' → ' ORDER BY start_date) AS code_journey FROM code_history GROUP BY ALL")
@@ -755,7 +761,7 @@ _SUMMARY = f"""
 
 @entry("sales_summary", _SUMMARY)
 def _(t):
-    return sales_marts.sales_summary(t["fact_sales"])
+    return sales_marts.sales_summary(t["fact_sales"], unique_orders=True)
 
 
 _BY_PRODUCT = f"""
@@ -766,13 +772,13 @@ _BY_PRODUCT = f"""
 
 @entry("sales_by_product", _BY_PRODUCT + " FROM products")
 def _(t):
-    return sales_marts.sales_by_product(t["fact_sales"])
+    return sales_marts.sales_by_product(t["fact_sales"], unique_orders=True)
 
 
 @entry("price_band", _BY_PRODUCT + """, CASE WHEN products.price_c < 120000 THEN 'Budget' WHEN products.price_c >= 160000 THEN 'Premium' ELSE 'Mid' END
     AS price_band FROM products""")
 def _(t):
-    return sales_marts.price_band(sales_marts.sales_by_product(t["fact_sales"]), 1200, 1600)
+    return sales_marts.price_band(sales_marts.sales_by_product(t["fact_sales"], unique_orders=True), 1200, 1600)
 
 
 _BY_CUSTOMER = f"""
@@ -786,12 +792,12 @@ _BY_CUSTOMER = f"""
 
 @entry("sales_by_customer", _BY_CUSTOMER + " FROM rated")
 def _(t):
-    return customer_marts.sales_by_customer(t["fact_sales"], AS_OF)
+    return customer_marts.sales_by_customer(t["fact_sales"], AS_OF, unique_orders=True)
 
 
 @entry("sales_by_customer_scaled", _BY_CUSTOMER + " FROM rated_scaled")
 def _(t):
-    return customer_marts.sales_by_customer(t["fact_sales"], AS_OF, SCALED_RFM)
+    return customer_marts.sales_by_customer(t["fact_sales"], AS_OF, SCALED_RFM, unique_orders=True)
 
 
 @entry("rfm_scores", f"SELECT customer_id, {n('r', 'recency_score')}, {n('f', 'frequency_score')}, {n('m', 'monetary_score')} FROM rated_scaled")
@@ -819,7 +825,7 @@ def _(t):
            {c('spend_c', 'lifetime_spend')}, {d('first_day', 'first_purchase_date')}, {d('last_day', 'last_purchase_date')},
            {n("DATE '2001-08-01' - last_day", 'days_since_last_purchase')} FROM profiles""")
 def _(t):
-    return customer_marts.customer_profile(t["dim_customer"], t["fact_sales"], AS_OF)
+    return customer_marts.customer_profile(t["dim_customer"], t["fact_sales"], AS_OF, unique_orders=True)
 
 
 # === KPIs ==========================================================================================
@@ -889,12 +895,12 @@ def _kpi_sql(name: str, columns: list[str] | None = None) -> str:
 
 @entry("kpi_revenue", _kpi_sql("kpi_revenue"))
 def _(t):
-    return kpis.kpi_revenue(t["fact_sales"])
+    return kpis.kpi_revenue(t["fact_sales"], unique_orders=True)
 
 
 @entry("kpi_orders", _kpi_sql("kpi_orders"))
 def _(t):
-    return kpis.kpi_orders(t["fact_sales"])
+    return kpis.kpi_orders(t["fact_sales"], unique_orders=True)
 
 
 @entry("kpi_customer_retention", _kpi_sql("kpi_customer_retention"))
@@ -904,21 +910,21 @@ def _(t):
 
 @entry("kpi_store", _kpi_sql("kpi_store"))
 def _(t):
-    return kpis.kpi_store(store_marts.store_performance(t["fact_sales"], t["code_history"]))
+    return kpis.kpi_store(store_marts.store_performance(t["fact_sales"], t["code_history"], unique_orders=True))
 
 
 @entry("kpi_product", _kpi_sql("kpi_product"))
 def _(t):
-    return kpis.kpi_product(sales_marts.sales_by_product(t["fact_sales"]))
+    return kpis.kpi_product(sales_marts.sales_by_product(t["fact_sales"], unique_orders=True))
 
 
 @entry("kpi_exec_summary", _kpi_sql("kpi_exec_summary"))
 def _(t):
     fact = t["fact_sales"]
     return kpis.kpi_exec_summary(
-        kpis.kpi_revenue(fact), kpis.kpi_orders(fact), kpis.kpi_customer_retention(fact),
-        kpis.kpi_store(store_marts.store_performance(fact, t["code_history"])),
-        kpis.kpi_product(sales_marts.sales_by_product(fact)))
+        kpis.kpi_revenue(fact, unique_orders=True), kpis.kpi_orders(fact, unique_orders=True), kpis.kpi_customer_retention(fact),
+        kpis.kpi_store(store_marts.store_performance(fact, t["code_history"], unique_orders=True)),
+        kpis.kpi_product(sales_marts.sales_by_product(fact, unique_orders=True)))
 
 
 # The same KPIs over order lines, where order ids repeat.
@@ -939,6 +945,26 @@ def _(t):
     return kpis.kpi_customer_retention(t["sales_lines"])
 
 
+@entry("store_performance_lines", _STORE_PERFORMANCE, "sales_lines")
+def _(t):
+    return store_marts.store_performance(t["sales_lines"], t["code_history"])
+
+
+@entry("store_directory_lines", _STORE_DIRECTORY, "sales_lines")
+def _(t):
+    return store_marts.store_directory(t["sales_lines"], t["code_history"])
+
+
+@entry("sales_by_product_lines", _BY_PRODUCT + " FROM products", "sales_lines")
+def _(t):
+    return sales_marts.sales_by_product(t["sales_lines"])
+
+
+@entry("sales_by_customer_lines", _BY_CUSTOMER + " FROM rated", "sales_lines")
+def _(t):
+    return customer_marts.sales_by_customer(t["sales_lines"], AS_OF)
+
+
 @entry("sales_summary_lines", _SUMMARY, "sales_lines")
 def _(t):
     return sales_marts.sales_summary(t["sales_lines"])

@@ -71,7 +71,8 @@ CTES: dict[str, str] = {
         SELECT l_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date, strftime(o_orderdate, '%Y-%m') AS month,
                {_code('l_suppkey', 'CAST(o_orderdate AS DATE)')} AS store_code,
                'C' || o_custkey AS customer_id, 'P' || l_partkey AS product_id, CAST(l_quantity AS BIGINT) AS quantity,
-               CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT) AS total_c
+               CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT) AS total_c,
+               CAST({half_up('CAST(l_extendedprice AS DECIMAL(12,2)) * 100', 'l_quantity')} AS BIGINT) AS price_c
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "src_store": f"""
         SELECT {_code('s_suppkey', 'day')} AS store_code, CAST(s_suppkey AS VARCHAR) AS latitude,

@@ -46,7 +46,8 @@ def store_code(key: Column, day: Column, renamed: Column) -> Column:
 
 class RetailTables(Layers):
     def __init__(self, spark: SparkSession, sf_dir: str):
-        super().__init__({}, AS_OF, keep=lambda df, name: store(df, name) if name in STORED else df)
+        # src_sales is grouped by order id
+        super().__init__({}, AS_OF, keep=lambda df, name: store(df, name) if name in STORED else df, unique_orders=True)
         self.spark = spark
         self.sf_dir = sf_dir
 

@@ -1,4 +1,7 @@
-"""Customer marts: value profile with RFM segments, and the customer directory."""
+"""Customer marts: value profile with RFM segments, and the customer directory.
+
+``unique_orders`` states that no order id occurs twice in the fact (see ``quality.check_unique``).
+"""
 
 from __future__ import annotations
 
@@ -10,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions import calendar, measures
-from tillwise.functions.aggregates import ordered_concat
+from tillwise.functions.aggregates import count_orders, least_row, ordered_concat
 from tillwise.functions.text import clean_email, clean_id, clean_name
-from tillwise.operators.relational import current_versions, least_by, left_star
+from tillwise.operators.relational import current_versions, left_star
 
 
 RATING_COLUMNS = ["recency_score", "frequency_score", "monetary_score", "customer_segment"]
@@ -54,25 +57,52 @@ def rfm_segment(scored: DataFrame) -> DataFrame:
     return scored.withColumn("customer_segment", segment)
 
 
-def favorite_product(fact: DataFrame) -> DataFrame:
+def _favorite() -> Column:
     """Product bought most by quantity; the lesser product id on equal quantity."""
-    qty = fact.groupBy("customer_id", "product_id").agg(F.sum("quantity").alias("qty"))
     # ascending order on the negative keeps "NULL quantity first"
     order = [F.col("qty").isNotNull(), -F.col("qty"), F.col("product_id")]
-    return least_by(qty, ["customer_id"], order, {"favorite_product_id": F.col("product_id")})
+    return least_row(*order, payload={"product": F.col("product_id")})["product"].alias("favorite_product_id")
+
 
+def _by_product(fact: DataFrame, *more: Column) -> DataFrame:
+    return fact.groupBy("customer_id", "product_id").agg(F.sum("quantity").alias("qty"), *more)
 
-def sales_by_customer(fact: DataFrame, as_of: dt.date, cfg: RfmConfig = RfmConfig()) -> DataFrame:
-    base = fact.groupBy("customer_id").agg(
-        F.countDistinct("order_id").alias("total_orders"),
+
+def favorite_product(fact: DataFrame) -> DataFrame:
+    return _by_product(fact).groupBy("customer_id").agg(_favorite())
+
+
+def sales_by_customer(
+    fact: DataFrame, as_of: dt.date, cfg: RfmConfig = RfmConfig(), *, unique_orders: bool = False
+) -> DataFrame:
+    """Value profile per customer.
+
+    Sales are reduced to (customer, product) first. Totals, product count and favourite product all
+    come from those rows, so only the distinct stores (and orders, unless unique) need a second
+    aggregation, and a customer with very many sales is spread over its products until then.
+    """
+    amount, day = F.col("total_amount"), F.col("order_date")
+    pairs = _by_product(
+        fact, F.sum(amount).alias("spend"), F.count(amount).alias("n"), F.min(day).alias("first"),
+        F.max(day).alias("last"), F.count("order_id").alias("orders"),
+    )
+    totals = pairs.groupBy("customer_id").agg(
+        F.sum("orders").alias("total_orders"),
+        F.count("product_id").alias("unique_products_bought"),
+        F.sum("qty").alias("total_qty"),
+        F.sum("spend").alias("total_spend"),
+        measures.ratio(F.sum("spend"), F.sum("n")).alias("avg_order_value"),
+        F.min("first").alias("first_purchase_date"),
+        F.max("last").alias("last_purchase_date"),
+        _favorite(),
+    )
+    visits = fact.groupBy(F.col("customer_id").alias("_id")).agg(
         F.countDistinct("store_code").alias("stores_visited"),
-        F.countDistinct("product_id").alias("unique_products_bought"),
-        F.sum("quantity").alias("total_qty"),
-        F.sum("total_amount").alias("total_spend"),
-        measures.mean("total_amount").alias("avg_order_value"),
-        F.min("order_date").alias("first_purchase_date"),
-        F.max("order_date").alias("last_purchase_date"),
+        *([] if unique_orders else [F.countDistinct("order_id").alias("_orders")]),
     )
+    base = totals.join(visits, F.col("customer_id").eqNullSafe(F.col("_id")))
+    if not unique_orders:
+        base = base.withColumn("total_orders", F.col("_orders"))
     first, last = F.col("first_purchase_date"), F.col("last_purchase_date")
     dated = base.withColumns({
         "customer_lifespan_days": calendar.days_between(last, first),
@@ -81,15 +111,17 @@ def sales_by_customer(fact: DataFrame, as_of: dt.date, cfg: RfmConfig = RfmConfi
     rated = rfm_segment(rfm_scores(dated, cfg))
     # sales without a customer are totalled but not rated
     known = F.col("customer_id").isNotNull()
-    rated = rated.withColumns({c: F.when(known, F.col(c)) for c in RATING_COLUMNS})
-    return left_star(rated, [favorite_product(fact)], "customer_id").select(
+    rated = rated.withColumns({c: F.when(known, F.col(c)) for c in ("favorite_product_id", *RATING_COLUMNS)})
+    return rated.select(
         "customer_id", "total_orders", "stores_visited", "unique_products_bought", "total_qty", "total_spend",
         "avg_order_value", "first_purchase_date", "last_purchase_date", "customer_lifespan_days",
         "days_since_last_purchase", "favorite_product_id", *RATING_COLUMNS,
     )
 
 
-def customer_profile(dim_customer: DataFrame, fact: DataFrame, as_of: dt.date) -> DataFrame:
+def customer_profile(
+    dim_customer: DataFrame, fact: DataFrame, as_of: dt.date, *, unique_orders: bool = False
+) -> DataFrame:
     """Current profile, tier history and lifetime sales of every customer with an open version."""
     versions = dim_customer.select(
         clean_id(F.col("customer_id")).alias("customer_id"), clean_name(F.col("full_name")).alias("full_name"),
@@ -101,7 +133,7 @@ def customer_profile(dim_customer: DataFrame, fact: DataFrame, as_of: dt.date) -
         (F.count(F.lit(1)) - 1).alias("changes"), ordered_concat("tier", "valid_from", " → ").alias("tier_journey")
     )
     lifetime = fact.groupBy("customer_id").agg(
-        F.countDistinct("order_id").alias("orders"),
+        count_orders(unique_orders).alias("orders"),
         F.sum("total_amount").alias("spend"),
         F.min("order_date").alias("first_purchase_date"),
         F.max("order_date").alias("last_purchase_date"),

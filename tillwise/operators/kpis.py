@@ -1,4 +1,7 @@
-"""Monthly KPIs. Each reduces its input to months first; everything after that is month-level."""
+"""Monthly KPIs. Each reduces its input to months first; everything after that is month-level.
+
+``unique_orders`` states that no order id occurs twice in the fact (see ``quality.check_unique``).
+"""
 
 from __future__ import annotations
 
@@ -6,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions import calendar, measures, windows
-from tillwise.functions.aggregates import least_row
+from tillwise.functions.aggregates import count_orders, least_row
 from tillwise.operators.relational import full_join_months
 
 
@@ -15,10 +18,10 @@ def _by_month(fact: DataFrame, *aggs: Column) -> DataFrame:
     return months.withColumn("month", calendar.month_key(F.col("_m"))).drop("_m")
 
 
-def kpi_revenue(fact: DataFrame) -> DataFrame:
+def kpi_revenue(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
     months = _by_month(
         fact,
-        F.countDistinct("order_id").alias("total_orders"),
+        count_orders(unique_orders).alias("total_orders"),
         F.countDistinct("customer_id").alias("unique_buyers"),
         F.sum("total_amount").alias("total_revenue"),
         F.sum("quantity").alias("total_qty_sold"),
@@ -32,10 +35,10 @@ def kpi_revenue(fact: DataFrame) -> DataFrame:
     )
 
 
-def kpi_orders(fact: DataFrame) -> DataFrame:
+def kpi_orders(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
     months = _by_month(
         fact,
-        F.countDistinct("order_id").alias("total_orders"),
+        count_orders(unique_orders).alias("total_orders"),
         F.countDistinct("customer_id").alias("unique_buyers"),
         F.countDistinct("store_code").alias("active_stores"),
         F.countDistinct("product_id").alias("distinct_products"),
@@ -71,10 +74,10 @@ def kpi_customer_retention(fact: DataFrame) -> DataFrame:
     pairs = fact.filter("customer_id is not null").select(
         "customer_id", calendar.month_start(F.col("order_date")).alias("_m")
     ).distinct()
-    visits = Window.partitionBy("customer_id")
+    visits = windows.by(["customer_id"], m.asc_nulls_last())
     marked = pairs.withColumns({
-        "_first": F.min(m).over(visits),
-        "_before": F.lag(m).over(visits.orderBy(m.asc_nulls_last())),
+        "_first": F.min(m).over(visits.rowsBetween(Window.unboundedPreceding, 0)),
+        "_before": F.lag(m).over(visits),
     })
     months = marked.groupBy("_m").agg(
         F.count("customer_id").alias("total_buyers"),
@@ -93,14 +96,17 @@ def kpi_customer_retention(fact: DataFrame) -> DataFrame:
 
 
 def kpi_store(store_performance: DataFrame) -> DataFrame:
-    """Network KPIs from the store mart, in one aggregation: its rank column already orders the stores."""
+    """Network KPIs from the store mart (one row per store and month), in one aggregation.
+
+    The mart's rank column already orders the stores of a month.
+    """
     code, revenue, rank = F.col("initial_store_code"), F.col("total_revenue"), F.col("revenue_rank")
     top = least_row(code, payload={
         "code": code, "revenue": revenue, "orders": F.col("total_orders"), "customers": F.col("unique_customers"),
     }, where=rank == 1)
     bottom = least_row(revenue, code, payload={"code": code, "revenue": revenue})
     months = store_performance.filter("month is not null").groupBy("month").agg(
-        F.countDistinct(code).alias("active_store_count"),
+        F.count(code).alias("active_store_count"),
         F.sum(revenue).alias("total_market_revenue"),
         F.sum("total_orders").alias("market_total_orders"),
         F.sum("unique_customers").alias("market_unique_customers"),
@@ -127,7 +133,7 @@ def kpi_store(store_performance: DataFrame) -> DataFrame:
 
 
 def kpi_product(sales_by_product: DataFrame) -> DataFrame:
-    """Portfolio KPIs from the product mart, in one aggregation over its rank columns."""
+    """Portfolio KPIs from the product mart (one row per product and month), in one aggregation."""
     product, revenue, qty = F.col("product_id"), F.col("total_revenue"), F.col("total_qty_sold")
     best = least_row(product, payload={
         "product": product, "revenue": revenue, "qty": qty,
@@ -135,7 +141,7 @@ def kpi_product(sales_by_product: DataFrame) -> DataFrame:
     }, where=F.col("revenue_rank") == 1)
     most = least_row(product, payload={"product": product, "qty": qty}, where=F.col("qty_rank") == 1)
     months = sales_by_product.filter("month is not null").groupBy("month").agg(
-        F.countDistinct(product).alias("distinct_products_sold"),
+        F.count(product).alias("distinct_products_sold"),
         F.sum(revenue).alias("total_product_revenue"),
         F.sum(qty).alias("total_qty_sold"),
         F.sum("total_transactions").alias("total_transactions"),

@@ -190,8 +190,11 @@ def monthly_buyers(fact: DataFrame) -> DataFrame:
 
 
 def retained_buyers(buyers: DataFrame) -> DataFrame:
-    """Buyers of a month who also bought in the calendar month before it."""
-    earlier = buyers.select(
-        "customer_id", calendar.month_key(F.add_months(F.to_date(F.concat("month", F.lit("-01"))), 1)).alias("month")
-    )
-    return buyers.join(earlier, ["customer_id", "month"], "left_semi")
+    """Buyers of a month who also bought in the calendar month before it; input one row per both.
+
+    The months of a customer are compared in order, in place of a self-join: one shuffle, and no
+    semi-join that the optimizer could push below the reduction to months.
+    """
+    before = windows.prev("month", "month", ["customer_id"])
+    marked = buyers.filter("customer_id is not null").withColumn("_before", before)
+    return marked.filter(F.col("_before") == calendar.prev_month_key(F.col("month"))).drop("_before")

@@ -1,4 +1,7 @@
-"""Sales marts: period summary, product by month, price bands."""
+"""Sales marts: period summary, product by month, price bands.
+
+``unique_orders`` states that no order id occurs twice in the fact (see ``quality.check_unique``).
+"""
 
 from __future__ import annotations
 
@@ -6,14 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions import calendar, measures, windows
-from tillwise.operators.relational import union_grains
-
-_NO_GROWTH = "decimal(38,2)"
+from tillwise.functions.aggregates import count_orders
 
 
-def daily_sales(fact: DataFrame) -> DataFrame:
+def daily_sales(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
     return fact.groupBy("order_date").agg(
-        F.countDistinct("order_id").alias("total_orders"),
+        count_orders(unique_orders).alias("total_orders"),
         F.countDistinct("customer_id").alias("unique_customers"),
         F.countDistinct("store_code").alias("active_stores"),
         F.sum("quantity").alias("total_qty"),
@@ -24,7 +25,11 @@ def daily_sales(fact: DataFrame) -> DataFrame:
 
 def monthly_from_daily(daily: DataFrame) -> DataFrame:
     """Months from days: customers are summed, stores are the best day, order value is a mean of means."""
-    return daily.groupBy("month").agg(
+    return _summed(daily, "month")
+
+
+def _summed(days: DataFrame, *keys: str) -> DataFrame:
+    return days.groupBy(*keys).agg(
         F.sum("total_orders").alias("total_orders"),
         F.sum("unique_customers").alias("unique_customers"),
         F.max("active_stores").alias("active_stores"),
@@ -34,26 +39,29 @@ def monthly_from_daily(daily: DataFrame) -> DataFrame:
     )
 
 
-def sales_summary(fact: DataFrame) -> DataFrame:
-    """Days and months in one table."""
-    measured = ["total_orders", "unique_customers", "active_stores", "total_qty", "total_revenue", "avg_order_value"]
-    daily = daily_sales(fact)
-    days = daily.select(
-        F.lit("daily").alias("grain"), F.col("order_date").cast("string").alias("period"), "month", *measured,
-        F.lit(None).cast(_NO_GROWTH).alias("revenue_growth_pct"),
+def sales_summary(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
+    """Days and months in one table.
+
+    Sales are reduced to days once. Each day then counts towards two periods, itself and its month;
+    a day's own period has that one row, which every aggregate leaves as it is.
+    """
+    periods = F.array(
+        F.struct(F.lit("daily").alias("grain"), F.col("order_date").cast("string").alias("period")),
+        F.struct(F.lit("monthly").alias("grain"), F.col("month").alias("period")),
     )
-    growth = measures.growth_pct(F.col("total_revenue"), windows.prev("total_revenue", "month"))
-    months = monthly_from_daily(daily).select(
-        F.lit("monthly").alias("grain"), F.col("month").alias("period"), "month", *measured,
-        growth.cast(_NO_GROWTH).alias("revenue_growth_pct"),
+    days = daily_sales(fact, unique_orders=unique_orders).select("*", F.inline(periods))
+    both = _summed(days, "grain", "period", "month")
+    growth = measures.growth_pct(F.col("total_revenue"), windows.prev("total_revenue", "month", ["grain"]))
+    return both.select(
+        "grain", "period", "month", "total_orders", "unique_customers", "active_stores", "total_qty", "total_revenue",
+        "avg_order_value", F.when(F.col("grain") == "monthly", growth).alias("revenue_growth_pct"),
     )
-    return union_grains(days, months)
 
 
-def sales_by_product(fact: DataFrame) -> DataFrame:
+def sales_by_product(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
     """Product x month with ranks inside the month."""
     monthly = fact.groupBy("product_id", calendar.month_start(F.col("order_date")).alias("_m")).agg(
-        F.countDistinct("order_id").alias("total_transactions"),
+        count_orders(unique_orders).alias("total_transactions"),
         F.countDistinct("customer_id").alias("unique_buyers"),
         F.countDistinct("store_code").alias("sold_in_stores"),
         F.sum("quantity").alias("total_qty_sold"),

@@ -1,4 +1,7 @@
-"""Store marts: monthly performance and the store directory."""
+"""Store marts: monthly performance and the store directory.
+
+``unique_orders`` states that no order id occurs twice in the fact (see ``quality.check_unique``).
+"""
 
 from __future__ import annotations
 
@@ -6,17 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions import calendar, measures, windows
-from tillwise.functions.aggregates import least_row, ordered_concat
+from tillwise.functions.aggregates import count_orders, least_row, ordered_concat
 from tillwise.operators.relational import asof_version_join, left_star
 from tillwise.schemas import OPEN_END
 
 
-def store_performance(fact: DataFrame, history: DataFrame) -> DataFrame:
+def store_performance(fact: DataFrame, history: DataFrame, *, unique_orders: bool = False) -> DataFrame:
     """Stable store x month. Sales that fit no code version form a group with a NULL store."""
     sales = fact.select("order_id", "order_date", "store_code", "customer_id", "quantity", "total_amount")
     placed = asof_version_join(sales, history, "store_code", "order_date")
     monthly = placed.groupBy("initial_store_code", calendar.month_start(F.col("order_date")).alias("_m")).agg(
-        F.countDistinct("order_id").alias("total_orders"),
+        count_orders(unique_orders).alias("total_orders"),
         F.countDistinct("customer_id").alias("unique_customers"),
         F.sum("quantity").alias("total_qty_sold"),
         F.sum("total_amount").alias("total_revenue"),
@@ -30,7 +33,7 @@ def store_performance(fact: DataFrame, history: DataFrame) -> DataFrame:
     )
 
 
-def store_directory(fact: DataFrame, history: DataFrame) -> DataFrame:
+def store_directory(fact: DataFrame, history: DataFrame, *, unique_orders: bool = False) -> DataFrame:
     """One row per stable store, with its lifetime sales.
 
     A store with several open versions (a code that came back) has one row for each of them.
@@ -50,7 +53,7 @@ def store_directory(fact: DataFrame, history: DataFrame) -> DataFrame:
         fact.select("order_id", "order_date", "store_code", "total_amount"), history, "store_code", "order_date", how="inner"
     )
     lifetime = placed.groupBy("initial_store_code").agg(
-        F.sum("total_amount").alias("revenue"), F.countDistinct("order_id").alias("orders")
+        F.sum("total_amount").alias("revenue"), count_orders(unique_orders).alias("orders")
     )
     return left_star(stores, [current, lifetime], "initial_store_code").select(
         "initial_store_code", "current_store_code", "status", "active_since", "total_code_changes",

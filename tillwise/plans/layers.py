@@ -43,11 +43,13 @@ class Layers(Mapping[str, DataFrame]):
         as_of: dt.date,
         rfm: RfmConfig = RfmConfig(),
         keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+        unique_orders: bool = False,
     ):
         self._tables = dict(base)
         self._as_of = as_of
         self._rfm = rfm
         self._keep = keep
+        self._unique = {"unique_orders": unique_orders}
 
     def _build(self, name: str) -> DataFrame:
         t = self.__getitem__
@@ -57,21 +59,21 @@ class Layers(Mapping[str, DataFrame]):
             case "closed_store":
                 return closed_store(t("code_history"), self._as_of)
             case "store_performance":
-                return store_marts.store_performance(t("fact_sales"), t("code_history"))
+                return store_marts.store_performance(t("fact_sales"), t("code_history"), **self._unique)
             case "store_directory":
-                return store_marts.store_directory(t("fact_sales"), t("code_history"))
+                return store_marts.store_directory(t("fact_sales"), t("code_history"), **self._unique)
             case "sales_summary":
-                return sales_marts.sales_summary(t("fact_sales"))
+                return sales_marts.sales_summary(t("fact_sales"), **self._unique)
             case "sales_by_product":
-                return sales_marts.sales_by_product(t("fact_sales"))
+                return sales_marts.sales_by_product(t("fact_sales"), **self._unique)
             case "sales_by_customer":
-                return customer_marts.sales_by_customer(t("fact_sales"), self._as_of, self._rfm)
+                return customer_marts.sales_by_customer(t("fact_sales"), self._as_of, self._rfm, **self._unique)
             case "customer_profile":
-                return customer_marts.customer_profile(t("dim_customer"), t("fact_sales"), self._as_of)
+                return customer_marts.customer_profile(t("dim_customer"), t("fact_sales"), self._as_of, **self._unique)
             case "kpi_revenue":
-                return kpis.kpi_revenue(t("fact_sales"))
+                return kpis.kpi_revenue(t("fact_sales"), **self._unique)
             case "kpi_orders":
-                return kpis.kpi_orders(t("fact_sales"))
+                return kpis.kpi_orders(t("fact_sales"), **self._unique)
             case "kpi_customer_retention":
                 return kpis.kpi_customer_retention(t("fact_sales"))
             case "kpi_store":

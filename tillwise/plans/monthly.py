@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillwise.operators import facts, identity, snapshots
 from tillwise.operators.customer_marts import RfmConfig
-from tillwise.operators.quality import run_checks
+from tillwise.operators.quality import check_unique, run_checks
 from tillwise.operators.relational import one_batch, upto_batch
 from tillwise.plans.layers import DOMAINS, KPIS, MARTS, SORT_KEYS, Layers
 from tillwise.sources.tables import append_rows, read_latest, read_table, write_batch, write_table
@@ -101,9 +101,11 @@ class RetailWarehouse:
         )
         write_batch(after, path, day, sort_by=["store_code"])
 
-    def layers(self, as_of: dt.date, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> Layers:
+    def layers(
+        self, as_of: dt.date, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df, *, unique_orders: bool = False
+    ) -> Layers:
         base = {name: self.table(name) for name in ("fact_sales", "code_history", "dim_customer")}
-        return Layers(base, as_of, self.rfm, keep)
+        return Layers(base, as_of, self.rfm, keep, unique_orders)
 
     def marts(self, as_of: dt.date) -> None:
         def keep(df: DataFrame, name: str) -> DataFrame:
@@ -112,7 +114,9 @@ class RetailWarehouse:
             write_table(df, self._path(name), sort_by=SORT_KEYS[name])
             return self.table(name)
 
-        built = self.layers(as_of, keep)
+        # one pass over the order ids here spares every mart its own
+        unique = check_unique(self.table("fact_sales"), ["order_id"]).isEmpty()
+        built = self.layers(as_of, keep, unique_orders=unique)
         for name in (*MARTS, *KPIS):
             built[name]
 
