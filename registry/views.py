@@ -25,9 +25,12 @@ CODE_B, CODE_C = dt.date(1997, 1, 1), dt.date(1999, 1, 1)
 CORRECTIONS = [dt.date(2001, 9, 1), dt.date(2001, 10, 1), dt.date(2001, 11, 1)]
 SCALED_RFM = RfmConfig(orders=(11, 8), spend=(Decimal(2400000), Decimal(1700000)))
 
+# the widest decimal that is held as a plain long
+PRICE = "decimal(18,2)"
+
 # read by many queries, so written once
 STORED = {
-    "fact_sales", "code_history", "dim_customer", "store_performance", "store_directory", "sales_summary",
+    "fact_sales", "sales_lines", "code_history", "dim_customer", "store_performance", "store_directory", "sales_summary",
     "sales_by_product", "sales_by_customer", "customer_profile", "kpi_revenue", "kpi_orders",
     "kpi_customer_retention", "kpi_store", "kpi_product", "kpi_exec_summary",
 }
@@ -80,7 +83,8 @@ class RetailTables(Layers):
             F.concat(F.lit(" "), F.lower(code)).alias("store_code"),
             F.concat(F.lit("c"), F.col("ck").cast("string")).alias("customer_id"),
             F.concat(F.lit("p"), F.col("pk").cast("string"), F.lit(" ")).alias("product_id"),
-            "quantity", F.round(F.col("total_amount") / F.col("quantity"), 2).alias("unit_price"), "total_amount",
+            "quantity", F.round(F.col("total_amount") / F.col("quantity"), 2).cast(PRICE).alias("unit_price"),
+            F.col("total_amount").cast(PRICE).alias("total_amount"),
             F.trunc("order_date", "MM").alias("partition_time"),
         )
 
@@ -95,8 +99,8 @@ class RetailTables(Layers):
             F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("customer_id"),
             F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("product_id"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
-            F.round(amount / F.col("l_quantity").cast("bigint"), 2).alias("unit_price"),
-            amount.alias("total_amount"), F.trunc(day, "MM").alias("partition_time"),
+            F.round(amount / F.col("l_quantity").cast("bigint"), 2).cast(PRICE).alias("unit_price"),
+            amount.cast(PRICE).alias("total_amount"), F.trunc(day, "MM").alias("partition_time"),
         )
 
     def _src_store(self) -> DataFrame:
@@ -155,7 +159,7 @@ class RetailTables(Layers):
         loads = F.explode(F.array(*[F.lit(d) for d in CORRECTIONS])).alias("load")
         rows = self["fact_sales"].drop("partition_time").select("*", loads)
         order, second, third = F.col("order_id"), F.lit(CORRECTIONS[1]), F.lit(CORRECTIONS[2])
-        price = F.when((order % 7 == 0) & (F.col("load") >= third), F.col("unit_price") + 1).otherwise(F.col("unit_price"))
+        price = F.when((order % 7 == 0) & (F.col("load") >= third), F.col("unit_price") + 1).otherwise(F.col("unit_price")).cast(PRICE)
         qty = F.when((order % 5 == 0) & (F.col("load") >= second), F.col("quantity") + 1).otherwise(F.col("quantity"))
         return rows.filter((order % 11 != 0) | (F.col("load") >= second)).select(
             "order_id", "order_date", "store_code", "customer_id", "product_id",

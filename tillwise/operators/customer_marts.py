@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,11 +58,12 @@ def rfm_segment(scored: DataFrame) -> DataFrame:
     return scored.withColumn("customer_segment", segment)
 
 
-def _favorite() -> Column:
+def _favorite(where: Column | None = None) -> Column:
     """Product bought most by quantity; the lesser product id on equal quantity."""
     # ascending order on the negative keeps "NULL quantity first"
     order = [F.col("qty").isNotNull(), -F.col("qty"), F.col("product_id")]
-    return least_row(*order, payload={"product": F.col("product_id")})["product"].alias("favorite_product_id")
+    picked = least_row(*order, payload={"product": F.col("product_id")}, where=where)
+    return picked["product"].alias("favorite_product_id")
 
 
 def _by_product(fact: DataFrame, *more: Column) -> DataFrame:
@@ -77,32 +79,31 @@ def sales_by_customer(
 ) -> DataFrame:
     """Value profile per customer.
 
-    Sales are reduced to (customer, product) first. Totals, product count and favourite product all
-    come from those rows, so only the distinct stores (and orders, unless unique) need a second
-    aggregation, and a customer with very many sales is spread over its products until then.
+    Sales are reduced to (customer, product), (customer, store) and, unless orders are unique,
+    (customer, order) rows; each reduction spreads a customer with very many sales over its products,
+    stores or orders. Their union is then aggregated per customer, which takes one shuffle and no join.
     """
     amount, day = F.col("total_amount"), F.col("order_date")
-    pairs = _by_product(
+    bought = _by_product(
         fact, F.sum(amount).alias("spend"), F.count(amount).alias("n"), F.min(day).alias("first"),
-        F.max(day).alias("last"), F.count("order_id").alias("orders"),
-    )
-    totals = pairs.groupBy("customer_id").agg(
+        F.max(day).alias("last"), *([F.count("order_id").alias("orders")] if unique_orders else []),
+    ).withColumn("bought", F.lit(True))
+    parts = [bought, fact.select("customer_id", "store_code").distinct()]
+    if not unique_orders:
+        orders = fact.select("customer_id", "order_id").distinct()
+        parts.append(orders.select("customer_id", F.col("order_id").isNotNull().cast("long").alias("orders")))
+    together = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
+    base = together.groupBy("customer_id").agg(
         F.sum("orders").alias("total_orders"),
+        F.count("store_code").alias("stores_visited"),
         F.count("product_id").alias("unique_products_bought"),
         F.sum("qty").alias("total_qty"),
         F.sum("spend").alias("total_spend"),
         measures.ratio(F.sum("spend"), F.sum("n")).alias("avg_order_value"),
         F.min("first").alias("first_purchase_date"),
         F.max("last").alias("last_purchase_date"),
-        _favorite(),
+        _favorite(where=F.col("bought")),
     )
-    visits = fact.groupBy(F.col("customer_id").alias("_id")).agg(
-        F.countDistinct("store_code").alias("stores_visited"),
-        *([] if unique_orders else [F.countDistinct("order_id").alias("_orders")]),
-    )
-    base = totals.join(visits, F.col("customer_id").eqNullSafe(F.col("_id")))
-    if not unique_orders:
-        base = base.withColumn("total_orders", F.col("_orders"))
     first, last = F.col("first_purchase_date"), F.col("last_purchase_date")
     dated = base.withColumns({
         "customer_lifespan_days": calendar.days_between(last, first),
