@@ -16,6 +16,7 @@ from tillwise.functions import aggregates, calendar, measures, text, windows
 from tillwise.operators import (
     customer_marts, facts, identity, kpis, quality, relational, reports, sales_marts, snapshots, store_marts,
 )
+from tillwise.plans.monthly import RetailWarehouse
 from tillwise.schemas import TIERS
 from tillwise.sources import tables as sinks
 from tillwise.sources.shared import shared_root
@@ -970,6 +971,19 @@ def _(t):
     return sales_marts.sales_summary(t["sales_lines"])
 
 
+# === full build and one batch on a warehouse folder ================================================
+
+
+@entry("warehouse_full_then_batch", _kpi_sql("kpi_exec_summary"))
+def _(t):
+    """All batches but the last are built at once, the last one is added; the result is that of all."""
+    sources = {name: t[name] for name in ("src_sales", "src_store", "src_customer", "src_store_detail")}
+    warehouse = RetailWarehouse(t.spark, _fresh_path(t))
+    warehouse.full(sources, dt.date(2001, 7, 1), AS_OF, with_marts=False)
+    warehouse.batch(sources, LAST_MONTH, AS_OF)
+    return warehouse.table("kpi_exec_summary")
+
+
 # === reports =======================================================================================
 
 

@@ -52,6 +52,12 @@ def sales(spark, rows=None):
     return spark.createDataFrame(rows, schemas.SRC_SALES)
 
 
+def load_fixture(spark):
+    """The small data set as source tables."""
+    tiers = [(str(m), f"CUST{i:03d}", "Bronze") for m in MONTHS for i in range(1, 15)]
+    return {"src_sales": sales(spark), "src_store": seed_stores(spark), "src_customer": customers(spark, tiers)}
+
+
 def stores(spark, rows):
     """Rows of (batch date, code, latitude, longitude)."""
     full = [(c, la, lo, None, None, None, None, None, dt.datetime.combine(D(d), dt.time())) for d, c, la, lo in rows]

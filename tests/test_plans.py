@@ -94,6 +94,15 @@ def test_scan_reads_only_what_it_needs(skewed):
     assert "PushedFilters: [IsNotNull(partition_time), IsNotNull(customer_id), LessThan(partition_time,2026-02-02)]" in text or "LessThan(partition_time,2026-02-02)" in text
 
 
+def test_groups_are_cut_down_before_the_shuffle(skewed):
+    first = plan(relational.first_per_group(skewed, ["customer_id"], [F.col("order_date")], "order_id"))
+    assert first.index("WindowGroupLimit", first.index("Exchange")) > 0  # below the exchange too
+    assert plan(relational.top_k_sum(skewed, "store_code", "total_amount", 3, "s")).count("WindowGroupLimit") == 2
+    assert "TakeOrderedAndProject" in plan(relational.top_k(skewed, [F.col("order_id")], 5))
+    month = plan(kpis.kpi_product(sales_marts.sales_by_product(skewed)))
+    assert "rank(" not in month
+
+
 def test_month_rank_reads_sales_once(skewed):
     assert plan(kpis.kpi_product(sales_marts.sales_by_product(skewed))).count("FileScan") == 1
     assert plan(sales_marts.sales_summary(skewed)).count("FileScan") == 1

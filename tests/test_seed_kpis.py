@@ -5,20 +5,17 @@ import seed
 
 from tillwise.operators import facts, identity, kpis
 from tillwise.operators.reports import REPORTS, report
+from tillwise.operators.snapshots import customer_history
 from tillwise.plans.layers import Layers
 
 
 @pytest.fixture(scope="module")
 def layers(spark):
-    src = seed.sales(spark)
+    sources = seed.load_fixture(spark)
+    src = sources["src_sales"]
     fact = facts.build_fact_sales(src, seed.MONTHS[-1]).cache()
-    history = identity.build_code_history(seed.seed_stores(spark), seed.MONTHS[-1]).cache()
-    dim = seed.customers(spark, [("2026-01-01", f"CUST{i:03d}", "Bronze") for i in range(1, 15)])
-    from tillwise.operators.snapshots import customer_history
-    base = {
-        "src_sales": src, "fact_sales": fact, "code_history": history, "dim_customer": customer_history(dim),
-        "src_store": seed.seed_stores(spark), "src_customer": dim,
-    }
+    history = identity.build_code_history(sources["src_store"], seed.MONTHS[-1]).cache()
+    base = {**sources, "fact_sales": fact, "code_history": history, "dim_customer": customer_history(sources["src_customer"])}
     return Layers(base, seed.AS_OF, keep=lambda df, name: df.cache())
 
 

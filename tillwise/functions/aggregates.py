@@ -32,6 +32,11 @@ def _ordering(c: Column) -> list[Column]:
     return [c.isNull(), c]
 
 
+def descending(c: Column) -> list[Column]:
+    """Order for ``least_row``: largest first, NULL before all."""
+    return [c.isNotNull(), -c]
+
+
 def least_row(*order: Column, payload: dict[str, Column], where: Column | None = None) -> Column:
     """Struct of ``payload`` for the row that comes first by ``order`` (ascending, NULLs last).
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions import calendar, measures
-from tillwise.functions.aggregates import count_orders, least_row, ordered_concat
+from tillwise.functions.aggregates import count_orders, descending, least_row, ordered_concat
 from tillwise.functions.text import clean_email, clean_id, clean_name
 from tillwise.operators.relational import current_versions, left_star
 
@@ -60,8 +60,7 @@ def rfm_segment(scored: DataFrame) -> DataFrame:
 
 def _favorite(where: Column | None = None) -> Column:
     """Product bought most by quantity; the lesser product id on equal quantity."""
-    # ascending order on the negative keeps "NULL quantity first"
-    order = [F.col("qty").isNotNull(), -F.col("qty"), F.col("product_id")]
+    order = [*descending(F.col("qty")), F.col("product_id")]
     picked = least_row(*order, payload={"product": F.col("product_id")}, where=where)
     return picked["product"].alias("favorite_product_id")
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions import calendar, measures, windows
-from tillwise.functions.aggregates import count_orders, least_row
+from tillwise.functions.aggregates import count_orders, descending, least_row
 from tillwise.operators.relational import full_join_months
 
 
@@ -133,13 +133,17 @@ def kpi_store(store_performance: DataFrame) -> DataFrame:
 
 
 def kpi_product(sales_by_product: DataFrame) -> DataFrame:
-    """Portfolio KPIs from the product mart (one row per product and month), in one aggregation."""
+    """Portfolio KPIs from the product mart (one row per product and month), in one aggregation.
+
+    Leaders are picked inside it and not by the mart's ranks, so over a lazily built mart the rank
+    windows are pruned away.
+    """
     product, revenue, qty = F.col("product_id"), F.col("total_revenue"), F.col("total_qty_sold")
-    best = least_row(product, payload={
+    best = least_row(*descending(revenue), product, payload={
         "product": product, "revenue": revenue, "qty": qty,
         "buyers": F.col("unique_buyers"), "stores": F.col("sold_in_stores"),
-    }, where=F.col("revenue_rank") == 1)
-    most = least_row(product, payload={"product": product, "qty": qty}, where=F.col("qty_rank") == 1)
+    })
+    most = least_row(*descending(qty), product, payload={"product": product, "qty": qty})
     months = sales_by_product.filter("month is not null").groupBy("month").agg(
         F.count(product).alias("distinct_products_sold"),
         F.sum(revenue).alias("total_product_revenue"),

@@ -58,8 +58,11 @@ class RetailWarehouse:
             return state
         return read_table(self.spark, self._path(name))
 
-    def full(self, sources: Mapping[str, DataFrame], cutoff: dt.date, as_of: dt.date) -> None:
-        """Build everything from all batches up to the cut-off."""
+    def full(self, sources: Mapping[str, DataFrame], cutoff: dt.date, as_of: dt.date, *, with_marts: bool = True) -> None:
+        """Build everything from all batches up to the cut-off.
+
+        Without marts, here or in ``batch``, when more batches follow and would rebuild them anyway.
+        """
         fact = facts.build_fact_sales(sources["src_sales"], cutoff)
         write_table(fact, self._path("fact_sales"), partition_by=["partition_time"])
         history = identity.build_code_history(sources["src_store"], cutoff)
@@ -70,9 +73,10 @@ class RetailWarehouse:
                 repeated = batches.groupBy(key, "partition_time").count().filter("count > 1")
                 _require_empty(repeated, f"{source} repeats a key inside a batch")
                 write_batch(rebuild(batches), self._path(name), cutoff, sort_by=[key])
-        self.marts(as_of)
+        if with_marts:
+            self.marts(as_of)
 
-    def batch(self, sources: Mapping[str, DataFrame], day: dt.date, as_of: dt.date) -> None:
+    def batch(self, sources: Mapping[str, DataFrame], day: dt.date, as_of: dt.date, *, with_marts: bool = True) -> None:
         """Add one batch: store codes, sales, dimensions, then rebuild marts and KPIs.
 
         Batches are to be run in date order. Running one again changes nothing.
@@ -88,7 +92,8 @@ class RetailWarehouse:
                 before = read_latest(self.spark, self._path(name), before=day)
                 after = rebuild(upto_batch(sources[source], day)) if before is None else step(before, sources[source], day)
                 write_batch(after, self._path(name), day, sort_by=[key])
-        self.marts(as_of)
+        if with_marts:
+            self.marts(as_of)
 
     def _merge_history(self, src_store: DataFrame, day: dt.date) -> None:
         _require_empty(identity.conflicting_codes(src_store, day), f"one location reports several codes on {day}")
