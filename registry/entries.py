@@ -444,11 +444,10 @@ def _(t):
 
 @entry("multi_distinct", """
     SELECT l_returnflag, count(DISTINCT l_orderkey) AS orders, count(DISTINCT l_partkey) AS parts,
-           count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_shipdate) AS days FROM lineitem GROUP BY ALL""")
+           count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_shipdate) AS days, max(l_tax) AS top_tax FROM lineitem GROUP BY ALL""")
 def _(t):
-    return t.raw("lineitem").groupBy("l_returnflag").agg(
-        F.countDistinct("l_orderkey").alias("orders"), F.countDistinct("l_partkey").alias("parts"),
-        F.countDistinct("l_suppkey").alias("suppliers"), F.countDistinct("l_shipdate").alias("days"))
+    columns = {"orders": "l_orderkey", "parts": "l_partkey", "suppliers": "l_suppkey", "days": "l_shipdate"}
+    return relational.aggregate_distinct(t.raw("lineitem"), {"l_returnflag": F.col("l_returnflag")}, columns, F.max("l_tax").alias("top_tax"))
 
 
 @entry("count_if_distinct", """

@@ -103,7 +103,21 @@ def test_groups_are_cut_down_before_the_shuffle(skewed):
     assert "rank(" not in month
 
 
-def test_month_rank_reads_sales_once(skewed):
-    assert plan(kpis.kpi_product(sales_marts.sales_by_product(skewed))).count("FileScan") == 1
-    assert plan(sales_marts.sales_summary(skewed)).count("FileScan") == 1
+def test_sales_are_not_copied_or_joined_to_themselves(skewed):
+    for df in (kpis.kpi_orders(skewed), sales_marts.sales_summary(skewed), sales_marts.sales_by_product(skewed)):
+        assert "Expand" not in plan(df) and "Join" not in plan(df)
     assert plan(kpis.kpi_customer_retention(skewed)).count("FileScan") == 1
+    assert plan(kpis.kpi_revenue(skewed, unique_orders=True)).count("FileScan") == 1
+
+
+def test_distinct_counts_read_narrow_columns(skewed):
+    text = plan(kpis.kpi_orders(skewed, unique_orders=True))
+    read = {frozenset(f.split(":")[0] for f in part.split(">")[0].split(",")) for part in text.split("ReadSchema: struct<")[1:]}
+    assert {frozenset(("order_date", c)) for c in ("customer_id", "store_code", "product_id")} <= read
+
+
+def test_distinct_aggregation(spark):
+    rows = [("a", 1, "x", 2), ("a", 1, None, 3), ("a", 2, None, None), (None, None, "y", 1), (None, None, "y", 1)]
+    df = spark.createDataFrame(rows, "k string, u int, v string, w int")
+    out = relational.aggregate_distinct(df, {"k": F.col("k")}, {"us": "u", "vs": "v"}, F.sum("w").alias("w"))
+    assert seed.rows_of(out, "k", "us", "vs", "w") == [(None, 0, 1, 2), ("a", 2, 1, 5)]

@@ -12,6 +12,11 @@ def count_orders(unique: bool) -> Column:
     return F.count("order_id") if unique else F.countDistinct("order_id")
 
 
+def order_count(name: str, unique: bool) -> tuple[list[Column], dict[str, str]]:
+    """The same for ``relational.aggregate_distinct``: ordinary aggregates, distinct counts."""
+    return ([F.count("order_id").alias(name)], {}) if unique else ([], {name: "order_id"})
+
+
 def count_if_distinct(cond: Column, c: Column) -> Column:
     return F.countDistinct(F.when(cond, c))
 

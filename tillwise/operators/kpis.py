@@ -9,20 +9,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions import calendar, measures, windows
-from tillwise.functions.aggregates import count_orders, descending, least_row
-from tillwise.operators.relational import full_join_months
+from tillwise.functions.aggregates import descending, least_row, order_count
+from tillwise.operators.relational import aggregate_distinct, full_join_months
 
 
-def _by_month(fact: DataFrame, *aggs: Column) -> DataFrame:
-    months = fact.groupBy(calendar.month_start(F.col("order_date")).alias("_m")).agg(*aggs)
+def _by_month(fact: DataFrame, unique_orders: bool, distincts: dict[str, str], *aggs: Column) -> DataFrame:
+    counted, orders = order_count("total_orders", unique_orders)
+    keys = {"_m": calendar.month_start(F.col("order_date"))}
+    months = aggregate_distinct(fact, keys, distincts | orders, *aggs, *counted)
     return months.withColumn("month", calendar.month_key(F.col("_m"))).drop("_m")
 
 
 def kpi_revenue(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
     months = _by_month(
-        fact,
-        count_orders(unique_orders).alias("total_orders"),
-        F.countDistinct("customer_id").alias("unique_buyers"),
+        fact, unique_orders, {"unique_buyers": "customer_id"},
         F.sum("total_amount").alias("total_revenue"),
         F.sum("quantity").alias("total_qty_sold"),
     ).withColumn("prev_month_revenue", windows.prev("total_revenue", "month"))
@@ -37,11 +37,8 @@ def kpi_revenue(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
 
 def kpi_orders(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
     months = _by_month(
-        fact,
-        count_orders(unique_orders).alias("total_orders"),
-        F.countDistinct("customer_id").alias("unique_buyers"),
-        F.countDistinct("store_code").alias("active_stores"),
-        F.countDistinct("product_id").alias("distinct_products"),
+        fact, unique_orders,
+        {"unique_buyers": "customer_id", "active_stores": "store_code", "distinct_products": "product_id"},
         F.sum("quantity").alias("total_qty_sold"),
         F.sum("total_amount").alias("total_revenue"),
         measures.mean("total_amount").alias("avg_order_value"),

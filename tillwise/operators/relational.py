@@ -129,6 +129,29 @@ def first_seen(df: DataFrame, keys: Sequence[str], col: str, name: str = "first_
     return df.groupBy(*keys).agg(F.min(col).alias(name))
 
 
+def aggregate_distinct(
+    df: DataFrame, keys: Mapping[str, Column], distincts: Mapping[str, str], *aggs: Column
+) -> DataFrame:
+    """Group by ``keys`` with ``aggs`` and the distinct counts ``{name: column}``.
+
+    Several distinct counts in one aggregation make Spark copy each row once per counted column, and
+    every copy carries all columns and buffers through the shuffle. Here each column is reduced on its
+    own, as (keys, value) only, and the counts meet as finished groups. One distinct count has no
+    copies and stays a single aggregation.
+    """
+    grouped = [expr.alias(name) for name, expr in keys.items()]
+    if len(distincts) < 2:
+        counts = [F.countDistinct(col).alias(name) for name, col in distincts.items()]
+        return df.groupBy(*grouped).agg(*aggs, *counts)
+    parts = [df.groupBy(*grouped).agg(*aggs)]
+    for name, col in distincts.items():
+        values = df.select(*grouped, col).distinct()
+        parts.append(values.groupBy(*keys).agg(F.count(col).alias(name)))
+    together = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
+    # every group is in every part, so each measure has one value per group
+    return together.groupBy(*keys).agg(*[F.max(c).alias(c) for c in together.columns if c not in keys])
+
+
 def global_agg(df: DataFrame, *exprs: Column) -> DataFrame:
     return df.agg(*exprs)
 

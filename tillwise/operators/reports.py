@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions import calendar, measures, windows
-from tillwise.operators.relational import count_rows, monthly_buyers, retained_buyers, row_counts, top_k
+from tillwise.operators.relational import aggregate_distinct, count_rows, monthly_buyers, retained_buyers, row_counts, top_k
 
 Tables = Mapping[str, DataFrame]
 REPORTS: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -224,10 +224,10 @@ def fact_date_range(tables: Tables) -> DataFrame:
 
 @_register
 def fact_month_profile(tables: Tables) -> DataFrame:
-    months = tables["fact_sales"].groupBy(calendar.month_start(F.col("order_date")).alias("_m")).agg(
+    months = aggregate_distinct(
+        tables["fact_sales"], {"_m": calendar.month_start(F.col("order_date"))},
+        {"total_orders": "order_id", "unique_buyers": "customer_id"},
         F.count(F.lit(1)).alias("orders"),
-        F.countDistinct("order_id").alias("total_orders"),
-        F.countDistinct("customer_id").alias("unique_buyers"),
         F.sum("total_amount").alias("revenue"),
         measures.mean("total_amount").alias("avg_order_value"),
     )

@@ -9,17 +9,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions import calendar, measures, windows
-from tillwise.functions.aggregates import count_orders
+from tillwise.functions.aggregates import order_count
+from tillwise.operators.relational import aggregate_distinct
 
 
 def daily_sales(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
-    return fact.groupBy("order_date").agg(
-        count_orders(unique_orders).alias("total_orders"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.countDistinct("store_code").alias("active_stores"),
+    counted, orders = order_count("total_orders", unique_orders)
+    return aggregate_distinct(
+        fact, {"order_date": F.col("order_date")},
+        {"unique_customers": "customer_id", "active_stores": "store_code"} | orders,
         F.sum("quantity").alias("total_qty"),
         F.sum("total_amount").alias("total_revenue"),
         measures.mean("total_amount").alias("avg_order_value"),
+        *counted,
     ).withColumn("month", calendar.month_key(F.col("order_date")))
 
 
@@ -60,15 +62,16 @@ def sales_summary(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
 
 def sales_by_product(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
     """Product x month with ranks inside the month."""
-    monthly = fact.groupBy("product_id", calendar.month_start(F.col("order_date")).alias("_m")).agg(
-        count_orders(unique_orders).alias("total_transactions"),
-        F.countDistinct("customer_id").alias("unique_buyers"),
-        F.countDistinct("store_code").alias("sold_in_stores"),
+    counted, orders = order_count("total_transactions", unique_orders)
+    monthly = aggregate_distinct(
+        fact, {"product_id": F.col("product_id"), "_m": calendar.month_start(F.col("order_date"))},
+        {"unique_buyers": "customer_id", "sold_in_stores": "store_code"} | orders,
         F.sum("quantity").alias("total_qty_sold"),
         F.sum("total_amount").alias("total_revenue"),
         measures.mean("unit_price").alias("avg_unit_price"),
         F.min("unit_price").alias("min_unit_price"),
         F.max("unit_price").alias("max_unit_price"),
+        *counted,
     )
     return monthly.select(
         "product_id", calendar.month_key(F.col("_m")).alias("month"), "total_transactions", "unique_buyers",
