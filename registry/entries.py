@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from tillwise.operators import (
 from tillwise.plans.monthly import RetailWarehouse
 from tillwise.schemas import TIERS
 from tillwise.sources import tables as sinks
-from tillwise.sources.shared import shared_root
+from tillwise.sources.shared import fresh_path, store
 
 Query = Callable[[RetailTables], DataFrame]
 SPARK: dict[str, Query] = {}
@@ -53,13 +53,6 @@ def run(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: plain(SPARK[name](tables(spark, sf_dir)))
 
 
-def _fresh_path(t: RetailTables) -> str:
-    root = shared_root(t.spark)
-    if root is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{root}/tillwise/{uuid.uuid4().hex}"
-
-
 # === scans and sinks ===============================================================================
 
 _BATCHES = "SELECT CAST(partition_time AS VARCHAR) AS partition_time, count(*) AS rows, CAST(sum(total_c) AS DOUBLE) / 1e2 AS total FROM sales"
@@ -71,29 +64,29 @@ def _per_batch(df: DataFrame) -> DataFrame:
 
 @entry("source_read", "SELECT CAST(day AS VARCHAR) AS partition_time, tier, count(*) AS rows FROM src_customer GROUP BY ALL")
 def _(t):
-    path = _fresh_path(t)
+    path = fresh_path(t.spark)
     sinks.write_table(t["src_customer"], path)
     return sinks.read_source(t.spark, path, "src_customer").groupBy("partition_time", "tier").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @entry("scan_upto_batch", _BATCHES + " WHERE partition_time <= DATE '1999-06-01' GROUP BY ALL")
 def _(t):
-    return _per_batch(relational.upto_batch(t["fact_sales"], MID))
+    return _per_batch(relational.upto_batch(t["fact_by_batch"], MID))
 
 
 @entry("scan_one_batch", _BATCHES + " WHERE partition_time = DATE '1999-06-01' GROUP BY ALL")
 def _(t):
-    return _per_batch(relational.one_batch(t["fact_sales"], MID))
+    return _per_batch(relational.one_batch(t["fact_by_batch"], MID))
 
 
 @entry("scan_all_batches", _BATCHES + " GROUP BY ALL")
 def _(t):
-    return _per_batch(relational.all_batches(t["fact_sales"]))
+    return _per_batch(relational.all_batches(t["fact_by_batch"]))
 
 
 @entry("table_overwrite", _BATCHES + " GROUP BY ALL")
 def _(t):
-    path = _fresh_path(t)
+    path = fresh_path(t.spark)
     for df in (relational.upto_batch(t["fact_sales"], MID), t["fact_sales"]):
         sinks.write_table(df, path)
     return _per_batch(sinks.read_table(t.spark, path, t["fact_sales"].schema))
@@ -101,7 +94,7 @@ def _(t):
 
 @entry("table_append", _BATCHES + " GROUP BY ALL")
 def _(t):
-    path, fact = _fresh_path(t), t["fact_sales"]
+    path, fact = fresh_path(t.spark), t["fact_sales"]
     sinks.append_rows(relational.upto_batch(fact, MID), path)
     stored = sinks.read_table(t.spark, path, fact.schema)
     sinks.append_rows(relational.not_in_target(fact, stored, "order_id"), path)
@@ -110,7 +103,7 @@ def _(t):
 
 @entry("table_layout", _BATCHES + " WHERE partition_time >= DATE '1999-06-01' GROUP BY ALL")
 def _(t):
-    path = _fresh_path(t)
+    path = fresh_path(t.spark)
     sinks.write_table(t["fact_sales"], path, partition_by=["partition_time"], sort_by=["store_code"])
     return _per_batch(sinks.read_table(t.spark, path).filter(F.col("partition_time") >= F.lit(MID)))
 
@@ -144,10 +137,10 @@ def _(t):
     return relational.count_rows(cleaned, ["store_code", "customer_id"])
 
 
-@entry("clean_name", f"SELECT customer_id, {_TITLE.format('full_name')} AS full_name FROM src_customer WHERE day = DATE '2002-01-01'")
+@entry("clean_name", f"SELECT customer_id, {_TITLE.format('full_name')} AS full_name, count(*) AS batches FROM src_customer GROUP BY ALL")
 def _(t):
-    last = relational.one_batch(t["src_customer"], YEARS[-1])
-    return last.select("customer_id", text.clean_name(F.col("full_name")).alias("full_name"))
+    return t["src_customer"].groupBy("customer_id", text.clean_name(F.col("full_name")).alias("full_name")).agg(
+        F.count(F.lit(1)).alias("batches"))
 
 
 @entry("clean_name_parts", f"SELECT p_partkey, {_TITLE.format('p_name')} AS p_name, {_TITLE.format('p_brand')} AS p_brand FROM part")
@@ -645,9 +638,18 @@ def _(t):
     return identity.merge_code_history(_state_1998(t), t["src_store"], dt.date(1999, 1, 1))
 
 
-@entry("conflicting_codes", "SELECT latitude, longitude, count(DISTINCT store_code) AS codes FROM src_store WHERE day = DATE '1999-01-01' GROUP BY ALL HAVING count(DISTINCT store_code) > 1")
+_CLASH = """
+    SELECT latitude, longitude, store_code, day FROM src_store UNION ALL
+    SELECT latitude, longitude, 'Q' || latitude AS store_code, day FROM src_store WHERE CAST(latitude AS BIGINT) % 7 = 0 AND month(day) = 1"""
+
+
+@entry("conflicting_codes", f"SELECT latitude, longitude, count(DISTINCT store_code) AS codes FROM ({_CLASH}) WHERE day = DATE '1999-01-01' GROUP BY ALL HAVING count(DISTINCT store_code) > 1")
 def _(t):
-    return identity.conflicting_codes(t["src_store"], dt.date(1999, 1, 1))
+    """Every seventh store reports a second code each January."""
+    stores = t["src_store"]
+    second = stores.filter((F.col("latitude").cast("bigint") % 7 == 0) & (F.month("partition_time") == 1))
+    second = second.withColumn("store_code", F.concat(F.lit("q"), F.col("latitude")))
+    return identity.conflicting_codes(stores.unionByName(second), dt.date(1999, 1, 1))
 
 
 _FACT = f"""SELECT order_id, {d('order_date')}, store_code, customer_id, product_id, quantity, {c('price_c', 'unit_price')},
@@ -674,8 +676,8 @@ def _(t):
     return identity.closed_store(t["code_history"], AS_OF)
 
 
-_DIM_SALES = f"""SELECT order_id, {n('quantity')}, {c('price_c', 'unit_price')}, {d('valid_from')}, {d('valid_to')} FROM dim_sales"""
-_DIM_SALES_COLUMNS = ["order_id", "quantity", "unit_price", "valid_from", "valid_to"]
+_DIM_SALES = f"""SELECT order_id, {d('order_date')}, store_code, customer_id, product_id, {n('quantity')}, {c('price_c', 'unit_price')},
+    {c('total_c', 'total_amount')}, {d('load', 'partition_time')}, {d('valid_from')}, {d('valid_to')} FROM dim_sales"""
 
 
 @entry("snapshot_check", _DIM_SALES)
@@ -684,31 +686,44 @@ def _(t):
     loads = t["sales_corrections"]
     before = snapshots.sales_history(relational.upto_batch(loads, CORRECTIONS[1]))
     last = relational.one_batch(loads, CORRECTIONS[2])
-    return snapshots.snapshot_sales(before, last, CORRECTIONS[2]).select(*_DIM_SALES_COLUMNS)
+    return snapshots.snapshot_sales(before, last, CORRECTIONS[2])
 
 
 @entry("snapshot_sales", _DIM_SALES)
 def _(t):
-    return snapshots.sales_history(t["sales_corrections"]).select(*_DIM_SALES_COLUMNS)
+    """Each load compared with the state before it, together with all older loads and with rows that have no id."""
+    loads = t["sales_corrections"]
+    nameless = loads.filter("order_id % 100 = 0").withColumn("order_id", F.lit(None).cast("bigint"))
+    state = None
+    for day in CORRECTIONS:
+        state = snapshots.snapshot_sales(state, relational.upto_batch(loads.union(nameless), day), day)
+    return state
 
 
-_DIM_CUSTOMER = f"SELECT customer_id, full_name, email, tier, {d('registered', 'registration_date')}, {d('day', 'partition_date')}, {d('valid_from')}, {d('valid_to')} FROM dim_customer"
-_DIM_CUSTOMER_COLUMNS = ["customer_id", "full_name", "email", "tier", "registration_date", "partition_date", "valid_from", "valid_to"]
+@entry("snapshot_sales_history", _DIM_SALES)
+def _(t):
+    return snapshots.sales_history(t["sales_corrections"])
+
+
+_DIM_CUSTOMER = f"SELECT customer_id, full_name, email, phone, city, province, tier, {d('registered', 'registration_date')}, {d('day', 'partition_date')}, {d('valid_from')}, {d('valid_to')} FROM dim_customer"
 
 
 @entry("snapshot_customer", _DIM_CUSTOMER)
 def _(t):
     before = snapshots.customer_history(relational.upto_batch(t["src_customer"], YEARS[-2]))
-    return snapshots.snapshot_customer(before, t["src_customer"], YEARS[-1]).select(*_DIM_CUSTOMER_COLUMNS)
+    return snapshots.snapshot_customer(before, t["src_customer"], YEARS[-1])
 
 
 @entry("customer_history", _DIM_CUSTOMER)
 def _(t):
-    return snapshots.customer_history(t["src_customer"]).select(*_DIM_CUSTOMER_COLUMNS)
+    return snapshots.customer_history(t["src_customer"])
 
 
-_DIM_STORE = f"SELECT store_code, s_name AS store_description, {c('net_c', 'net_sales_area')}, {d('closing', 'closing_date')}, format, {d('valid_from')}, {d('valid_to')} FROM dim_store"
-_DIM_STORE_COLUMNS = ["store_code", "store_description", "net_sales_area", "closing_date", "format", "valid_from", "valid_to"]
+_DIM_STORE = f"""SELECT store_code, s_name AS store_description, 'X' AS country, 'area' AS area, 'city' AS city, 'district' AS district,
+    lpad(CAST(sk AS VARCHAR), 9, '0') AS zip, CASE WHEN sk % 3 = 0 THEN 'mall' ELSE 'street' END AS channel_type,
+    {c('gross_c', 'gross_area')}, {c('net_c', 'net_sales_area')}, 'm2' AS area_unit, CAST(sk AS VARCHAR) AS latitude,
+    CAST(nk AS VARCHAR) AS longitude, '1995-01-01' AS opening_date, {d('closing', 'closing_date')}, 'EUR' AS local_currency, format,
+    {d('day', 'partition_date')}, {d('valid_from')}, {d('valid_to')} FROM dim_store"""
 
 
 @entry("snapshot_store", _DIM_STORE)
@@ -716,12 +731,12 @@ def _(t):
     before = snapshots.store_history(relational.upto_batch(t["src_store_detail"], YEARS[-3]))
     for day in YEARS[-2:]:
         before = snapshots.snapshot_store(before, t["src_store_detail"], day)
-    return before.select(*_DIM_STORE_COLUMNS)
+    return before
 
 
 @entry("store_history", _DIM_STORE)
 def _(t):
-    return snapshots.store_history(t["src_store_detail"]).select(*_DIM_STORE_COLUMNS)
+    return snapshots.store_history(t["src_store_detail"])
 
 
 # === marts =========================================================================================
@@ -921,8 +936,9 @@ def _(t):
 @entry("kpi_exec_summary", _kpi_sql("kpi_exec_summary"))
 def _(t):
     fact = t["fact_sales"]
+    months = store(kpis.month_base(fact, unique_orders=True), "months")
     return kpis.kpi_exec_summary(
-        kpis.kpi_revenue(fact, unique_orders=True), kpis.kpi_orders(fact, unique_orders=True), kpis.kpi_customer_retention(fact),
+        kpis.revenue_of_months(months), kpis.orders_of_months(months), kpis.kpi_customer_retention(fact),
         kpis.kpi_store(store_marts.store_performance(fact, t["code_history"], unique_orders=True)),
         kpis.kpi_product(sales_marts.sales_by_product(fact, unique_orders=True)))
 
@@ -977,12 +993,61 @@ def _(t):
 def _(t):
     """All batches but the last are built at once, the last one is added; the result is that of all."""
     sources = {name: t[name] for name in ("src_sales", "src_store", "src_customer", "src_store_detail")}
-    warehouse = RetailWarehouse(t.spark, _fresh_path(t))
+    warehouse = RetailWarehouse(t.spark, fresh_path(t.spark))
     warehouse.full(sources, dt.date(2001, 7, 1), AS_OF, with_marts=False)
     warehouse.batch(sources, LAST_MONTH, AS_OF)
     return warehouse.table("kpi_exec_summary")
 
 
+_REBUILT = f"""
+    SELECT 'code_history' AS "table", initial_store_code || ' ' || store_code AS "key", {d('start_date', 'since')}, {d('end_date', 'until')}, NULL AS detail
+    FROM {_STATE_1998}
+    UNION ALL
+    SELECT 'dim_customer', customer_id, {d('CAST(valid_from AS DATE)', 'since')},
+           CASE WHEN valid_to < TIMESTAMP '1998-12-02' THEN CAST(CAST(valid_to AS DATE) AS VARCHAR) END, tier
+    FROM dim_customer WHERE valid_from < TIMESTAMP '1998-12-02'
+    UNION ALL
+    SELECT 'dim_sales', CAST(order_id AS VARCHAR), {d('partition_time', 'since')}, NULL, store_code FROM sales WHERE partition_time <= DATE '1998-12-01'
+    UNION ALL
+    SELECT 'kpi_exec_summary', strftime(order_date, '%Y-%m'), NULL, NULL, CAST(count(DISTINCT order_id) AS VARCHAR)
+    FROM sales WHERE partition_time <= DATE '1998-12-01' GROUP BY ALL"""
+
+
+@entry("warehouse_rebuild", _REBUILT)
+def _(t):
+    """Built up to December, January added, built up to December again: nothing of January is left."""
+    sources = {name: t[name] for name in ("src_sales", "src_store", "src_customer")}
+    warehouse = RetailWarehouse(t.spark, fresh_path(t.spark))
+    before, after = dt.date(1998, 12, 1), dt.date(1999, 1, 1)
+    warehouse.full(sources, before, AS_OF, with_marts=False)
+    warehouse.batch(sources, after, AS_OF, with_marts=False)
+    warehouse.full(sources, before, AS_OF)
+    text, day = lambda c: F.col(c).cast("string"), lambda c: F.col(c).cast("date").cast("string")
+    none = F.lit(None).cast("string")
+
+    def rows(name, key, since=none, until=none, detail=none):
+        return warehouse.table(name).select(
+            F.lit(name).alias("table"), key.alias("key"), since.alias("since"), until.alias("until"), detail.alias("detail"))
+
+    return reduce(DataFrame.unionByName, [
+        rows("code_history", F.concat_ws(" ", "initial_store_code", "store_code"), day("start_date"), day("end_date")),
+        rows("dim_customer", F.col("customer_id"), day("valid_from"), day("valid_to"), F.col("tier")),
+        rows("dim_sales", text("order_id"), day("valid_from"), day("valid_to"), F.trim(F.upper("store_code"))),
+        rows("kpi_exec_summary", F.col("month"), detail=text("total_orders")),
+    ])
+
+
+@entry("warehouse_dim_sales", _DIM_SALES)
+def _(t):
+    """Three batches that bring late orders and corrections, on a warehouse folder."""
+    sources = {"src_sales": t["sales_corrections"], "src_store": t["src_store"]}
+    warehouse = RetailWarehouse(t.spark, fresh_path(t.spark))
+    warehouse.full(sources, CORRECTIONS[0], AS_OF, with_marts=False)
+    for day in CORRECTIONS[1:]:
+        warehouse.batch(sources, day, AS_OF, with_marts=False)
+    return warehouse.table("dim_sales")
+
+
 # === reports =======================================================================================
 
 
@@ -1191,11 +1256,17 @@ def _(t):
     return quality.check_segments(shouted)
 
 
-@entry("freshness", """
-    SELECT CAST(max(partition_time) AS VARCHAR) AS latest, CAST(DATE '2001-08-10' - max(partition_time) AS BIGINT) AS age_days,
-           'warn' AS status FROM sales""")
+_SEEN = (dt.date(2001, 8, 5), dt.date(2001, 8, 8), dt.date(2001, 8, 9), dt.date(2001, 8, 15), dt.date(2001, 8, 16))
+
+
+@entry("freshness", " UNION ALL ".join(f"""
+    SELECT CAST(max(partition_time) AS VARCHAR) AS latest, CAST(DATE '{day}' - max(partition_time) AS BIGINT) AS age_days,
+           CASE WHEN DATE '{day}' - max(partition_time) > 14 THEN 'error' WHEN DATE '{day}' - max(partition_time) > 7 THEN 'warn' ELSE 'pass' END AS status
+    FROM sales""" for day in _SEEN) + " UNION ALL SELECT NULL, NULL, 'error'")
 def _(t):
-    return quality.freshness(t["fact_sales"], "partition_time", dt.date(2001, 8, 10))
+    """Seen on five days, either side of both limits, and without any batch."""
+    seen = [quality.freshness(t["fact_sales"], "partition_time", day) for day in _SEEN]
+    return reduce(DataFrame.unionByName, [*seen, quality.freshness(t["fact_sales"].filter("false"), "partition_time", _SEEN[0])])
 
 
 _CHECKED = {

@@ -223,7 +223,7 @@ CTES: dict[str, str] = {
         FROM (SELECT *, lag((quantity, price_c)) OVER (PARTITION BY order_id ORDER BY load)
                         IS DISTINCT FROM (quantity, price_c) AS changed FROM loads) WHERE changed""",
     "details": f"""
-        SELECT 'S' || s_suppkey AS store_code, s_name, day, CAST(CAST(s_acctbal AS DECIMAL(12,2)) * 100 AS BIGINT) AS gross_c,
+        SELECT 'S' || s_suppkey AS store_code, s_name, s_suppkey AS sk, s_nationkey AS nk, day, CAST(CAST(s_acctbal AS DECIMAL(12,2)) * 100 AS BIGINT) AS gross_c,
                CAST(CAST(s_acctbal AS DECIMAL(12,2)) * 100 AS BIGINT)
                  + CASE WHEN s_suppkey % 6 = 0 AND day >= DATE '1998-01-01' THEN 1000 ELSE 0 END AS net_c,
                CASE WHEN s_suppkey % 13 = 0 AND day >= DATE '2001-01-01' THEN DATE '2001-01-01' END AS closing,

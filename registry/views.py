@@ -32,8 +32,11 @@ PRICE = "decimal(18,2)"
 STORED = {
     "fact_sales", "sales_lines", "code_history", "dim_customer", "store_performance", "store_directory", "sales_summary",
     "sales_by_product", "sales_by_customer", "customer_profile", "kpi_revenue", "kpi_orders",
-    "kpi_customer_retention", "kpi_store", "kpi_product", "kpi_exec_summary",
+    "kpi_customer_retention", "kpi_store", "kpi_product", "kpi_exec_summary", "month_base",
+    "fact_by_batch",
 }
+# directories of stored tables: scans of single batches read nothing else
+PARTITIONED = {"fact_by_batch": ("partition_time",)}
 
 
 def store_code(key: Column, day: Column, renamed: Column) -> Column:
@@ -50,7 +53,7 @@ def store_code(key: Column, day: Column, renamed: Column) -> Column:
 class RetailTables(Layers):
     def __init__(self, spark: SparkSession, sf_dir: str):
         # src_sales is grouped by order id
-        super().__init__({}, AS_OF, keep=lambda df, name: store(df, name) if name in STORED else df, unique_orders=True)
+        super().__init__({}, AS_OF, keep=lambda df, name: store(df, name, partition_by=PARTITIONED.get(name, ())) if name in STORED else df, unique_orders=True)
         self.spark = spark
         self.sf_dir = sf_dir
 
@@ -169,7 +172,12 @@ class RetailTables(Layers):
     # --- intermediate ------------------------------------------------------------------------------
 
     def _fact_sales(self) -> DataFrame:
-        return facts.build_fact_sales(self["src_sales"], LAST_MONTH)
+        """All batches there are; no date of the test data limits it."""
+        return facts.clean_sales(self["src_sales"])
+
+    def _fact_by_batch(self) -> DataFrame:
+        """The fact with one directory per batch."""
+        return self["fact_sales"]
 
     def _code_history(self) -> DataFrame:
         return identity.build_code_history(self["src_store"], LAST_MONTH)

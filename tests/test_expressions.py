@@ -1,5 +1,6 @@
 from decimal import Decimal
 
+import pytest
 import seed
 from pyspark.sql import functions as F
 
@@ -43,6 +44,19 @@ def test_ratios_guard_zero_and_null(spark):
     assert one(spark, measures.one_minus_ratio(F.lit(1), F.lit(3), 4)) == Decimal("0.6667")
 
 
+def test_ratios_never_cut_an_operand(spark):
+    f = lambda a, b, **k: one(spark, measures.ratio(F.lit(Decimal(a)), F.lit(Decimal(b)), **k))
+    assert f("1", "0.004") == Decimal("250.00")
+    assert f("1", "0.125", scale=4) == Decimal("8.0000")
+    assert f("0.00004", "0.01", scale=6) == Decimal("0.004000")
+    assert f("0.0000123", "0.00000007", pct=True) == Decimal("17571.43")
+    assert one(spark, measures.growth_pct(F.lit(Decimal("0.0015")), F.lit(Decimal("0.0010")))) == 50
+    with pytest.raises(Exception, match="too many digits"):
+        f("1", "0.0000000001")
+    with pytest.raises(Exception, match="too many digits"):
+        one(spark, measures.ratio(F.lit(Decimal("123456789012345678901.25")), F.lit(1)))
+
+
 def test_mean_rounds_once(spark):
     """The mean is 0.00499999...; rounding it to six digits first would give 0.01."""
     n = 3_000_000

@@ -18,7 +18,7 @@ def con():
     return compare.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", entry_points.entries.SPARK)
 def test_query_equals_sql(spark, con, name):
     difference = compare.difference(entry_points.queries()[name](spark, SF_DIR), con, entry_points.oracle_sql()[name])
     assert not difference, difference

@@ -10,18 +10,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# sized so that a quotient keeps at least 14 digits after the point
-_TOP = T.DecimalType(24, 4)
-_TOP_PCT = T.DecimalType(26, 4)
-_BOTTOM = T.DecimalType(22, 2)
+# Two shapes of division; each keeps at least 12 digits of the quotient after the point. The first has room for
+# 20 digits before the point over cents, the second for operands with many digits after it.
+_SHAPES = (
+    (T.DecimalType(24, 4), T.DecimalType(22, 2)),
+    (T.DecimalType(36, 20), T.DecimalType(30, 8)),
+)
 
 
-def ratio(num: Column, den: Column, scale: int = 2, *, pct: bool = False) -> Column:
-    """``num / den`` (x 100 with ``pct``), rounded half up; NULL if either is NULL or ``den`` is 0."""
-    top = num.cast(_TOP)
+def _quotient(num: Column, den: Column, top: T.DecimalType, bottom: T.DecimalType, pct: bool) -> Column:
+    above = num.try_cast(top)
     if pct:
-        top = (top * F.lit(100)).cast(_TOP_PCT)
-    return F.round(top / F.nullif(den.cast(_BOTTOM), F.lit(0).cast(_BOTTOM)), scale)
+        above = (above * F.lit(100)).cast(T.DecimalType(top.precision + 2, top.scale))
+    return (above / F.nullif(den.try_cast(bottom), F.lit(0).cast(bottom))).cast(T.DecimalType(38, 14 if pct else 16))
+
+
+def ratio(num: Column, den: Column, scale: int = 2, *, pct: bool = False) -> Column:
+    """``num / den`` (x 100 with ``pct``), rounded half up; NULL if either is NULL or ``den`` is 0.
+
+    Neither operand is rounded: each division is done in the first shape that holds both operands exactly.
+    Operands that fit none raise an error.
+    """
+    fits = [num.eqNullSafe(num.try_cast(top)) & den.eqNullSafe(den.try_cast(bottom)) for top, bottom in _SHAPES]
+    first, second = (_quotient(num, den, *shape, pct) for shape in _SHAPES)
+    too_long = F.raise_error(F.lit("an operand of a ratio has too many digits")).cast(T.DecimalType(38, 14 if pct else 16))
+    return F.round(F.when(fits[0], first).when(fits[1], second).otherwise(too_long), scale)
 
 
 def growth_pct(cur: Column, prev: Column) -> Column:

@@ -29,3 +29,14 @@ def new_fact_rows(src_sales: DataFrame, fact: DataFrame, cutoff: dt.date) -> Dat
     Only the order ids of the fact are read. Orders repeated inside one load are all kept.
     """
     return clean_sales(not_in_target(upto_batch(src_sales, cutoff), fact, "order_id"))
+
+
+def arrived_rows(source_rows: DataFrame, fact: DataFrame) -> DataFrame:
+    """Orders among ``source_rows`` that the fact lacks, for few rows against a large fact.
+
+    The ids of the fact are first cut to those that occur among the rows. That side can be broadcast while
+    it is small, so the fact's ids are scanned but not shuffled.
+    """
+    ids = source_rows.select("order_id").distinct()
+    loaded = fact.select("order_id").join(ids, "order_id", "left_semi")
+    return clean_sales(not_in_target(source_rows, loaded, "order_id"))

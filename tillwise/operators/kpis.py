@@ -20,12 +20,27 @@ def _by_month(fact: DataFrame, unique_orders: bool, distincts: dict[str, str], *
     return months.withColumn("month", calendar.month_key(F.col("_m"))).drop("_m")
 
 
+def month_base(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
+    """One row per month: what the revenue and the order KPIs have in common. Worth storing when both are built."""
+    return _by_month(
+        fact, unique_orders,
+        {"unique_buyers": "customer_id", "active_stores": "store_code", "distinct_products": "product_id"},
+        F.sum("quantity").alias("total_qty_sold"),
+        F.sum("total_amount").alias("total_revenue"),
+        measures.mean("total_amount").alias("avg_order_value"),
+    )
+
+
 def kpi_revenue(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
-    months = _by_month(
+    return revenue_of_months(_by_month(
         fact, unique_orders, {"unique_buyers": "customer_id"},
         F.sum("total_amount").alias("total_revenue"),
         F.sum("quantity").alias("total_qty_sold"),
-    ).withColumn("prev_month_revenue", windows.prev("total_revenue", "month"))
+    ))
+
+
+def revenue_of_months(months: DataFrame) -> DataFrame:
+    months = months.withColumn("prev_month_revenue", windows.prev("total_revenue", "month"))
     return months.select(
         "month", "total_orders", "unique_buyers", "total_revenue", "total_qty_sold", "prev_month_revenue",
         measures.growth_pct(F.col("total_revenue"), F.col("prev_month_revenue")).alias("revenue_mom_growth_pct"),
@@ -36,13 +51,11 @@ def kpi_revenue(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
 
 
 def kpi_orders(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
-    months = _by_month(
-        fact, unique_orders,
-        {"unique_buyers": "customer_id", "active_stores": "store_code", "distinct_products": "product_id"},
-        F.sum("quantity").alias("total_qty_sold"),
-        F.sum("total_amount").alias("total_revenue"),
-        measures.mean("total_amount").alias("avg_order_value"),
-    ).withColumns({
+    return orders_of_months(month_base(fact, unique_orders=unique_orders))
+
+
+def orders_of_months(months: DataFrame) -> DataFrame:
+    months = months.withColumns({
         "prev_month_orders": windows.prev("total_orders", "month"),
         "prev_month_aov": windows.prev("avg_order_value", "month"),
     })

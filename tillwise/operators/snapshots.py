@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwise.functions import windows
-from tillwise.operators.relational import all_batches, current_versions, duplicate_keys, one_batch
+from tillwise.operators.relational import all_batches, current_versions, one_batch
 from tillwise.schemas import CUSTOMER_CHECK_COLUMNS, SALES_CHECK_COLUMNS, STORE_CHECK_COLUMNS
 
 _STAMP = T.TimestampNTZType()
@@ -22,18 +22,31 @@ def _stamp(ts: dt.date | dt.datetime) -> Column:
 
 
 def ambiguous_keys(batch: DataFrame, key: str) -> DataFrame:
-    """Keys that occur more than once in a batch; a snapshot needs this to be empty."""
-    return duplicate_keys(batch.filter(F.col(key).isNotNull()), [key])
+    """Keys that occur more than once in a batch, and NULL if rows lack a key."""
+    return batch.groupBy(key).agg(F.count(F.lit(1)).alias("cnt")).filter((F.col("cnt") > 1) | F.col(key).isNull())
+
+
+def one_per_key(rows: DataFrame, keys: Sequence[str], check_cols: Sequence[str], newest: str | None = None) -> DataFrame:
+    """The row of each key that a snapshot sees; every snapshot function uses this rule.
+
+    Rows without a key have no history and are left out. Of rows that repeat a key the newest by ``newest``
+    counts, and of those the greatest by the checked columns, so that the choice never depends on row order.
+    """
+    order = [windows.desc(c) for c in ([newest] if newest else []) + list(check_cols)]
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    return rows.filter(known).withColumn("_place", F.row_number().over(windows.by(keys, *order))).filter("_place = 1").drop("_place")
 
 
 def snapshot_check(
-    target: DataFrame | None, batch: DataFrame, key: str, check_cols: Sequence[str], effective_ts: dt.date
+    target: DataFrame | None, batch: DataFrame, key: str, check_cols: Sequence[str], effective_ts: dt.date, newest: str | None = None
 ) -> DataFrame:
-    """Versions after comparing ``batch`` (unique keys) with the current versions of ``target``.
+    """Versions after comparing ``batch`` with the current versions of ``target``.
 
     Changed: old version closed, new one opened. Unseen key: opened. Unchanged, or missing from the
-    batch: kept as it is. Closed versions pass through without joining the comparison.
+    batch: kept as it is. Closed versions pass through without joining the comparison. Rows without a key
+    and repeated keys: see ``one_per_key``.
     """
+    batch = one_per_key(batch, [key], check_cols, newest)
     opened = batch.withColumns({"valid_from": _stamp(effective_ts), "valid_to": F.lit(None).cast(_STAMP)})
     if target is None:
         return opened
@@ -55,9 +68,10 @@ def snapshot_check(
 def snapshot_history(batches: DataFrame, key: str, check_cols: Sequence[str], batch_col: str) -> DataFrame:
     """All versions in one pass: what ``snapshot_check`` gives after every batch in date order.
 
-    One shuffle on the key instead of one join per batch. A key has at most one row per batch, so
-    no window group grows beyond the number of batches.
+    One shuffle on the key instead of one join per batch. ``one_per_key`` leaves a key at most one row per
+    batch, so no window group of the comparison grows beyond the number of batches.
     """
+    batches = one_per_key(batches, [key, batch_col], check_cols)
     w = windows.by([key], F.col(batch_col))
     state = F.struct(*check_cols)
     marked = batches.withColumn("_first", F.row_number().over(w) == 1).withColumn(
@@ -84,7 +98,8 @@ def snapshot_store(target: DataFrame | None, src_store_detail: DataFrame, batch_
 
 
 def snapshot_sales(target: DataFrame | None, src_sales: DataFrame, effective_ts: dt.date) -> DataFrame:
-    return snapshot_check(target, all_batches(src_sales), "order_id", SALES_CHECK_COLUMNS, effective_ts)
+    """All loads at once: of an order that several loads hold, the newest load counts."""
+    return snapshot_check(target, all_batches(src_sales), "order_id", SALES_CHECK_COLUMNS, effective_ts, "partition_time")
 
 
 def customer_history(src_customer: DataFrame) -> DataFrame:

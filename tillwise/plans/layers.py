@@ -70,10 +70,12 @@ class Layers(Mapping[str, DataFrame]):
                 return customer_marts.sales_by_customer(t("fact_sales"), self._as_of, self._rfm, **self._unique)
             case "customer_profile":
                 return customer_marts.customer_profile(t("dim_customer"), t("fact_sales"), self._as_of, **self._unique)
+            case "month_base":
+                return kpis.month_base(t("fact_sales"), **self._unique)
             case "kpi_revenue":
-                return kpis.kpi_revenue(t("fact_sales"), **self._unique)
+                return kpis.revenue_of_months(t("month_base"))
             case "kpi_orders":
-                return kpis.kpi_orders(t("fact_sales"), **self._unique)
+                return kpis.orders_of_months(t("month_base"))
             case "kpi_customer_retention":
                 return kpis.kpi_customer_retention(t("fact_sales"))
             case "kpi_store":
@@ -90,10 +92,10 @@ class Layers(Mapping[str, DataFrame]):
         return self._tables[name]
 
     def __contains__(self, name: object) -> bool:
-        return name in self._tables or name in DOMAINS or name in ("active_store", "closed_store")
+        return name in self._tables or name in DOMAINS or name in ("active_store", "closed_store", "month_base")
 
     def __iter__(self) -> Iterator[str]:
-        return iter([*self._tables, *(n for n in (*MARTS, *KPIS, "active_store", "closed_store") if n not in self._tables)])
+        return iter([*self._tables, *(n for n in (*MARTS, *KPIS, "active_store", "closed_store", "month_base") if n not in self._tables)])
 
     def __len__(self) -> int:
         return len(list(iter(self)))

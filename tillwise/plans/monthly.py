@@ -2,30 +2,53 @@
 
 Layout below the root::
 
-    intermediate/fact_sales/partition_time=YYYY-MM-DD/     appended to
-    intermediate/code_history/batch=YYYY-MM-DD/            one complete state per batch
-    snapshots/<dim>/batch=YYYY-MM-DD/                      one complete state per batch
-    marts_*/<table>/                                       rebuilt by every run
+    commits/<n>/                             JSON: which directories every table consists of
+    data/<g>/<table>/commit=<n>/...          written by commit n of generation g, never changed
+
+A full build starts a generation of its own, named after its commit; nothing of an earlier one can be
+reached from it. A batch adds directories to the generation and a commit that names old and new ones. Readers
+take the newest finished commit, so they see one state of all tables, also while a build runs or after one
+that failed. ``vacuum`` deletes what the newest commit does not reach.
+
+The fact and the closed versions of dimensions are only ever added to. Code history and open versions have
+one directory per batch date. Marts and KPIs are written anew by each build that asks for them.
 """
 
 from __future__ import annotations
 
+import copy
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise.operators import facts, identity, snapshots
 from tillwise.operators.customer_marts import RfmConfig
-from tillwise.operators.quality import check_unique, run_checks
+from tillwise.operators.quality import check_unique, freshness, run_checks
 from tillwise.operators.relational import one_batch, upto_batch
 from tillwise.plans.layers import DOMAINS, KPIS, MARTS, SORT_KEYS, Layers
-from tillwise.sources.tables import append_rows, read_latest, read_table, write_batch, write_table
+from tillwise.schemas import SALES_CHECK_COLUMNS
+from tillwise.sources.shared import store
+from tillwise.sources.tables import delete_path, list_path, read_commit, write_commit, write_table
+
+
+@dataclass(frozen=True)
+class Dimension:
+    """Where a dimension comes from; ``step`` compares one batch, ``rebuild`` gives all versions at once."""
 
-# dimension -> (source, key, one-batch operator, all-batches operator)
-_DIMENSIONS: dict[str, tuple[str, str, Callable, Callable]] = {
-    "dim_customer": ("src_customer", "customer_id", snapshots.snapshot_customer, snapshots.customer_history),
-    "dim_store": ("src_store_detail", "store_code", snapshots.snapshot_store, snapshots.store_history),
+    source: str
+    key: str
+    step: Callable[[DataFrame | None, DataFrame, dt.date], DataFrame]
+    rebuild: Callable[[DataFrame], DataFrame]
+
+
+DIMENSIONS = {
+    "dim_customer": Dimension("src_customer", "customer_id", snapshots.snapshot_customer, snapshots.customer_history),
+    "dim_store": Dimension("src_store_detail", "store_code", snapshots.snapshot_store, snapshots.store_history),
+    "dim_sales": Dimension("src_sales", "order_id", snapshots.snapshot_sales, snapshots.sales_history),
 }
 
 
@@ -39,72 +62,177 @@ def _require_empty(violations: DataFrame, message: str) -> None:
         raise BatchRejected(f"{message}: {found[0].asDict()}")
 
 
+def _changed(now: Mapping[str, list[int]], before: Mapping[str, list[int]]) -> list[dt.date]:
+    """Source batches whose rows differ from those seen before."""
+    return sorted(dt.date.fromisoformat(d) for d, seen in now.items() if before.get(d) != seen)
+
+
 class RetailWarehouse:
     def __init__(self, spark: SparkSession, root: str, rfm: RfmConfig = RfmConfig()):
         self.spark = spark
         self.root = root.rstrip("/")
         self.rfm = rfm
 
-    def _path(self, name: str) -> str:
-        if name in DOMAINS:
-            return f"{self.root}/{DOMAINS[name]}/{name}"
-        return f"{self.root}/{'snapshots' if name in _DIMENSIONS else 'intermediate'}/{name}"
+    # --- directories and commits -------------------------------------------------------------------
+
+    def _place(self, content: Mapping, name: str) -> str:
+        return f"{self.root}/data/{content['generation']}/{name}"
+
+    def _write(
+        self, content: dict, number: int, name: str, df: DataFrame, *, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
+    ) -> DataFrame:
+        """Write one directory of a table and give it back as read from there."""
+        content["schemas"][name] = df.schema.jsonValue()
+        write_table(df, f"{self._place(content, name)}/commit={number}", partition_by=partition_by, sort_by=sort_by)
+        return self._read(content, name, [number])
+
+    def _read(self, content: Mapping, name: str, commits: Sequence[int]) -> DataFrame:
+        schema = T.StructType.fromJson(content["schemas"][name]).add("commit", "long")
+        stored = self.spark.read.schema(schema).parquet(self._place(content, name))
+        return stored.filter(F.col("commit").isin(list(commits))).drop("commit")  # prunes directories
+
+    def _state(self, content: Mapping, name: str, before: dt.date | None = None) -> DataFrame | None:
+        """Open versions (or the code history) after the newest batch, or the newest one before a day."""
+        days = [d for d in content["states"].get(name, {}) if before is None or d < before.isoformat()]
+        return self._read(content, name, [content["states"][name][max(days)]["commit"]]) if days else None
 
     def table(self, name: str) -> DataFrame:
-        if name in _DIMENSIONS or name == "code_history":
-            state = read_latest(self.spark, self._path(name))
-            if state is None:
-                raise KeyError(f"{name} has not been built")
-            return state
-        return read_table(self.spark, self._path(name))
+        """A table as of the newest finished commit."""
+        _, content = read_commit(self.spark, self.root)
+        return self._table(content, name)
+
+    def _table(self, content: Mapping, name: str) -> DataFrame:
+        if name in content.get("states", {}):
+            open_rows, newest = self._state(content, name), content["states"][name][max(content["states"][name])]
+            if not newest["closed"]:
+                return open_rows
+            return self._read(content, f"{name}_closed", newest["closed"]).unionByName(open_rows)
+        if name not in content.get("tables", {}):
+            raise KeyError(f"{name} has not been built")
+        return self._read(content, name, content["tables"][name])
+
+    def vacuum(self) -> None:
+        """Delete the generations that the newest commit has left behind. Not while they are being read."""
+        _, content = read_commit(self.spark, self.root)
+        for generation in list_path(self.spark, f"{self.root}/data"):
+            if generation != str(content.get("generation")):
+                delete_path(self.spark, f"{self.root}/data/{generation}")
+
+    # --- builds ------------------------------------------------------------------------------------
 
     def full(self, sources: Mapping[str, DataFrame], cutoff: dt.date, as_of: dt.date, *, with_marts: bool = True) -> None:
         """Build everything from all batches up to the cut-off.
 
         Without marts, here or in ``batch``, when more batches follow and would rebuild them anyway.
         """
-        fact = facts.build_fact_sales(sources["src_sales"], cutoff)
-        write_table(fact, self._path("fact_sales"), partition_by=["partition_time"])
-        history = identity.build_code_history(sources["src_store"], cutoff)
-        write_batch(history, self._path("code_history"), cutoff, sort_by=["store_code"])
-        for name, (source, key, _, rebuild) in _DIMENSIONS.items():
-            if source in sources:
-                batches = upto_batch(sources[source], cutoff)
-                repeated = batches.groupBy(key, "partition_time").count().filter("count > 1")
-                _require_empty(repeated, f"{source} repeats a key inside a batch")
-                write_batch(rebuild(batches), self._path(name), cutoff, sort_by=[key])
+        number = read_commit(self.spark, self.root)[0] + 1
+        content = {"generation": number, "schemas": {}, "states": {}, "tables": {}}
+        sales = upto_batch(sources["src_sales"], cutoff)
+        _require_empty(sales.filter("order_id is null").select("partition_time"), "orders without an id")
+        fact = self._write(content, number, "fact_sales", facts.clean_sales(sales), partition_by=["partition_time"])
+        content["tables"]["fact_sales"] = [number]
+        content["loaded"] = self._prints(sales)
+        # one pass over the order ids here spares every mart, and every later batch, its own
+        content["unique_orders"] = check_unique(fact, ["order_id"]).isEmpty()
+
+        history = self._write(content, number, "code_history", identity.build_code_history(sources["src_store"], cutoff), sort_by=["store_code"])
+        content["states"]["code_history"] = {cutoff.isoformat(): {"commit": number, "closed": []}}
+        for name, dim in DIMENSIONS.items():
+            if dim.source in sources:
+                batches = upto_batch(sources[dim.source], cutoff)
+                if dim.source != "src_sales":
+                    doubled = batches.groupBy(dim.key, "partition_time").count().filter(f"count > 1 or {dim.key} is null")
+                    _require_empty(doubled, f"{dim.source} repeats or lacks a key inside a batch")
+                self._write_versions(content, number, name, dim.rebuild(batches), cutoff, [])
         if with_marts:
-            self.marts(as_of)
+            self._write_marts(content, number, fact, history, as_of)
+        write_commit(self.spark, self.root, number, content)
 
     def batch(self, sources: Mapping[str, DataFrame], day: dt.date, as_of: dt.date, *, with_marts: bool = True) -> None:
         """Add one batch: store codes, sales, dimensions, then rebuild marts and KPIs.
 
-        Batches are to be run in date order. Running one again changes nothing.
+        Batches are to be run in date order. Running one again changes nothing. Orders are looked for in
+        the source batches whose content differs from what was loaded, whatever their date.
         """
-        self._merge_history(sources["src_store"], day)
-        fact_path = self._path("fact_sales")
-        fresh = facts.new_fact_rows(sources["src_sales"], self.table("fact_sales"), day)
-        append_rows(fresh, fact_path, partition_by=["partition_time"])
-        for name, (source, key, step, rebuild) in _DIMENSIONS.items():
-            if source in sources:
-                batch = one_batch(sources[source], day)
-                _require_empty(snapshots.ambiguous_keys(batch, key), f"{source} repeats a key on {day}")
-                before = read_latest(self.spark, self._path(name), before=day)
-                after = rebuild(upto_batch(sources[source], day)) if before is None else step(before, sources[source], day)
-                write_batch(after, self._path(name), day, sort_by=[key])
-        if with_marts:
-            self.marts(as_of)
+        last, content = read_commit(self.spark, self.root)
+        if not last:
+            raise KeyError("there is no full build yet")
+        number, content = last + 1, copy.deepcopy(content)
+        for name, states in content["states"].items():  # later states do not survive an earlier batch
+            content["states"][name] = {d: state for d, state in states.items() if d <= day.isoformat()}
 
-    def _merge_history(self, src_store: DataFrame, day: dt.date) -> None:
-        _require_empty(identity.conflicting_codes(src_store, day), f"one location reports several codes on {day}")
-        path = self._path("code_history")
-        before = read_latest(self.spark, path, before=day)
+        _require_empty(identity.conflicting_codes(sources["src_store"], day), f"one location reports several codes on {day}")
+        before = self._state(content, "code_history", before=day)
         after = (
-            identity.build_code_history(src_store, day)
+            identity.build_code_history(sources["src_store"], day)
             if before is None
-            else identity.merge_code_history(before, src_store, day)
+            else identity.merge_code_history(before, sources["src_store"], day)
         )
-        write_batch(after, path, day, sort_by=["store_code"])
+        self._write(content, number, "code_history", after, sort_by=["store_code"])
+        content["states"]["code_history"][day.isoformat()] = {"commit": number, "closed": []}
+
+        sales = upto_batch(sources["src_sales"], day)
+        now = self._prints(sales)
+        self._add_sales(content, number, sales, _changed(now, content["loaded"]))
+        content["loaded"] |= now
+        for name, dim in DIMENSIONS.items():
+            if dim.source not in sources:
+                continue
+            source = sources[dim.source]
+            if dim.source != "src_sales":
+                _require_empty(snapshots.ambiguous_keys(one_batch(source, day), dim.key), f"{dim.source} repeats or lacks a key on {day}")
+            known = [d for d in content["states"].get(name, {}) if d < day.isoformat()]
+            if not known:
+                self._write_versions(content, number, name, dim.rebuild(upto_batch(source, day)), day, [])
+                continue
+            earlier = content["states"][name][max(known)]
+            if dim.source == "src_sales":
+                source = self._newest_loads(sales, _changed(now, earlier["loaded"]))
+            current = self._state(content, name, before=day)
+            self._write_versions(content, number, name, dim.step(current, source, day), day, earlier["closed"])
+        if with_marts:
+            self._write_marts(content, number, self._table(content, "fact_sales"), self._table(content, "code_history"), as_of)
+        write_commit(self.spark, self.root, number, content)
+
+    @staticmethod
+    def _prints(sales: DataFrame) -> dict[str, list[int]]:
+        """Number of rows and a hash of their content per source batch; one narrow pass, one row per batch."""
+        content = F.xxhash64(*[F.col(c).cast("string") for c in ("order_id", *SALES_CHECK_COLUMNS)])
+        rows = sales.groupBy("partition_time").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(content).alias("h"), F.sum(content.cast("decimal(38,0)")).alias("s"))
+        return {r.partition_time.isoformat()[:10]: [r.n, r.h, int(r.s)] for r in rows.collect()}
+
+    def _add_sales(self, content: dict, number: int, sales: DataFrame, changed: Sequence[dt.date]) -> None:
+        """Append the orders of changed source batches that the fact lacks."""
+        if not changed:
+            return
+        rows = sales.filter(F.col("partition_time").isin(list(changed)))
+        _require_empty(rows.filter("order_id is null").select("partition_time"), "orders without an id")
+        new = facts.arrived_rows(rows, self._table(content, "fact_sales"))
+        fresh = self._write(content, number, "fact_sales", new, partition_by=["partition_time"])
+        content["tables"]["fact_sales"].append(number)
+        # fresh ids are not in the fact, so only they can repeat among themselves
+        content["unique_orders"] = content["unique_orders"] and check_unique(fresh, ["order_id"]).isEmpty()
+
+    @staticmethod
+    def _newest_loads(sales: DataFrame, changed: Sequence[dt.date]) -> DataFrame:
+        """Rows of the changed batches, with newer loads of the same orders if an old batch changed."""
+        rows = sales.filter(F.col("partition_time").isin(list(changed)))
+        newest = sales.agg(F.max("partition_time")).first()[0]
+        if not changed or [newest] == list(changed):
+            return rows
+        return sales.join(rows.select("order_id").distinct(), "order_id", "left_semi")
+
+    def _write_versions(self, content: dict, number: int, name: str, versions: DataFrame, day: dt.date, closed: list[int]) -> None:
+        """Open versions as the day's state; versions that were closed go to an own, growing part."""
+        key = DIMENSIONS[name].key
+        versions = store(versions, name)
+        self._write(content, number, name, versions.filter("valid_to is null"), sort_by=[key])
+        shut = self._write(content, number, f"{name}_closed", versions.filter("valid_to is not null"), sort_by=[key])
+        more = [] if shut.isEmpty() else [number]
+        state = {"commit": number, "closed": [*closed, *more]}
+        if DIMENSIONS[name].source == "src_sales":
+            state["loaded"] = dict(content["loaded"])
+        content["states"].setdefault(name, {})[day.isoformat()] = state
 
     def layers(
         self, as_of: dt.date, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df, *, unique_orders: bool = False
@@ -112,22 +240,34 @@ class RetailWarehouse:
         base = {name: self.table(name) for name in ("fact_sales", "code_history", "dim_customer")}
         return Layers(base, as_of, self.rfm, keep, unique_orders)
 
-    def marts(self, as_of: dt.date) -> None:
+    def _write_marts(self, content: dict, number: int, fact: DataFrame, history: DataFrame, as_of: dt.date) -> None:
         def keep(df: DataFrame, name: str) -> DataFrame:
             if name not in DOMAINS:
-                return df
-            write_table(df, self._path(name), sort_by=SORT_KEYS[name])
-            return self.table(name)
+                return store(df, name) if name == "month_base" else df
+            content["tables"][name] = [number]
+            return self._write(content, number, name, df, sort_by=SORT_KEYS[name])
 
-        # one pass over the order ids here spares every mart its own
-        unique = check_unique(self.table("fact_sales"), ["order_id"]).isEmpty()
-        built = self.layers(as_of, keep, unique_orders=unique)
+        base = {"fact_sales": fact, "code_history": history, "dim_customer": self._table(content, "dim_customer")}
+        built = Layers(base, as_of, self.rfm, keep, content["unique_orders"])
         for name in (*MARTS, *KPIS):
             built[name]
 
+    def marts(self, as_of: dt.date) -> None:
+        """Rebuild marts and KPIs from the stored fact, history and dimensions, as a commit of their own."""
+        last, content = read_commit(self.spark, self.root)
+        content = copy.deepcopy(content)
+        self._write_marts(content, last + 1, self._table(content, "fact_sales"), self._table(content, "code_history"), as_of)
+        write_commit(self.spark, self.root, last + 1, content)
+
     def check(self, as_of: dt.date) -> DataFrame:
-        """Outcome of every declared rule on the stored tables."""
+        """Outcome of every declared rule on the stored tables, and the age of the newest sales batch."""
         stored = {name: self.table(name) for name in (*MARTS, *KPIS)}
         views = self.layers(as_of)
         stored |= {name: views[name] for name in ("fact_sales", "code_history", "active_store", "closed_store")}
-        return run_checks(stored)
+        age = freshness(stored["fact_sales"], "partition_time", as_of)
+        late = (F.col("status") == "error").cast("bigint")
+        newest = age.select(
+            F.lit("freshness").alias("check"), F.lit("fact_sales").alias("table"), F.lit("partition_time").alias("column"),
+            late.alias("violations"), (late == 0).alias("passed"),
+        )
+        return run_checks(stored).unionByName(newest)

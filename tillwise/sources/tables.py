@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import datetime as dt
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,13 +23,17 @@ def write_table(
 
     With ``partition_by`` rows are rebalanced on those columns first: each directory gets few files,
     and the adaptive planner splits a directory that holds much more than the others, so a hot
-    month does not end up in one task. ``sort_by`` keeps min/max statistics of row groups narrow.
+    month does not end up in one task. With ``sort_by`` alone rows are dealt out by ranges of those
+    columns, so that a lookup by key opens the files of its range only; inside files they are sorted
+    too. Overwriting replaces the whole table, whatever the session says about partitions.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    elif sort_by:
+        df = df.repartitionByRange(*sort_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    df.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
 def append_rows(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -> None:
@@ -46,29 +50,46 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
-# A table that changes batch by batch keeps one directory per batch, ``<path>/batch=YYYY-MM-DD``.
-# Batch N reads the newest finished directory before N and writes its own, so nothing is overwritten
-# while it is read and running a batch again gives the same result.
+# --- commits ---------------------------------------------------------------------------------------
+# A warehouse is a series of commits. Every commit is one small JSON text that names the directories its
+# tables consist of. Directories are written first and never changed; the commit comes last. A reader takes
+# the newest finished commit and sees all tables of one state, whatever is being written meanwhile.
 
 
-def _batch_path(path: str, day: dt.date) -> str:
-    return f"{path}/batch={day.isoformat()}"
+def _hadoop(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def finished_batches(spark: SparkSession, path: str) -> list[dt.date]:
-    """Dates of the directories under ``path`` whose write was committed. Reads file names only."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/batch=*/_SUCCESS")) or []
-    return sorted(dt.date.fromisoformat(s.getPath().getParent().getName().removeprefix("batch=")) for s in found)
+def list_path(spark: SparkSession, path: str) -> list[str]:
+    """Names in a directory."""
+    place, fs = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(place))
 
 
-def write_batch(df: DataFrame, path: str, day: dt.date, *, sort_by: Sequence[str] = ()) -> None:
-    write_table(df, _batch_path(path, day), sort_by=sort_by)
+def delete_path(spark: SparkSession, path: str) -> None:
+    place, fs = _hadoop(spark, path)
+    fs.delete(place, True)
 
 
-def read_latest(spark: SparkSession, path: str, before: dt.date | None = None) -> DataFrame | None:
-    """Newest committed state, or the newest one older than ``before``; None if there is none."""
-    days = [d for d in finished_batches(spark, path) if before is None or d < before]
-    return spark.read.parquet(_batch_path(path, days[-1])) if days else None
+def finished_commits(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the commits whose write was finished. Reads file names only."""
+    place, fs = _hadoop(spark, f"{root}/commits/*/_SUCCESS")
+    return sorted(int(s.getPath().getParent().getName()) for s in fs.globStatus(place) or [])
+
+
+def read_commit(spark: SparkSession, root: str) -> tuple[int, dict]:
+    """Number and content of the newest finished commit; (0, {}) if there is none."""
+    numbers = finished_commits(spark, root)
+    if not numbers:
+        return 0, {}
+    lines = spark.read.text(f"{root}/commits/{numbers[-1]:08d}", wholetext=True).collect()
+    return numbers[-1], json.loads("".join(r.value for r in lines))
+
+
+def write_commit(spark: SparkSession, root: str, number: int, content: dict) -> None:
+    """One writer at a time: the directory of a number must not exist yet, unless its write was never finished."""
+    if number in finished_commits(spark, root):
+        raise ValueError(f"commit {number} exists already")
+    text = spark.createDataFrame([(json.dumps(content, sort_keys=True),)], "value string").coalesce(1)
+    text.write.mode("overwrite").text(f"{root}/commits/{number:08d}")
