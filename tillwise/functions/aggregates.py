@@ -45,8 +45,9 @@ def descending(c: Column) -> list[Column]:
 def least_row(*order: Column, payload: dict[str, Column], where: Column | None = None) -> Column:
     """Struct of ``payload`` for the row that comes first by ``order`` (ascending, NULLs last).
 
-    One hash-combinable aggregate: map tasks keep a single row per group, so a group of any size
-    reaches the reducer as one row per map task.
+    Map tasks keep a single row per group, so a group of any size reaches the reducer as one row per map
+    task. A struct cannot be updated in place, so Spark sorts for it: keep it out of wide aggregations of
+    many rows and use it on tables that are small already.
     """
     keys = [k.alias(f"k{i}") for i, k in enumerate(x for c in order for x in _ordering(c))]
     row = F.struct(*keys, *[c.alias(name) for name, c in payload.items()])

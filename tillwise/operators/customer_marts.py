@@ -13,10 +13,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.functions import calendar, measures
-from tillwise.functions.aggregates import count_orders, descending, least_row, ordered_concat
+from tillwise.functions import calendar, measures, windows
+from tillwise.functions.aggregates import count_orders, ordered_concat
 from tillwise.functions.text import clean_email, clean_id, clean_name
-from tillwise.operators.relational import current_versions, left_star
+from tillwise.operators.relational import current_versions, first_per_group, left_star
 
 
 RATING_COLUMNS = ["recency_score", "frequency_score", "monetary_score", "customer_segment"]
@@ -58,19 +58,19 @@ def rfm_segment(scored: DataFrame) -> DataFrame:
     return scored.withColumn("customer_segment", segment)
 
 
-def _favorite(where: Column | None = None) -> Column:
-    """Product bought most by quantity; the lesser product id on equal quantity."""
-    order = [*descending(F.col("qty")), F.col("product_id")]
-    picked = least_row(*order, payload={"product": F.col("product_id")}, where=where)
-    return picked["product"].alias("favorite_product_id")
-
-
 def _by_product(fact: DataFrame, *more: Column) -> DataFrame:
     return fact.groupBy("customer_id", "product_id").agg(F.sum("quantity").alias("qty"), *more)
 
 
+def _favorite(bought: DataFrame) -> DataFrame:
+    """Product bought most by quantity; the lesser product id on equal quantity. A task keeps one row per customer."""
+    rows = bought.select("customer_id", "product_id", "qty")
+    first = first_per_group(rows, ["customer_id"], [windows.desc("qty")], "product_id")
+    return first.select("customer_id", F.col("product_id").alias("favorite_product_id"))
+
+
 def favorite_product(fact: DataFrame) -> DataFrame:
-    return _by_product(fact).groupBy("customer_id").agg(_favorite())
+    return _favorite(_by_product(fact))
 
 
 def sales_by_customer(
@@ -80,13 +80,14 @@ def sales_by_customer(
 
     Sales are reduced to (customer, product), (customer, store) and, unless orders are unique,
     (customer, order) rows; each reduction spreads a customer with very many sales over its products,
-    stores or orders. Their union is then aggregated per customer, which takes one shuffle and no join.
+    stores or orders. Their union is then aggregated per customer, in one shuffle and with numbers only, so
+    that it stays a hash aggregation. The favourite product, a text, is found on its own and joined.
     """
     amount, day = F.col("total_amount"), F.col("order_date")
     bought = _by_product(
         fact, F.sum(amount).alias("spend"), F.count(amount).alias("n"), F.min(day).alias("first"),
         F.max(day).alias("last"), *([F.count("order_id").alias("orders")] if unique_orders else []),
-    ).withColumn("bought", F.lit(True))
+    )
     parts = [bought, fact.select("customer_id", "store_code").distinct()]
     if not unique_orders:
         orders = fact.select("customer_id", "order_id").distinct()
@@ -101,8 +102,7 @@ def sales_by_customer(
         measures.ratio(F.sum("spend"), F.sum("n")).alias("avg_order_value"),
         F.min("first").alias("first_purchase_date"),
         F.max("last").alias("last_purchase_date"),
-        _favorite(where=F.col("bought")),
-    )
+    ).join(_favorite(bought.filter("customer_id is not null")), "customer_id", "left")
     first, last = F.col("first_purchase_date"), F.col("last_purchase_date")
     dated = base.withColumns({
         "customer_lifespan_days": calendar.days_between(last, first),
