@@ -157,7 +157,7 @@ def search(
 
     def compare(key, table):
         queries, block_rows = table.filter(table["asks"]), table.filter(pc.invert(table["asks"]))
-        if not queries.num_rows:
+        if not queries.num_rows or not block_rows.num_rows:
             return pa.table({"query": pa.array([], pa.int64()), "rep": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         ids, reps = queries["rep"].to_numpy(), block_rows["rep"].to_numpy()
         order = np.argsort(reps, kind="stable")

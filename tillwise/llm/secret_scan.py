@@ -153,7 +153,7 @@ def _scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["spans", "clean_text"])
 
 
-def scan_column(text: Column) -> Column:
+def scan_column(text: Column | str) -> Column:
     """Struct of ``spans`` and of ``clean_text``, the text with its spans replaced (null stays null)."""
     return _scan(text)
 
