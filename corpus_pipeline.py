@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.llm import language_id, secret_scan, simhash_dedup, source_mixing
-from tillwise.llm.registry import MAX_REPEATS, byte_codec, ship
+from tillwise.llm.registry import MAX_REPEATS, byte_codec, prepare
 from tillwise.sources.shared import store
 
 LEAST_SCORE = 0.5
@@ -27,7 +27,7 @@ def _free(docs: DataFrame, name: str) -> str:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; ``und`` and predictions below ``LEAST_SCORE`` go."""
-    ship(spark)
+    prepare(spark)
     held_out = F.coalesce(language_id.held_out(F.col("doc_id")), F.lit(False))
     predict = language_id.predictor(spark, language_id.train(docs.filter(~held_out)))
     found = _free(docs, "found")
@@ -38,13 +38,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links connect."""
-    ship(spark)
+    prepare(spark)
     return simhash_dedup.keep_one(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced; ``n_chars`` counts the new text."""
-    ship(spark)
+    prepare(spark)
     found = _free(docs, "found")
     columns = {"text": F.col(found)["clean_text"], "n_chars": F.length(F.col(found)["clean_text"]).cast("bigint")}
     scanned = docs.withColumn(found, secret_scan.scan_column(F.col("text")))
@@ -53,13 +53,12 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once, those of smaller sources up to ``MAX_REPEATS`` times."""
-    columns = docs.columns
-    return source_mixing.mix(docs, keys=["doc_id"], max_repeats=MAX_REPEATS).select(*columns)
+    return source_mixing.mix_whole_rows(docs, keys=["doc_id"], max_repeats=MAX_REPEATS)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, source, ids, n_tokens)`` of every document that came through."""
-    ship(spark)
+    prepare(spark)
     ids = byte_codec(spark).encode(F.col("text"))
     return docs.select("doc_id", "source", ids.alias("ids")).withColumn("n_tokens", F.size("ids").cast("bigint"))
 

@@ -121,7 +121,7 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sm
         raise ValueError(f"{lang_col} has more languages than a matrix of {MAX_MATRIX_MB} MB holds")
     place = {lang: i for i, lang in enumerate(languages)}
     counts = np.zeros((BUCKETS + 1, len(languages)))
-    found = summed.toPandas()
+    found = summed.toArrow().to_pandas()
     counts[found["bucket"], found["lang"].map(place).astype(int)] = found["n"]
     taught = counts[BUCKETS] > 0
     counts, languages = counts[:, taught], [lang for lang, kept in zip(languages, taught) if kept]

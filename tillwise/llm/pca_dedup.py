@@ -88,7 +88,7 @@ def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def rotations(vectors: DataFrame) -> dict[int, np.ndarray]:
     """Orthogonal matrix per vector length, columns by falling variance. Sums of outer products, made in the tasks."""
-    sums = vectors.select("vector").mapInArrow(_moments, "dim int, cell int, v double").groupBy("dim", "cell").agg(F.sum("v").alias("v")).toPandas()
+    sums = vectors.select("vector").mapInArrow(_moments, "dim int, cell int, v double").groupBy("dim", "cell").agg(F.sum("v").alias("v")).toArrow().to_pandas()
     turned = {}
     for dim, cells in sums.groupby("dim"):
         moments = np.zeros((dim + 1) ** 2)

@@ -17,11 +17,17 @@ from tillwise.llm import (
 MAX_REPEATS = 2.0
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+ROWS_PER_BATCH = 256
 _SHIPPED: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application; they need not have it on their path."""
+def prepare(spark: SparkSession) -> None:
+    """Settings and code that the queries of this package need in a session.
+
+    Texts can be long, so fewer rows go to Python at once. The package is sent to the executors once per
+    application; they need not have it on their path.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -36,7 +42,7 @@ def ship(spark: SparkSession) -> None:
 def entry(name: str, sql: str | None = None):
     def add(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship(spark)
+            prepare(spark)
             return fn(spark, lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
         SPARK[name] = run
@@ -54,8 +60,8 @@ def _(spark, table):
 
 @entry("op2_source_mixing")
 def _(spark, table):
-    docs = table("documents").select("doc_id", "source", "text")
-    return source_mixing.mix(docs, keys=["doc_id"], max_repeats=MAX_REPEATS, prefix="").drop("text")
+    docs = table("documents").select("doc_id", "source", source_mixing.count_tokens(F.col("text")).alias("n_tokens"))
+    return source_mixing.mix(docs, tokens=F.col("n_tokens"), keys=["doc_id"], max_repeats=MAX_REPEATS, prefix="")
 
 
 @entry("op3_pca_tiled_dedup")

@@ -96,34 +96,29 @@ def plan(totals: DataFrame, exponent: float, budget_tokens: float | None = None)
     )
 
 
-def realise(
-    docs: DataFrame, planned: DataFrame, *, source_col: str, tokens: Column, keys: list[str], seed: int = 0, prefix: str = "mix_"
-) -> DataFrame:
-    """Rows of ``docs``, each as often as the budgets take it, with block, position in the block and order key.
+def _identity(docs: DataFrame, keys: list[str]) -> Column:
+    return F.xxhash64(*[docs[k] for k in keys])
 
-    ``keys`` tell rows apart. ``order_key`` in [0, 1) merges all sources: sorted by it, every stretch of the
-    result has about the target weights.
-    """
-    columns = docs.columns
-    while any(prefix + name in columns for name in ("block", "position", "order_key")):
-        prefix += "_"
-    source = docs[source_col]
-    row = docs.select(
-        F.struct(*[docs[c] for c in columns]).alias("row"), source.alias("source"), tokens.alias("n"),
-        F.xxhash64(*[docs[k] for k in keys]).alias("id"),
-    )
-    stats = planned.select(F.col("source").alias("own"), "tokens", "budget", "shards")
-    joined = row.join(stats, row["source"].eqNullSafe(stats["own"]))
-    full = F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(F.lit(1))
-    rest = F.when(F.col("tokens") > 0, F.col("budget") - full * F.col("tokens")).otherwise(F.lit(0))
-    blocks = F.when(rest > 0, full + 1).otherwise(full)
-    dealt = joined.withColumn("room", F.struct(full.alias("full"), rest.alias("rest")))
-    dealt = dealt.filter(blocks > 0).withColumn("block", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)))
-    place = F.xxhash64(F.lit(seed), F.col("block"), F.col("id"))
-    # the unsigned place, in 2**32 steps, gives the shard
-    dealt = dealt.withColumn("place", place).withColumn(
-        "shard", F.floor(F.shiftrightunsigned("place", 32) * F.col("shards") / F.lit(2.0**32))
-    )
+
+def _with_plan(rows: DataFrame, planned: DataFrame) -> DataFrame:
+    """Each row with its source's plan, its full blocks and the tokens left for the last one."""
+    filled = F.col("tokens") > 0
+    full = F.when(filled, F.floor(F.col("budget") / F.col("tokens"))).otherwise(F.lit(1)).cast("bigint")
+    rest = F.when(filled, F.col("budget") - F.col("full") * F.col("tokens")).otherwise(F.lit(0))
+    stats = planned.withColumn("full", full).withColumn("rest", rest).drop("rows", "weight").withColumnRenamed("source", "own")
+    return rows.join(stats, rows["source"].eqNullSafe(stats["own"])).drop("own")
+
+
+def _place(seed: int) -> Column:
+    """Order of the rows of a block; its upper half, without sign, comes first and also gives the shard."""
+    place = F.xxhash64(F.lit(seed), F.col("block").cast("bigint"), F.col("id"))
+    return F.struct(F.shiftrightunsigned(place, 32).alias("high"), place.alias("low"), F.col("id").alias("id"))
+
+
+def _ordered(dealt: DataFrame, seed: int) -> DataFrame:
+    """Adds ``place``, tokens up to and with each row, and its position, in the order of its (source, block)."""
+    dealt = dealt.withColumn("place", _place(seed))
+    dealt = dealt.withColumn("shard", F.floor(F.col("place.high") * F.col("shards") / F.lit(2.0**32)))
     group = ["source", "block", "shard"]
     sums = dealt.groupBy(*group).agg(F.sum("n").alias("shard_n"), F.count(F.lit(1)).alias("shard_rows"))
     before = Window.partitionBy("source", "block").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -132,29 +127,73 @@ def realise(
         F.coalesce(F.sum("shard_n").over(before), F.lit(0)).alias("n_before"),
         F.coalesce(F.sum("shard_rows").over(before), F.lit(0)).alias("rows_before"),
     ), "offsets")
-
-    order = Window.partitionBy(*group).orderBy(F.shiftrightunsigned("place", 32), "place", "id")
-    placed = dealt.withColumn("upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    order = Window.partitionBy(*group).orderBy("place")
+    # rows of equal place are taken together or not at all
+    placed = dealt.withColumn("upto", F.sum("n").over(order.rangeBetween(Window.unboundedPreceding, 0)))
     placed = placed.withColumn("at", F.row_number().over(order))
     same = placed["source"].eqNullSafe(offsets["s_source"]) & (placed["block"] == offsets["s_block"]) & (placed["shard"] == offsets["s_shard"])
-    whole = placed.join(offsets, same)
-    upto = F.col("n_before") + F.col("upto")
-    kept = whole.filter((F.col("block") < F.col("room.full")) | (upto <= F.col("room.rest")))
-    used = F.col("block") * F.col("tokens") + upto - F.col("n") * 0.5
+    return placed.join(offsets, same).withColumn("upto", F.col("n_before") + F.col("upto")).withColumn("position", F.col("rows_before") + F.col("at"))
+
+
+def realise(
+    docs: DataFrame, planned: DataFrame, *, source_col: str, tokens: Column, keys: list[str], seed: int = 0, prefix: str = "mix_"
+) -> DataFrame:
+    """Rows of ``docs``, each as often as the budgets take it, with block, position in the block and order key.
+
+    ``keys`` tell rows apart. ``order_key`` in [0, 1] merges all sources: sorted by it, every stretch of the
+    result has about the target weights. All columns of ``docs`` are shuffled: give it narrow rows.
+    """
+    columns = docs.columns
+    while any(prefix + name in columns for name in ("block", "position", "order_key")):
+        prefix += "_"
+    row = F.struct(*[docs[c] for c in columns]).alias("row")
+    rows = _with_plan(docs.select(row, docs[source_col].alias("source"), tokens.alias("n"), _identity(docs, keys).alias("id")), planned)
+    blocks = F.when(F.col("rest") > 0, F.col("full") + 1).otherwise(F.col("full"))
+    dealt = rows.filter(blocks > 0).withColumn("block", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)))
+    ordered = _ordered(dealt, seed)
+    kept = ordered.filter((F.col("block") < F.col("full")) | (F.col("upto") <= F.col("rest")))
+    used = F.col("block") * F.col("tokens") + F.col("upto") - F.col("n") * 0.5
     return kept.select(
         *[F.col("row")[c].alias(c) for c in columns],
-        F.col("block").cast("bigint").alias(f"{prefix}block"),
-        (F.col("rows_before") + F.col("at")).alias(f"{prefix}position"),
+        F.col("block").cast("bigint").alias(f"{prefix}block"), F.col("position").alias(f"{prefix}position"),
         F.when(F.col("budget") > 0, F.least(used / F.col("budget"), F.lit(1.0))).otherwise(F.lit(0.0)).alias(f"{prefix}order_key"),
     )
 
 
+def repeat_rows(docs: DataFrame, planned: DataFrame, *, source_col: str, tokens: Column, keys: list[str], seed: int = 0) -> DataFrame:
+    """The rows that ``realise`` takes, without places and with all columns, which are not shuffled.
+
+    Only the last block of a source leaves rows out: those beyond the place of the last one that fits. That
+    place is found on narrow rows; one row per source then decides in the scan of ``docs``.
+    """
+    own = [docs[source_col].alias("source"), _identity(docs, keys).alias("id")]
+    last = _with_plan(docs.select(*own, tokens.alias("n")), planned).filter("rest > 0").withColumn("block", F.col("full"))
+    fitting = _ordered(last, seed).filter(F.col("upto") <= F.col("rest"))
+    ends = store(fitting.groupBy(F.col("source").alias("end_source")).agg(F.max("place").alias("end")), "ends")
+    ended = planned.join(ends, planned["source"].eqNullSafe(ends["end_source"]), "left").drop("end_source")
+    rows = _with_plan(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *own), ended).withColumn("block", F.col("full"))
+    times = F.col("full") + F.coalesce(_place(seed) <= F.col("end"), F.lit(False)).cast("bigint")
+    taken = rows.withColumn("times", times).filter("times > 0").withColumn("time", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))))
+    return taken.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
+def mix_plan(docs: DataFrame, *, source_col: str, tokens: Column, entropy: float | None = None, max_repeats: float | None = None, budget_tokens: float | None = None) -> DataFrame:
+    """Totals, exponent and budgets in one call."""
+    totals = store(source_totals(docs, source_col, tokens), "sources")
+    return plan(totals, temper(totals, entropy=entropy, max_repeats=max_repeats), budget_tokens)
+
+
 def mix(
-    docs: DataFrame, *, source_col: str = "source", text_col: str = "text", keys: list[str] | None = None,
-    entropy: float | None = None, max_repeats: float | None = None, budget_tokens: float | None = None, seed: int = 0, prefix: str = "mix_",
+    docs: DataFrame, *, source_col: str = "source", tokens: Column | None = None, keys: list[str], seed: int = 0, prefix: str = "mix_", **goal,
 ) -> DataFrame:
-    """Temper, plan and realise in one call. ``docs`` is read several times: it should be a stored table."""
-    tokens = count_tokens(F.col(text_col))
-    totals = store(source_totals(docs, source_col, tokens), "sources")
-    planned = plan(totals, temper(totals, entropy=entropy, max_repeats=max_repeats), budget_tokens)
-    return realise(docs, planned, source_col=source_col, tokens=tokens, keys=keys or [source_col, text_col], seed=seed, prefix=prefix)
+    """Plan and realise; ``goal`` is for ``mix_plan``. ``docs`` is read several times: it should be a stored table."""
+    tokens = count_tokens(F.col("text")) if tokens is None else tokens
+    planned = mix_plan(docs, source_col=source_col, tokens=tokens, **goal)
+    return realise(docs, planned, source_col=source_col, tokens=tokens, keys=keys, seed=seed, prefix=prefix)
+
+
+def mix_whole_rows(docs: DataFrame, *, source_col: str = "source", tokens: Column | None = None, keys: list[str], seed: int = 0, **goal) -> DataFrame:
+    """As ``mix``, without places: the rows with all their columns, repeated, for tables with long texts."""
+    tokens = count_tokens(F.col("text")) if tokens is None else tokens
+    planned = mix_plan(docs, source_col=source_col, tokens=tokens, **goal)
+    return repeat_rows(docs, planned, source_col=source_col, tokens=tokens, keys=keys, seed=seed)
