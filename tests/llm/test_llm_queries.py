@@ -1,0 +1,74 @@
+"""Registered queries on the smallest tables, and the pipeline against its plain form."""
+
+import os
+
+import compare
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tillwise.llm import language_id, registry, secret_scan, simhash_dedup
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the test tables")
+KEYS = {"op3": ("embeddings", "vec_id"), "op4": ("conversations", "conv_id"), "op5": ("embeddings", None)}
+
+
+@pytest.mark.parametrize("name", registry.SPARK)
+def test_query_covers_its_table(spark, name):
+    out = registry.SPARK[name](spark, SF_DIR)
+    if name in registry.SQL:
+        difference = compare.difference(out, compare.connect(SF_DIR), registry.SQL[name])
+        assert not difference, difference
+        return
+    table, key = KEYS.get(name.split("_")[0], ("documents", "doc_id"))
+    rows = spark.read.parquet(f"{SF_DIR}/{table}.parquet")
+    if key is None:
+        assert out.count() == 5 * rows.filter("vec_id % 50 = 0").count()
+    else:
+        extra = {-1} if table == "conversations" else set()
+        assert {r[0] for r in out.select(key).distinct().collect()} == {r[0] for r in rows.select(key).distinct().collect()} | extra
+
+
+def test_pipeline_equals_plain_code(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    model = language_id.train(docs.filter(~language_id.held_out(F.col("doc_id"))))
+    rows = [r for r in docs.collect() if (p := model.score(r.text))[0] != "und" and p[1] >= corpus_pipeline.LEAST_SCORE]
+    prints = {r.doc_id: simhash_dedup.fingerprint(r.text) for r in rows}
+    groups = []
+    for i in sorted(prints):  # all pairs
+        near = [g for g in groups if any((prints[i] ^ prints[j]).bit_count() <= 2 for j in g)]
+        groups = [g for g in groups if g not in near] + [{i}.union(*near)]
+    kept = {r.doc_id: r for r in rows if r.doc_id in {min(g) for g in groups}}
+    clean = {i: secret_scan.redact(r.text, secret_scan.all_spans(r.text)) for i, r in kept.items()}
+
+    out = corpus_pipeline.run(spark, SF_DIR)
+    found = out.collect()
+    assert out.columns == ["doc_id", "source", "ids", "n_tokens"]
+    assert {r.doc_id for r in found} == set(kept)  # the mix takes every document once at least
+    times = {}
+    for r in found:
+        times[r.doc_id] = times.get(r.doc_id, 0) + 1
+    assert max(times.values()) <= registry.MAX_REPEATS
+    import public_tokenizers
+    import tiktoken
+
+    from tillwise.llm import byte_bpe
+
+    other = tiktoken.Encoding("other", pat_str=public_tokenizers.PATTERN, special_tokens={}, mergeable_ranks=byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    assert all(r.ids == other.encode_ordinary(clean[r.doc_id]) and r.n_tokens == len(r.ids) for r in found)
+
+
+def test_stages_keep_columns_and_stand_odd_rows(spark):
+    rows = [(1, None, None, None, None, "a"), (2, "", "en", "s", 0, "b"), (None, "the house and the garden stand here", "en", "s", 5, None),
+            (3, "token = abcdefgh12 and the house", "en", None, 9, "c"), (3, "token = abcdefgh12 and the house", "en", None, 9, "c"), (4, "über " * 20_000, "de", "t", 9, "c")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, found string")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, SF_DIR).columns == docs.columns
+        assert stage(spark, docs.limit(0), SF_DIR).count() == 0
+    found = docs
+    for _, stage in corpus_pipeline.STAGES:
+        found = stage(spark, found, SF_DIR)
+    assert {r.doc_id for r in found.collect()} == {None, 3, 4}
+    clean = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.redact_secrets(spark, docs, SF_DIR).collect()}
+    assert clean[3] == ("[assign] and the house", 22) and clean[1] == (None, None)

@@ -1,0 +1,86 @@
+"""Pattern spans against a plain scan; the battery on random and ordinary runs."""
+
+import base64
+import hashlib
+import random
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tillwise.llm import secret_scan as scan
+
+KEY = "AKIA" + "Q7" * 8
+HEX = "0123456789abcdef" * 3
+
+
+def plain_spans(text):
+    """The three patterns letter by letter, without flags."""
+    names = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in name) for name in ("password", "passwd", "secret", "token"))
+    names += "|[aA][pP][iI]_?[kK][eE][yY]"
+    assign = rf"""({names})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    found = [("assign", *m.span()) for m in re.finditer(assign, text) if len(m.group(2)) >= 8]
+    found += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if m.end() - m.start() >= 16]
+    return found + [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if m.end() - m.start() >= 32]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([
+    "password", "ToKeN", "api_key", "APIKEY", "ſecret", "toKen", "=", ":", " ", '"', "abcdefgh", "x1/+", KEY, HEX, "é", "\n", "🙂", "AKIA12", "deadbeef",
+]), max_size=14))
+def test_patterns(parts):
+    text = "".join(parts)
+    assert scan.pattern_spans(text) == plain_spans(text)
+
+
+def test_random_keys_are_found_and_words_are_not():
+    draw = random.Random(3)
+    keys = [base64.b64encode(draw.randbytes(30)).decode() for _ in range(500)]
+    found = sum(bool(scan.random_spans(f"see {key} there", [])) for key in keys)
+    assert found >= 485
+    ordinary = ["internationalization2version", "2024-01-02-the-long-title-of-a-page", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1",
+                "abcdefghijklmnopqrstuvwxyz0123456789", "donaudampfschifffahrtsgesellschaft1"]
+    assert not any(scan.random_spans(word, []) for word in ordinary)
+
+
+def test_level_holds_over_many_runs():
+    draw = random.Random(4)
+    runs = [base64.b64encode(draw.randbytes(draw.randrange(24, 60))).decode() for _ in range(400)]
+    assert len(scan.random_spans(" ".join(runs), [])) >= 390  # hardly any random run is cleared
+
+
+def test_battery_needs_all_three_statistics():
+    # uniform counts, but sorted: runs and serial correlation speak against it
+    assert scan.randomness(sorted(list(range(16)) * 4), 16) < 1e-6
+    assert scan.randomness([0, 15] * 32, 16) < 1e-6
+    assert scan.randomness([5] * 40, 16) < 1e-6
+
+
+def test_redaction_covers_overlaps():
+    text = f"token = {HEX} end"
+    spans = scan.all_spans(text)
+    assert [k for k, _, _ in spans] == ["assign", "hex"]
+    assert scan.redact(text, spans) == "[assign] end"
+
+
+def test_columns(spark):
+    long = "word " * 50_000 + KEY
+    rows = [(1, f"é password: 'hunter22' {KEY}", 0), (2, None, 0), (3, "", 0), (4, long, 0), (4, long, 0), (None, HEX, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, spans int")
+    out = scan.digest(scan.scan(docs))
+    assert out.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    got = sorted((str(r.doc_id), r.n_assign, r.n_access, r.n_hex, r.spans) for r in out.collect())
+    assert got == sorted([
+        ("1", 1, 1, 0, "assign:2:21,access:23:43"), ("2", 0, 0, 0, ""), ("3", 0, 0, 0, ""),
+        ("4", 0, 1, 0, "access:250000:250020"), ("4", 0, 1, 0, "access:250000:250020"), ("None", 0, 0, 1, "hex:0:48"),
+    ])
+    by_id = {r.doc_id: r.base_sha256 for r in out.collect()}
+    assert by_id[1] == hashlib.sha256(b"assign:2:21,access:23:43").hexdigest() and by_id[2] == hashlib.sha256(b"").hexdigest()
+    assert scan.scan(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text", [None, "", "nothing here"])
+def test_clean_texts_stay(spark, text):
+    row = spark.createDataFrame([(text,)], "text string").select(scan.scan_column("text")).first()[0]
+    assert row.clean_text == text and row.spans == []
