@@ -27,3 +27,8 @@ def test_query_equals_sql(spark, con, name):
 def test_flagship(spark):
     out = entry_points.entry(spark)
     assert len(out.columns) == 44 and out.count() == 80
+
+
+def test_batches_are_read_by_directory(spark):
+    plan = entry_points.queries()["scan_one_batch"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(partition_time" in plan
