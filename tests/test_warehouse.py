@@ -52,7 +52,7 @@ def test_ambiguous_batches_are_rejected(spark, sources, tmp_path):
     with pytest.raises(BatchRejected, match="several codes"):
         w.batch({**sources, "src_store": clash}, M[1], seed.AS_OF)
     twice = sources["src_customer"].union(sources["src_customer"])
-    with pytest.raises(BatchRejected, match="repeats a key"):
+    with pytest.raises(BatchRejected, match="repeats or lacks a key"):
         w.batch({**sources, "src_customer": twice}, M[1], seed.AS_OF)
 
 
