@@ -39,6 +39,7 @@ _PLAIN = {escaped[1]: char for char, escaped in _ESCAPES.items()}
 _TABLE = str.maketrans(_ESCAPES)
 _MARKED = re.compile(r"<s>\[ROLE\]([^\[\]<>]*)\[TEXT\]([^\[\]<>]*)\[END\]</s>\n")
 _ROWS = 1000
+_CHARS = 1 << 24
 
 
 def escape(text: str) -> str:
@@ -49,8 +50,25 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(.)", lambda m: _PLAIN[m[1]], text, flags=re.DOTALL) if "\\" in text else text
 
 
+class _Remembered(dict):
+    """Escaped texts of the conversation at hand, which is rendered again and again; forgotten beyond ``_CHARS``."""
+
+    chars = 0
+
+    def __missing__(self, text: str) -> str:
+        if self.chars > _CHARS:
+            self.clear()
+            self.chars = 0
+        escaped = self[text] = escape(text)
+        self.chars += len(escaped)
+        return escaped
+
+
+_ESCAPED = _Remembered()
+
+
 def BRACKETS(turns: list[Turn]) -> str:  # noqa: N802
-    return "".join([f"<s>[ROLE]{escape(role)}[TEXT]{escape(text)}[END]</s>\n" for role, text in turns])
+    return "".join([f"<s>[ROLE]{_ESCAPED[role]}[TEXT]{_ESCAPED[text]}[END]</s>\n" for role, text in turns])
 
 
 def read_back(formatted: str) -> list[Turn]:
