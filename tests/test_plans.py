@@ -121,3 +121,8 @@ def test_distinct_aggregation(spark):
     df = spark.createDataFrame(rows, "k string, u int, v string, w int")
     out = relational.aggregate_distinct(df, {"k": F.col("k")}, {"us": "u", "vs": "v"}, F.sum("w").alias("w"))
     assert seed.rows_of(out, "k", "us", "vs", "w") == [(None, 0, 1, 2), ("a", 2, 1, 5)]
+
+
+def test_customer_measures_are_hash_aggregated(spark, skewed):
+    for unique in (True, False):
+        assert "SortAggregate" not in plan(customer_marts.sales_by_customer(skewed, D("2026-10-01"), unique_orders=unique))
