@@ -50,6 +50,34 @@ def test_level_holds_over_many_runs():
     assert len(scan.random_spans(" ".join(runs), [])) >= 390  # hardly any random run is cleared
 
 
+def test_value_after_a_name_is_a_run_of_its_own():
+    draw = random.Random(5)
+    key = base64.b64encode(draw.randbytes(31)).decode()
+    assert key.endswith("=")
+    for name in ("AWS_ACCESS_KEY", "sig", "the-name-of-a-long-long-setting"):
+        start = len(name) + 1
+        assert ("random", start, start + len(key)) in scan.random_spans(f"{name}={key} end", []), name
+    assert scan.random_spans("=" * 40, []) == []
+
+
+def test_rest_of_a_run_beside_a_pattern_is_tested():
+    draw = random.Random(6)
+    left, right = (base64.b64encode(draw.randbytes(30)).decode() for _ in "ab")
+    text = f"{left}/{HEX}/{right}"
+    spans = scan.all_spans(text)
+    assert [k for k, _, _ in spans] == ["random", "hex", "random"]
+    clean = scan.redact(text, spans)
+    assert left not in clean and right not in clean and HEX not in clean
+    assert scan._cut("abcdef", [("a", 1, 4), ("b", 2, 3), ("c", 3, 5)]) == "a    f"
+
+
+def test_keys_of_letters_only_are_found():
+    draw = random.Random(7)
+    keys = ["".join(draw.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(24)) for _ in range(200)]
+    assert sum(bool(scan.random_spans(key, [])) for key in keys) >= 150
+    assert not any(scan.random_spans(word, []) for word in ("-" * 30, "_" * 30, "Donaudampfschifffahrtsgesellschaft", "0" * 30))
+
+
 def test_battery_needs_all_three_statistics():
     # uniform counts, but sorted: runs and serial correlation speak against it
     assert scan.randomness(sorted(list(range(16)) * 4), 16) < 1e-6

@@ -4,8 +4,9 @@ Patterns (spans in code points, end exclusive, leftmost and non-overlapping per
 ``assign`` a credential name, ``:`` or ``=``, and a value of 8 or more characters; ``access`` an access key id
 of 16 or more; ``hex`` 32 or more lower-case hexadecimal digits.
 
-Battery. Candidates are whole runs of ``MIN_RANDOM`` or more characters of ``[A-Za-z0-9+/_=-]`` with a digit
-and a letter that touch no pattern span. Each is taken as the smallest alphabet that holds it (hexadecimal,
+Battery. Candidates are runs of ``MIN_RANDOM`` or more characters of ``[A-Za-z0-9+/_-]``, with the ``=`` that pad
+them at the end. Pattern spans are cut out of the text first and an inner ``=`` divides, so the value of
+``name=value`` and each rest of a run beside a pattern span are runs of their own. Each is taken as the smallest alphabet that holds it (hexadecimal,
 base 32, base 64). Under "drawn at random from that alphabet" three statistics have known distributions: the
 chi-squared distance of the symbol counts from uniform (in as many equal parts of the alphabet as the length
 feeds with five expected symbols each), the number of runs above and below the middle of the alphabet, and
@@ -41,7 +42,7 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 
-_RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_RANDOM},}}")
+_RUN = re.compile(rf"([A-Za-z0-9+/_-]{{{MIN_RANDOM},}})(?:=+(?![A-Za-z0-9+/_=-]))?")
 _ALPHABETS = tuple(
     {char: place for place, char in enumerate(symbols)}
     for symbols in ("0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
@@ -91,30 +92,29 @@ def randomness(symbols: list[int], size: int) -> float:
     return min(1.0, 3 * min(p_uniform, p_runs, p_serial))
 
 
-def _encoded(run: str) -> tuple[list[int], int] | None:
-    """Symbols of a run in the smallest alphabet that holds all of it, padding left out."""
-    body = run.rstrip("=").translate(_URL_SAFE)
-    if len(body) < MIN_RANDOM:
-        return None
+def _encoded(body: str) -> tuple[list[int], int]:
+    """Symbols of a run in the smallest alphabet that holds all of it; the last one holds every run."""
+    body = body.translate(_URL_SAFE)
     present = set(body)
-    for places in _ALPHABETS:
-        if present <= places.keys():
-            return [places[c] for c in body], len(places)
-    return None
+    places = next(a for a in _ALPHABETS if present <= a.keys())
+    return [places[c] for c in body], len(places)
+
+
+def _cut(text: str, taken: list[Span]) -> str:
+    """The text with blanks in place of the spans."""
+    out, at = [], 0
+    for _, start, end in sorted(taken, key=lambda s: s[1]):
+        out += [text[at:start], " " * (end - max(at, start))]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
 
 
 def random_spans(text: str, taken: list[Span]) -> list[Span]:
     """Runs that the battery does not clear, outside the spans already found."""
     tested = []
-    for m in _RUN.finditer(text):
-        run, (start, end) = m[0], m.span()
-        if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
-            continue
-        if any(a < end and start < b for _, a, b in taken):
-            continue
-        encoded = _encoded(run)
-        if encoded:
-            tested.append((randomness(*encoded), len(encoded[0]), start, end))
+    for m in _RUN.finditer(_cut(text, taken)):
+        encoded = _encoded(m[1])
+        tested.append((randomness(*encoded), len(encoded[0]), *m.span()))
     if not tested:
         return []
     mean = sum(n for _, n, _, _ in tested) / len(tested)
