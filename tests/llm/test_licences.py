@@ -1,5 +1,7 @@
 """Normal forms and lookups; the SQL form on the given tables is compared in test_llm_queries."""
 
+import textwrap
+
 from pyspark.sql import functions as F
 
 from tillwise.llm import licences
@@ -20,6 +22,22 @@ def test_equal_forms(spark):
     assert form(spark, None) == form(spark, " \n--") == ""
 
 
+def test_known_texts_wrapped_at_any_width(spark):
+    rows = []
+    for name, text in licences.KNOWN.items():
+        for width in (30, 45, 60, 66, 72, 78, 100):
+            for line in ("Copyright (c) 2020, Some One", "Copyright Some One 1999", "(c) 2011 Some One", "Copyright by Some One", "© Some One"):
+                body = [line if p.startswith("Copyright") else textwrap.fill(p, width) for p in text.split("\n")]
+                rows.append((f"{name} {width}", "\n".join(body)))
+    found = licences.scan(spark.createDataFrame(rows, "doc_id string, text string"), licences.known_texts(spark)).collect()
+    assert len(found) == len(rows) and [r.doc_id for r in found if r.license != r.doc_id.rsplit(" ", 1)[0]] == []
+
+
+def test_body_lines_stay(spark):
+    for line in ("copyright notice and this permission notice", "copyright holders be liable", "(c) You must retain all notices"):
+        assert form(spark, f"x\n{line}\ny") == form(spark, f"x {line} y") != "x y"
+
+
 def test_rules_do_not_feed_themselves():
     for spelling, same in licences.SPELLINGS:
         assert spelling not in same, (spelling, same)

@@ -1,7 +1,8 @@
 """Licence scan: whole texts looked up among the digests of known licence texts, after normalising both.
 
 Normalising makes case, white space, punctuation, copyright lines and equivalent spellings alike: lines that
-state a copyright are dropped, ``licence`` becomes ``license`` and so on, and everything but letters, digits
+state a copyright (the word with a year, a sign, a placeholder or ``by``) are dropped, wrapped body lines that
+only begin with the word are not, ``licence`` becomes ``license`` and so on, and everything but letters, digits
 and the blanks between words goes. Equal normal forms have equal SHA-256 digests, so the lookup is a hash
 join on the digest. Known licences are one row per text; Spark broadcasts that side only while its size is
 below the session's threshold and joins by shuffle beyond it. Everything is a DataFrame function.
@@ -50,6 +51,11 @@ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH RE
 
 # lines end at a line feed only; ASCII letters and digits and everything from U+0080 up are kept
 COPYRIGHT_LINE = r"(?md)^[ \t*#/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# the lines that ``normalise`` drops; COPYRIGHT_LINE, any line that begins with the word, is what the SQL form drops
+STATED_COPYRIGHT = (
+    r"(?md)^[ \t*#/;-]*(copyright[ \t:,]*(\(c\)|©|by\b|[<\[{]|[^\n]*\b(19|20)[0-9]{2}\b)"
+    r"|\(c\)[ \t]*(copyright|[<\[{]|[^\n]*\b(19|20)[0-9]{2}\b)|©|all rights reserved)[^\n]*$"
+)
 NOT_WORD = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 
 
@@ -57,7 +63,7 @@ def normalise(text: Column) -> Column:
     """Canonical form; an empty string for null."""
     # only ASCII letters change case: engines differ on others
     lower = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = F.regexp_replace(F.regexp_replace(lower, COPYRIGHT_LINE, " "), NOT_WORD, " ")
+    words = F.regexp_replace(F.regexp_replace(lower, STATED_COPYRIGHT, " "), NOT_WORD, " ")
     for spelling, same in SPELLINGS:
         words = F.replace(words, F.lit(spelling), F.lit(same))
     return F.trim(words)
