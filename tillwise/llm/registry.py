@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.llm import (
-    byte_bpe, chat_format, hilbert_ann, language_id, licences, lm_scoring, pca_dedup, secret_scan, simhash_dedup, source_mixing,
+    byte_bpe, chat_format, hard_negatives, hilbert_ann, language_id, licences, lm_scoring, pca_dedup, secret_scan, simhash_dedup, source_mixing,
 )
 
 MAX_REPEATS = 2.0
@@ -138,3 +138,32 @@ def _licence_sql() -> str:
 @entry("op10_licence_lookup", _licence_sql())
 def _(spark, table):
     return licences.scan(table("documents"), licences.known_texts(spark))
+
+
+_HARD_NEGATIVES = """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS cells
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+               CAST(list_inner_product(a.cells, b.cells) AS BIGINT) AS score
+        FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+    ), positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT anchor_id, positive_id,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+    QUALIFY rank <= 5"""
+
+
+@entry("op11_hard_negatives", _HARD_NEGATIVES)
+def _(spark, table):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table("embeddings"), F.col("vec_id") % 100 == 0, label)
