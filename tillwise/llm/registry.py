@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.llm import (
-    byte_bpe, chat_format, hard_negatives, hilbert_ann, language_id, licences, lm_scoring, pca_dedup, secret_scan, simhash_dedup, source_mixing,
+    byte_bpe, chat_format, decontamination, hard_negatives, hilbert_ann, language_id, licences, lm_scoring, pca_dedup, secret_scan, simhash_dedup,
+    source_mixing,
 )
 
 MAX_REPEATS = 2.0
@@ -167,3 +168,34 @@ _HARD_NEGATIVES = """
 def _(spark, table):
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(table("embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+_DECONTAMINATION = r"""
+    WITH form AS (
+        SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
+    ), words AS (
+        SELECT kind, id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM form
+    ), items AS (SELECT id, w, least(len(w), 10) AS k FROM words WHERE kind = 'b' AND len(w) > 0),
+    wins AS (
+        SELECT DISTINCT id AS item_id, k, array_to_string(w[i:i + k - 1], ' ') AS t
+        FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM items)
+    ), places AS (
+        SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS t
+        FROM (SELECT id AS doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+              FROM words, (SELECT DISTINCT k FROM wins) WHERE kind = 'd')
+    ), found AS (SELECT doc_id, i, k, item_id FROM places JOIN wins USING (k, t)),
+    covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM found) GROUP BY 1),
+    named AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY 1
+    )
+    SELECT id AS doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM words LEFT JOIN covered ON id = covered.doc_id LEFT JOIN named ON id = named.doc_id WHERE kind = 'd'"""
+
+
+@entry("op13_benchmark_decontamination", _DECONTAMINATION)
+def _(spark, table):
+    return decontamination.scan(table("documents"), table("benchmark"))
