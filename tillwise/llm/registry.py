@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tillwise.llm import (
     byte_bpe, chat_format, decontamination, hard_negatives, hilbert_ann, language_id, licences, lm_scoring, pca_dedup, secret_scan, simhash_dedup,
-    source_mixing,
+    source_mixing, spelling,
 )
 
 MAX_REPEATS = 2.0
@@ -170,6 +170,11 @@ def _(spark, table):
     return hard_negatives.mine(table("embeddings"), F.col("vec_id") % 100 == 0, label)
 
 
+@entry("op12_spelling_variants")
+def _(spark, table):
+    return spelling.group_variants(table("documents"))
+
+
 _DECONTAMINATION = r"""
     WITH form AS (
         SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
