@@ -57,7 +57,7 @@ def _timed(work) -> float:
 
 def _warehouse(spark: SparkSession, tables) -> dict[str, float]:
     """A full build without its last month, then that month as a batch; marts are timed on their own above."""
-    sources = {name: tables[name] for name in ("src_sales", "src_store", "src_customer")}
+    sources = {"src_sales": tables["src_sales_files"]} | {name: tables[name] for name in ("src_store", "src_customer")}
     warehouse = RetailWarehouse(spark, fresh_path(spark))
     before = views.LAST_MONTH.replace(month=views.LAST_MONTH.month - 1)
     full = _timed(lambda: warehouse.full(sources, before, views.AS_OF, with_marts=False))

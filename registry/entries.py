@@ -17,9 +17,10 @@ from tillwise.operators import (
     customer_marts, facts, identity, kpis, quality, relational, reports, sales_marts, snapshots, store_marts,
 )
 from tillwise.plans.monthly import RetailWarehouse
-from tillwise.schemas import TIERS
+from tillwise.schemas import CUSTOMER_CHECK_COLUMNS, SALES_CHECK_COLUMNS, SRC_SALES, STORE_CHECK_COLUMNS, TIERS
 from tillwise.sources import tables as sinks
 from tillwise.sources.shared import fresh_path, store
+from tillwise.streaming import arrivals
 
 Query = Callable[[RetailTables], DataFrame]
 SPARK: dict[str, Query] = {}
@@ -354,7 +355,7 @@ def _state_1998(t):
 
 
 def _batch_1999(t):
-    return identity.store_mapping(t["src_store"], dt.date(1999, 1, 1))
+    return identity.store_mapping(t["src_store"], dt.date(1999, 1, 1), t["store_seen_1998"])
 
 
 @entry("store_mapping", f"SELECT initial_store_code, store_code, {d('day', 'start_date')} FROM {_BATCH_1999}")
@@ -635,7 +636,19 @@ def _(t):
 
 @entry("merge_code_history", _HISTORY + " WHERE start_date <= DATE '1999-01-01'")
 def _(t):
-    return identity.merge_code_history(_state_1998(t), t["src_store"], dt.date(1999, 1, 1))
+    return identity.merge_code_history(_state_1998(t), t["src_store"], dt.date(1999, 1, 1), t["store_seen_1998"])
+
+
+@entry("merge_first_seen", "SELECT initial_store_code, latitude, longitude FROM store_names")
+def _(t):
+    """State of the batches up to 1998 and, appended to it, what each of two later parts adds; merged by least row."""
+    stores, cut = t["src_store"], dt.date(1998, 12, 1)
+    late = stores.filter(F.col("partition_time") >= F.lit(dt.date(1999, 1, 1)))
+    early = relational.upto_batch(stores, cut).filter("cast(latitude as bigint) % 3 > 0")
+    state = identity.first_seen(early)
+    for part in (late, relational.upto_batch(stores, cut)):
+        state = state.unionByName(identity.first_seen_changes(identity.merge_first_seen(state), part))
+    return identity.merge_first_seen(state).select("initial_store_code", "latitude", "longitude")
 
 
 _CLASH = """
@@ -739,6 +752,39 @@ def _(t):
     return snapshots.store_history(t["src_store_detail"])
 
 
+@entry("events_customer", _DIM_CUSTOMER)
+def _(t):
+    """Two loads of customers appended to the events of those before; a batch adds changed keys only."""
+    rows = t["src_customer"].withColumnRenamed("partition_time", "partition_date")
+    events = snapshots.events_of(snapshots.customer_history(relational.upto_batch(t["src_customer"], YEARS[-3])))
+    for day in YEARS[-2:]:
+        batch = relational.one_batch(rows, day, "partition_date")
+        events = events.unionByName(snapshots.opened_versions(events, batch, "customer_id", CUSTOMER_CHECK_COLUMNS, day))
+    return snapshots.versions_of(events, "customer_id")
+
+
+@entry("events_store", _DIM_STORE)
+def _(t):
+    rows = t["src_store_detail"].withColumnRenamed("partition_time", "partition_date")
+    events = snapshots.events_of(snapshots.store_history(relational.upto_batch(t["src_store_detail"], YEARS[-3])))
+    for day in YEARS[-2:]:
+        batch = relational.one_batch(rows, day, "partition_date")
+        events = events.unionByName(snapshots.opened_versions(events, batch, "store_code", STORE_CHECK_COLUMNS, day))
+    return snapshots.versions_of(events, "store_code")
+
+
+@entry("events_sales", _DIM_SALES)
+def _(t):
+    """Each load of sales, with all older loads and rows that have no id, compared with the events before it."""
+    loads = t["sales_corrections"]
+    nameless = loads.filter("order_id % 100 = 0").withColumn("order_id", F.lit(None).cast("bigint"))
+    events = snapshots.events_of(snapshots.sales_history(relational.one_batch(loads, CORRECTIONS[0])))
+    for day in CORRECTIONS[1:]:
+        batch = relational.upto_batch(loads.union(nameless), day)
+        events = events.unionByName(snapshots.opened_versions(events, batch, "order_id", SALES_CHECK_COLUMNS, day, "partition_time"))
+    return snapshots.versions_of(events, "order_id")
+
+
 # === marts =========================================================================================
 
 
@@ -989,10 +1035,15 @@ def _(t):
 # === full build and one batch on a warehouse folder ================================================
 
 
+def _warehouse_sources(t, sales="src_sales_files", *others):
+    """Sales as files, one directory per batch; the warehouse tells changed batches by their files."""
+    return {"src_sales": t[sales]} | {name: t[name] for name in ("src_store", *others)}
+
+
 @entry("warehouse_full_then_batch", _kpi_sql("kpi_exec_summary"))
 def _(t):
     """All batches but the last are built at once, the last one is added; the result is that of all."""
-    sources = {name: t[name] for name in ("src_sales", "src_store", "src_customer", "src_store_detail")}
+    sources = _warehouse_sources(t, "src_sales_files", "src_customer", "src_store_detail")
     warehouse = RetailWarehouse(t.spark, fresh_path(t.spark))
     warehouse.full(sources, dt.date(2001, 7, 1), AS_OF, with_marts=False)
     warehouse.batch(sources, LAST_MONTH, AS_OF)
@@ -1015,18 +1066,17 @@ _REBUILT = f"""
 
 @entry("warehouse_rebuild", _REBUILT)
 def _(t):
-    """Built up to December, January added, built up to December again: nothing of January is left."""
-    sources = {name: t[name] for name in ("src_sales", "src_store", "src_customer")}
+    """Built up to December, January added; as of December nothing of January is seen."""
+    sources = _warehouse_sources(t, "src_sales_files", "src_customer")
     warehouse = RetailWarehouse(t.spark, fresh_path(t.spark))
     before, after = dt.date(1998, 12, 1), dt.date(1999, 1, 1)
-    warehouse.full(sources, before, AS_OF, with_marts=False)
-    warehouse.batch(sources, after, AS_OF, with_marts=False)
     warehouse.full(sources, before, AS_OF)
+    warehouse.batch(sources, after, AS_OF, with_marts=False)
     text, day = lambda c: F.col(c).cast("string"), lambda c: F.col(c).cast("date").cast("string")
     none = F.lit(None).cast("string")
 
     def rows(name, key, since=none, until=none, detail=none):
-        return warehouse.table(name).select(
+        return warehouse.table(name, before).select(
             F.lit(name).alias("table"), key.alias("key"), since.alias("since"), until.alias("until"), detail.alias("detail"))
 
     return reduce(DataFrame.unionByName, [
@@ -1040,7 +1090,7 @@ def _(t):
 @entry("warehouse_dim_sales", _DIM_SALES)
 def _(t):
     """Three batches that bring late orders and corrections, on a warehouse folder."""
-    sources = {"src_sales": t["sales_corrections"], "src_store": t["src_store"]}
+    sources = _warehouse_sources(t, "sales_corrections_files")
     warehouse = RetailWarehouse(t.spark, fresh_path(t.spark))
     warehouse.full(sources, CORRECTIONS[0], AS_OF, with_marts=False)
     for day in CORRECTIONS[1:]:
@@ -1048,6 +1098,20 @@ def _(t):
     return warehouse.table("dim_sales")
 
 
+@entry("sales_arrivals", _BATCHES + " GROUP BY ALL")
+def _(t):
+    """Sales that arrive as files in three loads, with orders that come again, appended by a stream to a started fact."""
+    source, fact, state = (fresh_path(t.spark, name) for name in ("arriving", "fact", "checkpoint"))
+    sales = t["src_sales"].select(*[F.col(f.name).cast(f.dataType) for f in SRC_SALES])
+    arrivals.start_fact(relational.upto_batch(sales, dt.date(1997, 6, 1)), fact)
+    for cut in (dt.date(1998, 1, 1), MID, LAST_MONTH):
+        again = sales.filter("order_id % 10 = 0")
+        arriving = relational.upto_batch(sales, cut).filter(F.col("partition_time") > F.lit(dt.date(1997, 3, 1)))
+        sinks.write_table(arriving.unionByName(again), source, mode="append")
+        arrivals.append_arrivals(t.spark, source, fact, state).awaitTermination()
+    return _per_batch(arrivals.read_fact(t.spark, fact))
+
+
 # === reports =======================================================================================
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillwise.operators import facts, identity, snapshots
 from tillwise.operators.customer_marts import RfmConfig
+from tillwise.operators.relational import upto_batch
 from tillwise.plans.layers import Layers
 from tillwise.sources.shared import store
 
@@ -33,10 +34,10 @@ STORED = {
     "fact_sales", "sales_lines", "code_history", "dim_customer", "store_performance", "store_directory", "sales_summary",
     "sales_by_product", "sales_by_customer", "customer_profile", "kpi_revenue", "kpi_orders",
     "kpi_customer_retention", "kpi_store", "kpi_product", "kpi_exec_summary", "month_base",
-    "fact_by_batch",
+    "fact_by_batch", "src_sales_files", "sales_corrections_files", "store_seen_1998",
 }
 # directories of stored tables: scans of single batches read nothing else
-PARTITIONED = {"fact_by_batch": ("partition_time",)}
+PARTITIONED = dict.fromkeys(("fact_by_batch", "src_sales_files", "sales_corrections_files"), ("partition_time",))
 
 
 def store_code(key: Column, day: Column, renamed: Column) -> Column:
@@ -169,6 +170,13 @@ class RetailTables(Layers):
             qty.cast("bigint").alias("quantity"), price.alias("unit_price"), "total_amount", F.col("load").alias("partition_time"),
         )
 
+    def _src_sales_files(self) -> DataFrame:
+        """Sales as a monthly export leaves them: files, one directory per batch."""
+        return self["src_sales"]
+
+    def _sales_corrections_files(self) -> DataFrame:
+        return self["sales_corrections"]
+
     # --- intermediate ------------------------------------------------------------------------------
 
     def _fact_sales(self) -> DataFrame:
@@ -182,6 +190,10 @@ class RetailTables(Layers):
     def _code_history(self) -> DataFrame:
         return identity.build_code_history(self["src_store"], LAST_MONTH)
 
+    def _store_seen_1998(self) -> DataFrame:
+        """The stored state that the batch of January 1999 is merged into."""
+        return identity.first_seen(upto_batch(self["src_store"], dt.date(1998, 12, 1)))
+
     def _dim_customer(self) -> DataFrame:
         return snapshots.customer_history(self["src_customer"])
 

@@ -3,6 +3,7 @@ from functools import reduce
 
 import pytest
 import seed
+from pyspark.sql import functions as F
 
 from tillwise.operators import identity
 from tillwise.schemas import OPEN_END
@@ -13,7 +14,11 @@ M1, M2, M3 = "2026-01-01", "2026-02-01", "2026-03-01"
 
 def fold(spark, src, batches):
     first = identity.build_code_history(src, D(batches[0]))
-    return reduce(lambda h, b: identity.merge_code_history(h, src, D(b)), batches[1:], first)
+    return reduce(lambda h, b: identity.merge_code_history(h, src, D(b), seen_before(src, b)), batches[1:], first)
+
+
+def seen_before(src, batch):
+    return identity.first_seen(src.filter(F.col("partition_time") < F.lit(D(batch))))
 
 
 def test_codes_close_and_open(spark):
@@ -52,7 +57,7 @@ def test_coordinates_compare_as_text(spark):
 def test_merge_is_idempotent(spark):
     src = seed.stores(spark, [(M1, "A", "1", "1"), (M2, "B", "1", "1")])
     once = fold(spark, src, [M1, M2])
-    assert seed.rows_of(identity.merge_code_history(once, src, D(M2))) == seed.rows_of(once)
+    assert seed.rows_of(identity.merge_code_history(once, src, D(M2), seen_before(src, M2))) == seed.rows_of(once)
 
 
 @pytest.mark.parametrize("random_seed", [1, 2])
@@ -68,3 +73,32 @@ def test_fold_equals_rebuild_without_returning_codes(spark, random_seed):
                 rows.append((b, code[place], str(place), "0"))
     src = seed.stores(spark, rows)
     assert seed.rows_of(fold(spark, src, batches)) == seed.rows_of(identity.build_code_history(src, D(M3)))
+
+
+@pytest.mark.parametrize("random_seed", [1, 2])
+def test_first_seen_merges_in_any_order(spark, random_seed):
+    rng = random.Random(random_seed)
+    rows = [(b, rng.choice("ABC"), str(rng.randrange(8)), rng.choice(["0", None])) for b in (M1, M2, M3) for _ in range(12)]
+    src = seed.stores(spark, rows)
+    want = seed.rows_of(identity.first_seen(src))
+    order = [M1, M2, M3]
+    rng.shuffle(order)
+    state, added = identity.first_seen(src.limit(0)), 0
+    for b in order:
+        changes = identity.first_seen_changes(identity.merge_first_seen(state), src.filter(F.col("partition_time") == F.lit(D(b))))
+        added += changes.count()
+        state = state.unionByName(changes)
+    assert seed.rows_of(identity.merge_first_seen(state)) == want
+    again = identity.first_seen_changes(identity.merge_first_seen(state), src)
+    assert again.count() == 0 and added == state.count()
+
+
+def test_history_of_changes(spark):
+    src = seed.stores(spark, [(M1, "A", "1", "1"), (M2, "B", "1", "1"), (M3, "A", "1", "1"), (M1, "C", "2", "1"), (M3, "C", "2", "1")])
+    parts = identity.build_code_history(src, D(M1)).withColumn("day", F.lit(D(M1)))
+    for b in (M2, M3):
+        target = identity.history_of_changes(parts, "day")
+        changes = identity.code_changes(target, src, D(b), seen_before(src, b))
+        assert changes.count() == 2  # one closed, one opened; the other store writes nothing
+        parts = parts.unionByName(changes.withColumn("day", F.lit(D(b))))
+    assert seed.rows_of(identity.history_of_changes(parts, "day")) == seed.rows_of(fold(spark, src, [M1, M2, M3]))

@@ -95,9 +95,14 @@ def test_history_equals_fold_and_brute_force(spark, random_seed):
                     want.append((*open_row, d))
                 open_row = [key, v, w, d]
         want.append((*open_row, None))
+    events = snapshots.events_of(snapshots.snapshot_history(src.filter(F.col("day") == DAYS[0]), "k", ["v", "w"], "day"))
+    for d in DAYS[1:]:
+        events = events.unionByName(snapshots.opened_versions(events, src.filter(F.col("day") == d), "k", ["v", "w"], D(d)))
+    series = snapshots.versions_of(events, "k")
     cols = [F.col("k"), F.col("v"), F.col("w"), *[F.col(c).cast("date").cast("string").alias(c) for c in ("valid_from", "valid_to")]]
     assert sorted(map(tuple, history.select(*cols).collect()), key=repr) == sorted(want, key=repr)
     assert sorted(map(tuple, folded.select(*cols).collect()), key=repr) == sorted(want, key=repr)
+    assert sorted(map(tuple, series.select(*cols).collect()), key=repr) == sorted(want, key=repr)
 
 
 def test_ambiguous_keys(spark):
@@ -111,3 +116,14 @@ def test_repeated_orders_have_one_open_version(spark):
     first = snapshots.snapshot_sales(None, loads.filter(F.col("partition_time") == F.lit(D(DAYS[0]))), D(DAYS[0]))
     after = snapshots.snapshot_sales(first, loads, D(DAYS[1]))
     assert seed.rows_of(after.select("quantity", F.col("valid_to").isNull())) == [(2, False), (3, True)]
+
+
+def test_events_hold_changes_only(spark):
+    rows = [(f"k{i}", "a", "x") for i in range(50)]
+    batch = lambda rows: spark.createDataFrame(rows, "k string, v string, note string")
+    events = snapshots.events_of(snapshots.snapshot_check(None, batch(rows), "k", ["v"], D(DAYS[0])))
+    assert events.count() == 50
+    same = snapshots.opened_versions(events, batch([(k, v, "another note") for k, v, _ in rows]), "k", ["v"], D(DAYS[1]))
+    assert same.count() == 0
+    fresh = snapshots.opened_versions(events, batch([("k1", "b", "x"), ("k2", "a", "x"), ("k3", None, "x"), ("new", "a", "x"), (None, "a", "x")]), "k", ["v"], D(DAYS[1]))
+    assert sorted(r.k for r in fresh.collect()) == ["k1", "k3", "new"]

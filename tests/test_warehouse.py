@@ -4,20 +4,26 @@ from pyspark.sql import functions as F
 
 from tillwise.plans.monthly import BatchRejected, RetailWarehouse
 from tillwise.sources import tables
-from tillwise.streaming.arrivals import append_arrivals
+from tillwise.streaming.arrivals import append_arrivals, append_sales_batch, read_fact, start_fact
 
 D = seed.D
 M = seed.MONTHS
 
 
+def as_files(spark, sales, path):
+    """Sales as an export leaves them: one directory per batch."""
+    tables.write_table(sales, str(path), partition_by=["partition_time"], mode="append")
+    return tables.read_source(spark, str(path), "src_sales")
+
+
 @pytest.fixture(scope="module")
-def sources(spark):
+def sources(spark, tmp_path_factory):
     stores = [(str(m), f"Y00{i}", f"-{i}", "100") for m in M for i in range(1, 6)]
     stores += [(str(m), "Z1" if m < M[1] else "Z2", "-9", "100") for m in M]
     tiers = {M[0]: "Bronze", M[1]: "Silver", M[2]: "Gold"}
     customers = [(str(m), f"CUST{i:03d}", tiers[m] if i == 1 else "Bronze") for m in M for i in range(1, 15)]
     return {
-        "src_sales": seed.sales(spark).cache(), "src_store": seed.stores(spark, stores).cache(),
+        "src_sales": as_files(spark, seed.sales(spark), tmp_path_factory.mktemp("sales")), "src_store": seed.stores(spark, stores).cache(),
         "src_customer": seed.customers(spark, customers).cache(),
     }
 
@@ -25,8 +31,12 @@ def sources(spark):
 TABLES = ("fact_sales", "code_history", "dim_customer", "dim_sales", "store_directory", "customer_profile", "kpi_exec_summary")
 
 
-def contents(w):
-    return {name: seed.rows_of(w.table(name), *sorted(w.table(name).columns)) for name in TABLES}
+def contents(w, day=None):
+    return {name: seed.rows_of(w.table(name, day), *sorted(w.table(name, day).columns)) for name in TABLES}
+
+
+def added(spark, w, name, day):
+    return spark.read.parquet(f"{w.root}/{name}/day={day}").count()
 
 
 def test_batches_equal_full_build(spark, sources, tmp_path):
@@ -40,6 +50,11 @@ def test_batches_equal_full_build(spark, sources, tmp_path):
     assert contents(step) == want
     step.batch(sources, M[2], seed.AS_OF)  # the same batch again
     assert contents(step) == want
+    # a batch writes what it changes: CUST001's tier, Z1 closed for Z2, its own orders
+    assert [added(spark, step, "dim_customer", m) for m in M] == [14, 1, 1]
+    assert [added(spark, step, "code_history", m) for m in M] == [6, 2, 0]
+    assert [added(spark, step, "store_seen", m) for m in M] == [6, 0, 0]
+    assert [added(spark, step, "fact_sales", m) for m in M] == [10, 7, 7] == [added(spark, step, "dim_sales", m) for m in M]
     assert step.table("code_history").count() == 7 and len(want["kpi_exec_summary"]) == 3
     outcome = step.check(seed.AS_OF)
     assert [r.check for r in outcome.filter("not passed").collect()] == ["freshness"] and outcome.count() > 140  # the seed is old
@@ -56,22 +71,59 @@ def test_ambiguous_batches_are_rejected(spark, sources, tmp_path):
         w.batch({**sources, "src_customer": twice}, M[1], seed.AS_OF)
 
 
-def test_a_full_build_leaves_nothing_of_a_later_batch(spark, sources, tmp_path):
+def test_earlier_days_stay_readable(spark, sources, tmp_path):
     fresh = RetailWarehouse(spark, str(tmp_path / "fresh"))
     fresh.full(sources, M[0], seed.AS_OF)
     w = RetailWarehouse(spark, str(tmp_path / "w"))
-    w.full(sources, M[0], seed.AS_OF, with_marts=False)
-    w.batch(sources, M[1], seed.AS_OF)
+    w.full(sources, M[0], seed.AS_OF)
     before = w.table("fact_sales")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        w.full(sources, M[0], seed.AS_OF)
+        for with_marts in (False, True):
+            w.batch(sources, M[1], seed.AS_OF, with_marts=with_marts)
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-    assert contents(w) == contents(fresh)
-    assert before.count() == 17  # a reader of the earlier commit still sees it
-    w.vacuum()
-    assert contents(w) == contents(fresh) and [p.name for p in (tmp_path / "w" / "data").iterdir()] == ["3"]
+    assert contents(w, M[0]) == contents(fresh) and before.count() == 10
+    assert w.table("fact_sales").count() == 17 and w.table("kpi_exec_summary").count() == 2
+    with pytest.raises(ValueError, match="holds a build"):
+        w.full(sources, M[0], seed.AS_OF)
+    with pytest.raises(BatchRejected, match="has to come after"):
+        w.batch(sources, M[0], seed.AS_OF)
+    none = RetailWarehouse(spark, str(tmp_path / "none"))
+    with pytest.raises(KeyError, match="no full build"):
+        none.batch(sources, M[1], seed.AS_OF)
+    with pytest.raises(KeyError):
+        none.table("fact_sales")
+
+
+def test_an_unfinished_build_is_not_seen(spark, sources, tmp_path, monkeypatch):
+    w = RetailWarehouse(spark, str(tmp_path / "w"))
+    w.full(sources, M[0], seed.AS_OF, with_marts=False)
+    counts = lambda: [w.table(name).count() for name in ("fact_sales", "code_history", "dim_customer", "dim_sales")]
+    want = counts()
+    monkeypatch.setattr(RetailWarehouse, "_finish", lambda *_: None)  # it broke off before its last write
+    w.batch(sources, M[1], seed.AS_OF, with_marts=False)
+    monkeypatch.undo()
+    assert counts() == want == [10, 6, 14, 10]
+    w.batch(sources, M[1], seed.AS_OF, with_marts=False)
+    assert counts() == [17, 7, 15, 17]
+
+
+def test_changed_files_are_found_without_reading_data(spark, tmp_path):
+    sales = as_files(spark, seed.sales(spark), tmp_path / "sales")
+    files = tables.source_files(sales)
+    assert "ReadSchema: struct<>" in files._jdf.queryExecution().executedPlan().toString()
+    known = files.collect()
+    assert sorted({r.batch for r in known}) == M
+    paths = [r.path for r in known if r.batch == M[1]]
+    some = tables.rows_of_files(sales, paths)
+    assert [r.order_id for r in some.select("order_id").orderBy("order_id").collect()] == list(range(11, 18))
+    plan = some._jdf.queryExecution().executedPlan()
+    scan = plan.collectLeaves().head()
+    plan.executeCollect()
+    assert scan.metrics().apply("numFiles").value() == len(paths)
+    with pytest.raises(ValueError, match="read from files"):
+        tables.source_files(seed.sales(spark))
 
 
 def test_overwrite_replaces_the_table_in_any_session(spark, tmp_path):
@@ -87,11 +139,11 @@ def test_overwrite_replaces_the_table_in_any_session(spark, tmp_path):
 
 def test_late_rows_corrections_and_missing_ids(spark, sources, tmp_path):
     w = RetailWarehouse(spark, str(tmp_path / "w"))
-    sales = sources["src_sales"]
+    sales, exported = seed.sales(spark), tmp_path / "sales"
     late = sales.filter(F.col("order_id") == 3)
-    w.full({**sources, "src_sales": sales.subtract(late)}, M[0], seed.AS_OF, with_marts=False)
+    w.full({**sources, "src_sales": as_files(spark, sales.subtract(late), exported)}, M[0], seed.AS_OF, with_marts=False)
     corrected = sales.filter(F.col("order_id") == 1).withColumn("quantity", F.lit(9)).withColumn("partition_time", F.lit(M[1]))
-    now = {**sources, "src_sales": sales.unionByName(corrected)}
+    now = {**sources, "src_sales": as_files(spark, late.unionByName(corrected), exported)}  # a file more for each of two batches
     for _ in range(2):  # the second time nothing changes
         w.batch(now, M[1], seed.AS_OF, with_marts=False)
         fact = w.table("fact_sales")
@@ -100,23 +152,13 @@ def test_late_rows_corrections_and_missing_ids(spark, sources, tmp_path):
         versions = w.table("dim_sales").filter("order_id = 1").orderBy("valid_from").collect()
         assert [v.quantity == 9 for v in versions] == [False, True] and versions[0].valid_to == versions[1].valid_from
         assert w.table("dim_sales").filter("valid_to is null").count() == 17
+        assert added(spark, w, "dim_sales", M[1]) == 9  # seven orders of the month, a late one, a correction
+    nameless = as_files(spark, late.withColumn("order_id", F.lit(None).cast("bigint")), exported)
     with pytest.raises(BatchRejected, match="without an id"):
-        w.batch({**sources, "src_sales": now["src_sales"].union(late.withColumn("order_id", F.lit(None).cast("bigint")))}, M[1], seed.AS_OF)
+        w.batch({**sources, "src_sales": nameless}, M[2], seed.AS_OF)
     assert w.table("fact_sales").count() == 17
 
 
-def test_commits(spark, tmp_path):
-    root = str(tmp_path / "c")
-    assert tables.read_commit(spark, root) == (0, {})
-    tables.write_commit(spark, root, 1, {"a": [1]})
-    tables.write_commit(spark, root, 2, {"a": [1, 2]})
-    assert tables.read_commit(spark, root) == (2, {"a": [1, 2]})
-    (tmp_path / "c" / "commits" / "00000002" / "_SUCCESS").unlink()  # a write that was never finished
-    assert tables.read_commit(spark, root) == (1, {"a": [1]})
-    with pytest.raises(ValueError):
-        tables.write_commit(spark, root, 1, {})
-
-
 def test_declared_schema_and_layout(spark, tmp_path):
     path = str(tmp_path / "sales")
     tables.write_table(seed.sales(spark), path, partition_by=["partition_time"], sort_by=["store_code"])
@@ -126,17 +168,34 @@ def test_declared_schema_and_layout(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(partition_time" in plan and "ReadSchema: struct<order_id:bigint>" in plan
 
 
-def test_arriving_files(spark, sources, tmp_path):
+def test_arriving_files(spark, tmp_path):
     source, fact, state = (str(tmp_path / x) for x in ("in", "fact", "state"))
-    sales = sources["src_sales"]
-    w = tables.write_table
-    w(sales.filter(F.col("partition_time") == F.lit(M[0])), fact, partition_by=["partition_time"])
+    sales = seed.sales(spark)
+    start_fact(sales.filter(F.col("partition_time") == F.lit(M[0])), fact)
 
     def arrive(day):
-        w(sales.filter(F.col("partition_time") <= F.lit(day)), source, mode="append")
+        tables.write_table(sales.filter(F.col("partition_time") <= F.lit(day)), source, mode="append")
         append_arrivals(spark, source, fact, state).awaitTermination()
-        return spark.read.parquet(fact).count()
+        return read_fact(spark, fact).count()
 
     assert [arrive(m) for m in M] == [10, 17, 24]
     assert arrive(M[2]) == 24  # the same orders in new files
-    assert spark.read.parquet(fact).agg(F.sum("total_amount")).first()[0] == 3140000
+    assert read_fact(spark, fact).agg(F.sum("total_amount")).first()[0] == 3140000
+
+
+def test_replayed_and_repeated_arrivals(spark, tmp_path):
+    fact, sales = str(tmp_path / "fact"), seed.sales(spark)
+    start_fact(sales.filter("order_id <= 10").union(sales.filter("order_id = 1")), fact)
+    assert read_fact(spark, fact).count() == 10
+    batch = sales.filter("order_id between 8 and 14")
+    later = batch.filter("order_id = 12").withColumn("partition_time", F.lit(M[2])).withColumn("quantity", F.lit(99))
+    batch = batch.union(batch).union(later)  # each order twice, one with another load
+    for _ in range(2):  # the second time as after a failure
+        append_sales_batch(batch, 0, fact)
+        assert sorted(r.order_id for r in read_fact(spark, fact).collect()) == list(range(1, 15))
+    assert read_fact(spark, fact).filter("order_id = 12").first().quantity != 99
+    append_sales_batch(sales, 1, fact)
+    assert read_fact(spark, fact).count() == 24
+    with pytest.raises(ValueError, match="without an id"):
+        append_sales_batch(sales.withColumn("order_id", F.lit(None).cast("bigint")), 2, fact)
+    assert read_fact(spark, fact).count() == 24

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,13 +24,39 @@ def _located(src_store: DataFrame) -> DataFrame:
     )
 
 
+def _first(rows: DataFrame) -> DataFrame:
+    """The earliest (seen, code) of each location; of two codes at one time the lesser one."""
+    first = least_row(F.col("seen"), F.col("initial_store_code"), payload={c: F.col(c) for c in ("seen", "initial_store_code")})
+    return rows.groupBy("latitude", "longitude").agg(first.alias("_row")).select("latitude", "longitude", "_row.initial_store_code", "_row.seen")
+
+
+def first_seen(src_store: DataFrame) -> DataFrame:
+    """``(latitude, longitude, initial_store_code, seen)``: the first code ever seen at each location.
+
+    It is a state that merges: see ``merge_first_seen``.
+    """
+    return _first(_located(src_store).withColumnsRenamed({"store_code": "initial_store_code", "partition_time": "seen"}))
+
+
+def merge_first_seen(*states: DataFrame) -> DataFrame:
+    """``first_seen`` of all batches from that of parts of them, in any order and with repeats."""
+    return _first(reduce(DataFrame.unionByName, states))
+
+
+def first_seen_changes(state: DataFrame, batch: DataFrame) -> DataFrame:
+    """What a batch adds to the state: locations it lacks, and those the batch has seen earlier.
+
+    Appended to ``state``, they are merged by ``merge_first_seen``; all other locations stay untouched.
+    """
+    place = ["latitude", "longitude"]
+    known = state.join(batch.select(*place).distinct(), place, "left_semi")
+    merged = merge_first_seen(known, first_seen(batch))
+    return merged.join(known, [*place, "initial_store_code", "seen"], "left_anti").select(*state.columns)
+
+
 def initial_store(src_store: DataFrame) -> DataFrame:
     """First code ever seen at each location, over all batches. Two codes at once: the lesser one."""
-    first = least_row(
-        F.col("partition_time"), F.col("store_code"), payload={"initial_store_code": F.col("store_code")}
-    )
-    picked = _located(src_store).groupBy("latitude", "longitude").agg(first.alias("_row"))
-    return picked.select("_row.initial_store_code", "latitude", "longitude")
+    return first_seen(src_store).select("initial_store_code", "latitude", "longitude")
 
 
 def build_code_history(src_store: DataFrame, cutoff: dt.date) -> DataFrame:
@@ -51,10 +78,17 @@ def build_code_history(src_store: DataFrame, cutoff: dt.date) -> DataFrame:
     return starts.withColumn("end_date", end)
 
 
-def store_mapping(src_store: DataFrame, batch_date: dt.date) -> DataFrame:
-    """(initial code, code) pairs present in one batch."""
-    batch = _located(one_batch(src_store, batch_date))
-    mapped = map_to_identity(batch, initial_store(src_store))
+def store_mapping(src_store: DataFrame, batch_date: dt.date, seen: DataFrame) -> DataFrame:
+    """(initial code, code) pairs present in one batch.
+
+    ``seen`` is ``first_seen`` of the batches before, or of more; of it only locations of the batch are kept, and
+    of ``src_store`` only the batch is read.
+    """
+    batch = one_batch(src_store, batch_date)
+    rows = _located(batch)
+    places = rows.select("latitude", "longitude").distinct()
+    known = merge_first_seen(seen.join(places, ["latitude", "longitude"], "left_semi"), first_seen(batch))
+    mapped = map_to_identity(rows, known)
     return mapped.select("initial_store_code", "store_code").distinct().withColumn("start_date", F.lit(batch_date))
 
 
@@ -82,17 +116,27 @@ def new_rows(target: DataFrame, mapping: DataFrame) -> DataFrame:
     return fresh.withColumn("end_date", F.lit(OPEN_END)).select(*HISTORY_COLUMNS)
 
 
-def merge_code_history(target: DataFrame, src_store: DataFrame, batch_date: dt.date) -> DataFrame:
-    """History after one more batch.
+def code_changes(target: DataFrame, src_store: DataFrame, batch_date: dt.date, seen: DataFrame) -> DataFrame:
+    """Versions that a batch closes or opens, as ``merge_rows`` takes them."""
+    mapping = store_mapping(src_store, batch_date, seen)
+    return closed_rows(target, mapping).unionByName(new_rows(target, mapping))
+
+
+def merge_code_history(target: DataFrame, src_store: DataFrame, batch_date: dt.date, seen: DataFrame) -> DataFrame:
+    """History after one more batch; ``seen`` as in ``store_mapping``.
 
     Equal to a rebuild as long as no code returns to a store that gave it up: the rebuild knows only
     the first start of a code, this one closes and reopens it.
     """
-    mapping = store_mapping(src_store, batch_date)
-    changes = closed_rows(target, mapping).unionByName(new_rows(target, mapping))
+    changes = code_changes(target, src_store, batch_date, seen)
     return merge_rows(target.select(*HISTORY_COLUMNS), changes, HISTORY_KEY)
 
 
+def history_of_changes(changes: DataFrame, order: str) -> DataFrame:
+    """History from the changes of all batches: of each version the row of the last batch by ``order`` counts."""
+    return changes.groupBy(*HISTORY_KEY).agg(F.max_by("end_date", order).alias("end_date"))
+
+
 def active_store(history: DataFrame) -> DataFrame:
     return store_by_status(history, "active")
 

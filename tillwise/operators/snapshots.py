@@ -83,6 +83,39 @@ def snapshot_history(batches: DataFrame, key: str, check_cols: Sequence[str], ba
     )
 
 
+# --- event form ------------------------------------------------------------------------------------
+# A dimension as the series of its opened versions, only ever added to. A version is closed by the next one of
+# its key, so nothing that is stored has to change, and a batch writes the keys that differ and no others.
+
+
+def opened_versions(
+    events: DataFrame, batch: DataFrame, key: str, check_cols: Sequence[str], effective_ts: dt.date, newest: str | None = None
+) -> DataFrame:
+    """The versions that a batch opens: unseen keys, and keys whose checked columns differ from the last event.
+
+    Events are cut to the keys of the batch before anything is compared; other keys are read past, never
+    shuffled while the batch's keys can be broadcast. Appended to ``events`` (all dated before ``effective_ts``)
+    they give what ``snapshot_check`` gives. Rows without a key and repeated keys: see ``one_per_key``.
+    """
+    batch = one_per_key(batch, [key], check_cols, newest)
+    last = events.join(batch.select(key), key, "left_semi").select(F.col(key).alias("_k"), F.struct(*check_cols).alias("_was"), "valid_from")
+    last = last.withColumn("_place", F.row_number().over(windows.by(["_k"], windows.desc("valid_from")))).filter("_place = 1")
+    both = batch.join(last.select("_k", "_was"), F.col(key) == F.col("_k"), "left")
+    fresh = both.filter(F.col("_k").isNull() | ~F.col("_was").eqNullSafe(F.struct(*check_cols)))
+    opened = fresh.withColumn("valid_from", _stamp(effective_ts))
+    return opened.select(*[F.col(c).cast(events.schema[c].dataType).alias(c) for c in events.columns])
+
+
+def versions_of(events: DataFrame, key: str) -> DataFrame:
+    """All versions with ``valid_to``, from the events of a dimension: one window over the events of a key."""
+    return events.withColumn("valid_to", F.lead("valid_from").over(windows.by([key], F.col("valid_from"))))
+
+
+def events_of(versions: DataFrame) -> DataFrame:
+    """The events of a history built by other means."""
+    return versions.drop("valid_to")
+
+
 def _dated(batch: DataFrame) -> DataFrame:
     return batch.withColumnRenamed("partition_time", "partition_date")
 

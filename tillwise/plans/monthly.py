@@ -2,58 +2,57 @@
 
 Layout below the root::
 
-    commits/<n>/                             JSON: which directories every table consists of
-    data/<g>/<table>/commit=<n>/...          written by commit n of generation g, never changed
+    <table>/day=<D>/...     what the build of day D added to a table; a table as of D is all parts up to D
+    marts/<table>/day=<D>/  marts and KPIs as of D, written whole by each build that asks for them
+    builds/day=<D>/         one row, written last: which tables the build of D has added to
 
-A full build starts a generation of its own, named after its commit; nothing of an earlier one can be
-reached from it. A batch adds directories to the generation and a commit that names old and new ones. Readers
-take the newest finished commit, so they see one state of all tables, also while a build runs or after one
-that failed. ``vacuum`` deletes what the newest commit does not reach.
+A full build fills an empty root, which the caller names; batches follow in date order. Every build writes
+directories of its own day and nothing else, so running the newest batch again replaces what it wrote before, and
+every earlier day can still be read: ``table(name, day)``. Readers see days whose build was finished.
 
-The fact and the closed versions of dimensions are only ever added to. Code history and open versions have
-one directory per batch date. Marts and KPIs are written anew by each build that asks for them.
+What a batch writes follows the batch: new orders (``fact_sales``), versions opened or closed (``code_history``,
+``dim_*``), locations first seen (``store_seen``) and source files that are new or changed (``sales_files``).
 """
 
 from __future__ import annotations
 
-import copy
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillwise.operators import facts, identity, snapshots
 from tillwise.operators.customer_marts import RfmConfig
 from tillwise.operators.quality import check_unique, freshness, run_checks
 from tillwise.operators.relational import one_batch, upto_batch
 from tillwise.plans.layers import DOMAINS, KPIS, MARTS, SORT_KEYS, Layers
-from tillwise.schemas import SALES_CHECK_COLUMNS
+from tillwise.schemas import CUSTOMER_CHECK_COLUMNS, SALES_CHECK_COLUMNS, STORE_CHECK_COLUMNS
 from tillwise.sources.shared import store
-from tillwise.sources.tables import delete_path, list_path, read_commit, write_commit, write_table
+from tillwise.sources.tables import rows_of_files, source_files, write_table
 
 
 @dataclass(frozen=True)
 class Dimension:
-    """Where a dimension comes from; ``step`` compares one batch, ``rebuild`` gives all versions at once."""
+    """Where a dimension comes from, what is compared, and how all versions are built at once."""
 
     source: str
     key: str
-    step: Callable[[DataFrame | None, DataFrame, dt.date], DataFrame]
+    check_columns: Sequence[str]
     rebuild: Callable[[DataFrame], DataFrame]
 
 
 DIMENSIONS = {
-    "dim_customer": Dimension("src_customer", "customer_id", snapshots.snapshot_customer, snapshots.customer_history),
-    "dim_store": Dimension("src_store_detail", "store_code", snapshots.snapshot_store, snapshots.store_history),
-    "dim_sales": Dimension("src_sales", "order_id", snapshots.snapshot_sales, snapshots.sales_history),
+    "dim_customer": Dimension("src_customer", "customer_id", CUSTOMER_CHECK_COLUMNS, snapshots.customer_history),
+    "dim_store": Dimension("src_store_detail", "store_code", STORE_CHECK_COLUMNS, snapshots.store_history),
+    "dim_sales": Dimension("src_sales", "order_id", SALES_CHECK_COLUMNS, snapshots.sales_history),
 }
 
 
 class BatchRejected(ValueError):
-    """A batch holds rows that would make its result ambiguous."""
+    """A batch holds rows that would make its result ambiguous, or comes out of order."""
 
 
 def _require_empty(violations: DataFrame, message: str) -> None:
@@ -62,177 +61,170 @@ def _require_empty(violations: DataFrame, message: str) -> None:
         raise BatchRejected(f"{message}: {found[0].asDict()}")
 
 
-def _changed(now: Mapping[str, list[int]], before: Mapping[str, list[int]]) -> list[dt.date]:
-    """Source batches whose rows differ from those seen before."""
-    return sorted(dt.date.fromisoformat(d) for d, seen in now.items() if before.get(d) != seen)
-
-
 class RetailWarehouse:
     def __init__(self, spark: SparkSession, root: str, rfm: RfmConfig = RfmConfig()):
         self.spark = spark
         self.root = root.rstrip("/")
         self.rfm = rfm
 
-    # --- directories and commits -------------------------------------------------------------------
-
-    def _place(self, content: Mapping, name: str) -> str:
-        return f"{self.root}/data/{content['generation']}/{name}"
-
-    def _write(
-        self, content: dict, number: int, name: str, df: DataFrame, *, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
-    ) -> DataFrame:
-        """Write one directory of a table and give it back as read from there."""
-        content["schemas"][name] = df.schema.jsonValue()
-        write_table(df, f"{self._place(content, name)}/commit={number}", partition_by=partition_by, sort_by=sort_by)
-        return self._read(content, name, [number])
-
-    def _read(self, content: Mapping, name: str, commits: Sequence[int]) -> DataFrame:
-        schema = T.StructType.fromJson(content["schemas"][name]).add("commit", "long")
-        stored = self.spark.read.schema(schema).parquet(self._place(content, name))
-        return stored.filter(F.col("commit").isin(list(commits))).drop("commit")  # prunes directories
-
-    def _state(self, content: Mapping, name: str, before: dt.date | None = None) -> DataFrame | None:
-        """Open versions (or the code history) after the newest batch, or the newest one before a day."""
-        days = [d for d in content["states"].get(name, {}) if before is None or d < before.isoformat()]
-        return self._read(content, name, [content["states"][name][max(days)]["commit"]]) if days else None
-
-    def table(self, name: str) -> DataFrame:
-        """A table as of the newest finished commit."""
-        _, content = read_commit(self.spark, self.root)
-        return self._table(content, name)
-
-    def _table(self, content: Mapping, name: str) -> DataFrame:
-        if name in content.get("states", {}):
-            open_rows, newest = self._state(content, name), content["states"][name][max(content["states"][name])]
-            if not newest["closed"]:
-                return open_rows
-            return self._read(content, f"{name}_closed", newest["closed"]).unionByName(open_rows)
-        if name not in content.get("tables", {}):
+    # --- parts -------------------------------------------------------------------------------------
+
+    def _builds(self) -> dict[dt.date, dict]:
+        """Finished builds by day; one row each."""
+        try:
+            rows = self.spark.read.schema("tables array<string>, unique_orders boolean, day date").parquet(f"{self.root}/builds").collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
+        return {r.day: r.asDict() for r in sorted(rows, key=lambda r: r.day)}
+
+    def _finish(self, day: dt.date, tables: Sequence[str], unique_orders: bool) -> None:
+        row = self.spark.createDataFrame([(list(tables), unique_orders)], "tables array<string>, unique_orders boolean")
+        write_table(row.coalesce(1), f"{self.root}/builds/day={day}")
+
+    def _write(self, name: str, day: dt.date, df: DataFrame, *, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
+        """Write the part of a day, in place of an earlier one, and give it back as read from there."""
+        write_table(df, f"{self.root}/{name}/day={day}", partition_by=partition_by, sort_by=sort_by)
+        return self._parts(name, day).filter(F.col("day") == F.lit(day)).drop("day")
+
+    def _parts(self, name: str, upto: dt.date, *, before: bool = False) -> DataFrame:
+        """All parts of a table up to a day, or before it, with the column ``day``. Prunes directories."""
+        day = F.col("day")
+        return self.spark.read.parquet(f"{self.root}/{name}").filter(day < F.lit(upto) if before else day <= F.lit(upto))
+
+    def table(self, name: str, day: dt.date | None = None) -> DataFrame:
+        """A table as of the newest finished build, or as of an earlier one."""
+        builds = self._builds()
+        day = day or max(builds, default=dt.date.min)
+        built = {n for d, b in builds.items() if d <= day for n in b["tables"]}
+        return self._table(name, day, built)
+
+    def _table(self, name: str, day: dt.date, built: set[str]) -> DataFrame:
+        if name not in built:
             raise KeyError(f"{name} has not been built")
-        return self._read(content, name, content["tables"][name])
-
-    def vacuum(self) -> None:
-        """Delete the generations that the newest commit has left behind. Not while they are being read."""
-        _, content = read_commit(self.spark, self.root)
-        for generation in list_path(self.spark, f"{self.root}/data"):
-            if generation != str(content.get("generation")):
-                delete_path(self.spark, f"{self.root}/data/{generation}")
+        if name in DOMAINS:
+            parts = self._parts(f"marts/{name}", day)
+            newest = max(d for d, b in self._builds().items() if d <= day and name in b["tables"])
+            return parts.filter(F.col("day") == F.lit(newest)).drop("day")
+        if name in DIMENSIONS:
+            return snapshots.versions_of(self._parts(name, day).drop("day"), DIMENSIONS[name].key)
+        parts = self._parts(name, day)
+        if name == "code_history":
+            return identity.history_of_changes(parts, "day")
+        return parts.drop("day")
 
     # --- builds ------------------------------------------------------------------------------------
 
     def full(self, sources: Mapping[str, DataFrame], cutoff: dt.date, as_of: dt.date, *, with_marts: bool = True) -> None:
-        """Build everything from all batches up to the cut-off.
+        """Build everything from all batches up to the cut-off, in a root that holds no build yet.
 
         Without marts, here or in ``batch``, when more batches follow and would rebuild them anyway.
         """
-        number = read_commit(self.spark, self.root)[0] + 1
-        content = {"generation": number, "schemas": {}, "states": {}, "tables": {}}
+        if self._builds():
+            raise ValueError(f"{self.root} holds a build; give a new one a root of its own")
         sales = upto_batch(sources["src_sales"], cutoff)
         _require_empty(sales.filter("order_id is null").select("partition_time"), "orders without an id")
-        fact = self._write(content, number, "fact_sales", facts.clean_sales(sales), partition_by=["partition_time"])
-        content["tables"]["fact_sales"] = [number]
-        content["loaded"] = self._prints(sales)
+        self._write("sales_files", cutoff, source_files(sales))
+        fact = self._write("fact_sales", cutoff, facts.clean_sales(sales), partition_by=["partition_time"])
         # one pass over the order ids here spares every mart, and every later batch, its own
-        content["unique_orders"] = check_unique(fact, ["order_id"]).isEmpty()
+        unique = check_unique(fact, ["order_id"]).isEmpty()
 
-        history = self._write(content, number, "code_history", identity.build_code_history(sources["src_store"], cutoff), sort_by=["store_code"])
-        content["states"]["code_history"] = {cutoff.isoformat(): {"commit": number, "closed": []}}
+        stores = sources["src_store"]
+        self._write("store_seen", cutoff, identity.first_seen(upto_batch(stores, cutoff)), sort_by=["latitude", "longitude"])
+        self._write("code_history", cutoff, identity.build_code_history(stores, cutoff), sort_by=["store_code"])
+        tables = ["sales_files", "fact_sales", "store_seen", "code_history"]
         for name, dim in DIMENSIONS.items():
             if dim.source in sources:
-                batches = upto_batch(sources[dim.source], cutoff)
-                if dim.source != "src_sales":
-                    doubled = batches.groupBy(dim.key, "partition_time").count().filter(f"count > 1 or {dim.key} is null")
-                    _require_empty(doubled, f"{dim.source} repeats or lacks a key inside a batch")
-                self._write_versions(content, number, name, dim.rebuild(batches), cutoff, [])
-        if with_marts:
-            self._write_marts(content, number, fact, history, as_of)
-        write_commit(self.spark, self.root, number, content)
+                self._write_first_versions(name, sources[dim.source], cutoff)
+                tables.append(name)
+        self._complete(cutoff, as_of, tables, unique, with_marts)
 
     def batch(self, sources: Mapping[str, DataFrame], day: dt.date, as_of: dt.date, *, with_marts: bool = True) -> None:
         """Add one batch: store codes, sales, dimensions, then rebuild marts and KPIs.
 
-        Batches are to be run in date order. Running one again changes nothing. Orders are looked for in
-        the source batches whose content differs from what was loaded, whatever their date.
+        Batches are to be run in date order; running the newest one again changes nothing. Orders are looked for
+        in source files that are new or have changed since the batches before, whatever their date.
         """
-        last, content = read_commit(self.spark, self.root)
-        if not last:
+        builds = self._builds()
+        if not builds:
             raise KeyError("there is no full build yet")
-        number, content = last + 1, copy.deepcopy(content)
-        for name, states in content["states"].items():  # later states do not survive an earlier batch
-            content["states"][name] = {d: state for d, state in states.items() if d <= day.isoformat()}
-
-        _require_empty(identity.conflicting_codes(sources["src_store"], day), f"one location reports several codes on {day}")
-        before = self._state(content, "code_history", before=day)
-        after = (
-            identity.build_code_history(sources["src_store"], day)
-            if before is None
-            else identity.merge_code_history(before, sources["src_store"], day)
-        )
-        self._write(content, number, "code_history", after, sort_by=["store_code"])
-        content["states"]["code_history"][day.isoformat()] = {"commit": number, "closed": []}
-
+        if day < max(builds) or day == min(builds):
+            raise BatchRejected(f"the batch of {day} has to come after {max(builds)}")
+        before = {d: b for d, b in builds.items() if d < day}
+        known = {n for b in before.values() for n in b["tables"]}
+        self._add_codes(sources["src_store"], day)
         sales = upto_batch(sources["src_sales"], day)
-        now = self._prints(sales)
-        self._add_sales(content, number, sales, _changed(now, content["loaded"]))
-        content["loaded"] |= now
+        changed = self._changed_files(sales, day)
+        unique = all(b["unique_orders"] for b in before.values()) & self._add_sales(sales, changed, day)
+        tables = ["sales_files", "fact_sales", "store_seen", "code_history"]
         for name, dim in DIMENSIONS.items():
             if dim.source not in sources:
                 continue
-            source = sources[dim.source]
-            if dim.source != "src_sales":
-                _require_empty(snapshots.ambiguous_keys(one_batch(source, day), dim.key), f"{dim.source} repeats or lacks a key on {day}")
-            known = [d for d in content["states"].get(name, {}) if d < day.isoformat()]
-            if not known:
-                self._write_versions(content, number, name, dim.rebuild(upto_batch(source, day)), day, [])
+            tables.append(name)
+            if name not in known:
+                self._write_first_versions(name, sources[dim.source], day)
                 continue
-            earlier = content["states"][name][max(known)]
+            newest = None
             if dim.source == "src_sales":
-                source = self._newest_loads(sales, _changed(now, earlier["loaded"]))
-            current = self._state(content, name, before=day)
-            self._write_versions(content, number, name, dim.step(current, source, day), day, earlier["closed"])
+                rows, newest = self._newest_loads(sales, changed), "partition_time"
+            else:
+                rows = one_batch(sources[dim.source], day)
+                _require_empty(snapshots.ambiguous_keys(rows, dim.key), f"{dim.source} repeats or lacks a key on {day}")
+                rows = rows.withColumnRenamed("partition_time", "partition_date")
+            events = self._parts(name, day, before=True).drop("day")
+            opened = snapshots.opened_versions(events, rows, dim.key, dim.check_columns, day, newest)
+            self._write(name, day, opened, sort_by=[dim.key])
+        self._complete(day, as_of, tables, unique, with_marts)
+
+    def _complete(self, day: dt.date, as_of: dt.date, tables: list[str], unique: bool, with_marts: bool) -> None:
         if with_marts:
-            self._write_marts(content, number, self._table(content, "fact_sales"), self._table(content, "code_history"), as_of)
-        write_commit(self.spark, self.root, number, content)
-
-    @staticmethod
-    def _prints(sales: DataFrame) -> dict[str, list[int]]:
-        """Number of rows and a hash of their content per source batch; one narrow pass, one row per batch."""
-        content = F.xxhash64(*[F.col(c).cast("string") for c in ("order_id", *SALES_CHECK_COLUMNS)])
-        rows = sales.groupBy("partition_time").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(content).alias("h"), F.sum(content.cast("decimal(38,0)")).alias("s"))
-        return {r.partition_time.isoformat()[:10]: [r.n, r.h, int(r.s)] for r in rows.collect()}
-
-    def _add_sales(self, content: dict, number: int, sales: DataFrame, changed: Sequence[dt.date]) -> None:
-        """Append the orders of changed source batches that the fact lacks."""
-        if not changed:
-            return
-        rows = sales.filter(F.col("partition_time").isin(list(changed)))
+            earlier = {n for b in self._builds().values() for n in b["tables"]}
+            tables = [*tables, *self._write_marts(day, as_of, earlier | set(tables), unique)]
+        self._finish(day, tables, unique)
+
+    def _add_codes(self, src_store: DataFrame, day: dt.date) -> None:
+        """Code versions that the batch closes or opens, and locations it is the first to see."""
+        _require_empty(identity.conflicting_codes(src_store, day), f"one location reports several codes on {day}")
+        seen = identity.merge_first_seen(self._parts("store_seen", day, before=True).drop("day"))
+        target = identity.history_of_changes(self._parts("code_history", day, before=True), "day")
+        self._write("code_history", day, identity.code_changes(target, src_store, day, seen), sort_by=["store_code"])
+        self._write("store_seen", day, identity.first_seen_changes(seen, one_batch(src_store, day)), sort_by=["latitude", "longitude"])
+
+    def _changed_files(self, sales: DataFrame, day: dt.date) -> list[tuple[str, dt.date]]:
+        """(path, batch) of source files that are new or differ in size or time from what was loaded before."""
+        loaded = self._parts("sales_files", day, before=True)
+        changed = source_files(sales).join(loaded, ["path", "size", "modified"], "left_anti")
+        return [(r.path, r.batch) for r in self._write("sales_files", day, changed).collect()]
+
+    def _add_sales(self, sales: DataFrame, changed: Sequence[tuple], day: dt.date) -> bool:
+        """Append the orders of changed files that the fact lacks; whether the appended ids are distinct."""
+        rows = rows_of_files(sales, [path for path, _ in changed])
         _require_empty(rows.filter("order_id is null").select("partition_time"), "orders without an id")
-        new = facts.arrived_rows(rows, self._table(content, "fact_sales"))
-        fresh = self._write(content, number, "fact_sales", new, partition_by=["partition_time"])
-        content["tables"]["fact_sales"].append(number)
+        new = facts.arrived_rows(rows, self._parts("fact_sales", day, before=True))
+        fresh = self._write("fact_sales", day, new, partition_by=["partition_time"])
         # fresh ids are not in the fact, so only they can repeat among themselves
-        content["unique_orders"] = content["unique_orders"] and check_unique(fresh, ["order_id"]).isEmpty()
+        return check_unique(fresh, ["order_id"]).isEmpty()
 
     @staticmethod
-    def _newest_loads(sales: DataFrame, changed: Sequence[dt.date]) -> DataFrame:
-        """Rows of the changed batches, with newer loads of the same orders if an old batch changed."""
-        rows = sales.filter(F.col("partition_time").isin(list(changed)))
-        newest = sales.agg(F.max("partition_time")).first()[0]
-        if not changed or [newest] == list(changed):
+    def _newest_loads(sales: DataFrame, changed: Sequence[tuple]) -> DataFrame:
+        """Rows of the changed files, with newer loads of the same orders if an old batch has changed."""
+        rows = rows_of_files(sales, [path for path, _ in changed])
+        oldest = min((batch for _, batch in changed), default=None)
+        if oldest is None or sales.filter(F.col("partition_time") > F.lit(oldest)).select("partition_time").isEmpty():
             return rows
-        return sales.join(rows.select("order_id").distinct(), "order_id", "left_semi")
-
-    def _write_versions(self, content: dict, number: int, name: str, versions: DataFrame, day: dt.date, closed: list[int]) -> None:
-        """Open versions as the day's state; versions that were closed go to an own, growing part."""
-        key = DIMENSIONS[name].key
-        versions = store(versions, name)
-        self._write(content, number, name, versions.filter("valid_to is null"), sort_by=[key])
-        shut = self._write(content, number, f"{name}_closed", versions.filter("valid_to is not null"), sort_by=[key])
-        more = [] if shut.isEmpty() else [number]
-        state = {"commit": number, "closed": [*closed, *more]}
-        if DIMENSIONS[name].source == "src_sales":
-            state["loaded"] = dict(content["loaded"])
-        content["states"].setdefault(name, {})[day.isoformat()] = state
+        later = sales.filter(F.col("partition_time") >= F.lit(oldest))
+        return later.join(rows.select("order_id").distinct(), "order_id", "left_semi")
+
+    def _write_first_versions(self, name: str, source: DataFrame, day: dt.date) -> None:
+        dim = DIMENSIONS[name]
+        batches = upto_batch(source, day)
+        if dim.source != "src_sales":
+            doubled = batches.groupBy(dim.key, "partition_time").count().filter(f"count > 1 or {dim.key} is null")
+            _require_empty(doubled, f"{dim.source} repeats or lacks a key inside a batch")
+        self._write(name, day, snapshots.events_of(dim.rebuild(batches)), sort_by=[dim.key])
+
+    # --- marts and checks --------------------------------------------------------------------------
 
     def layers(
         self, as_of: dt.date, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df, *, unique_orders: bool = False
@@ -240,24 +232,24 @@ class RetailWarehouse:
         base = {name: self.table(name) for name in ("fact_sales", "code_history", "dim_customer")}
         return Layers(base, as_of, self.rfm, keep, unique_orders)
 
-    def _write_marts(self, content: dict, number: int, fact: DataFrame, history: DataFrame, as_of: dt.date) -> None:
+    def _write_marts(self, day: dt.date, as_of: dt.date, built: set[str], unique: bool) -> tuple[str, ...]:
         def keep(df: DataFrame, name: str) -> DataFrame:
             if name not in DOMAINS:
                 return store(df, name) if name == "month_base" else df
-            content["tables"][name] = [number]
-            return self._write(content, number, name, df, sort_by=SORT_KEYS[name])
+            return self._write(f"marts/{name}", day, df, sort_by=SORT_KEYS[name])
 
-        base = {"fact_sales": fact, "code_history": history, "dim_customer": self._table(content, "dim_customer")}
-        built = Layers(base, as_of, self.rfm, keep, content["unique_orders"])
+        base = {name: self._table(name, day, built) for name in ("fact_sales", "code_history", "dim_customer")}
+        layers = Layers(base, as_of, self.rfm, keep, unique)
         for name in (*MARTS, *KPIS):
-            built[name]
+            layers[name]
+        return (*MARTS, *KPIS)
 
     def marts(self, as_of: dt.date) -> None:
-        """Rebuild marts and KPIs from the stored fact, history and dimensions, as a commit of their own."""
-        last, content = read_commit(self.spark, self.root)
-        content = copy.deepcopy(content)
-        self._write_marts(content, last + 1, self._table(content, "fact_sales"), self._table(content, "code_history"), as_of)
-        write_commit(self.spark, self.root, last + 1, content)
+        """Rebuild marts and KPIs of the newest build from the stored fact, history and dimensions."""
+        builds = self._builds()
+        day, built = max(builds), {n for b in builds.values() for n in b["tables"]}
+        added = self._write_marts(day, as_of, built, all(b["unique_orders"] for b in builds.values()))
+        self._finish(day, sorted({*builds[day]["tables"], *added}), builds[day]["unique_orders"])
 
     def check(self, as_of: dt.date) -> DataFrame:
         """Outcome of every declared rule on the stored tables, and the age of the newest sales batch."""

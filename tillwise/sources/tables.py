@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwise.schemas import SOURCES
@@ -50,46 +51,28 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
-# --- commits ---------------------------------------------------------------------------------------
-# A warehouse is a series of commits. Every commit is one small JSON text that names the directories its
-# tables consist of. Directories are written first and never changed; the commit comes last. A reader takes
-# the newest finished commit and sees all tables of one state, whatever is being written meanwhile.
-
-
-def _hadoop(spark: SparkSession, path: str):
+def delete_path(spark: SparkSession, path: str) -> None:
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def list_path(spark: SparkSession, path: str) -> list[str]:
-    """Names in a directory."""
-    place, fs = _hadoop(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(place))
+# --- files behind a table --------------------------------------------------------------------------
 
+_FILE = {"path": "_metadata.file_path", "size": "_metadata.file_size", "modified": "_metadata.file_modification_time"}
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    place, fs = _hadoop(spark, path)
-    fs.delete(place, True)
 
+def source_files(df: DataFrame, batch_col: str = "partition_time") -> DataFrame:
+    """``(path, size, modified, batch)`` of the files that ``df`` reads, from Spark's hidden file columns.
 
-def finished_commits(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the commits whose write was finished. Reads file names only."""
-    place, fs = _hadoop(spark, f"{root}/commits/*/_SUCCESS")
-    return sorted(int(s.getPath().getParent().getName()) for s in fs.globStatus(place) or [])
-
-
-def read_commit(spark: SparkSession, root: str) -> tuple[int, dict]:
-    """Number and content of the newest finished commit; (0, {}) if there is none."""
-    numbers = finished_commits(spark, root)
-    if not numbers:
-        return 0, {}
-    lines = spark.read.text(f"{root}/commits/{numbers[-1]:08d}", wholetext=True).collect()
-    return numbers[-1], json.loads("".join(r.value for r in lines))
+    No column of the data is read if ``batch_col`` is a directory. ``df`` may be filtered, but not projected.
+    """
+    try:
+        files = df.select(*[F.col(c).alias(name) for name, c in _FILE.items()], F.col(batch_col).alias("batch"))
+    except AnalysisException as e:
+        raise ValueError("the table has to be read from files, without a projection") from e
+    return files.distinct()
 
 
-def write_commit(spark: SparkSession, root: str, number: int, content: dict) -> None:
-    """One writer at a time: the directory of a number must not exist yet, unless its write was never finished."""
-    if number in finished_commits(spark, root):
-        raise ValueError(f"commit {number} exists already")
-    text = spark.createDataFrame([(json.dumps(content, sort_keys=True),)], "value string").coalesce(1)
-    text.write.mode("overwrite").text(f"{root}/commits/{number:08d}")
+def rows_of_files(df: DataFrame, paths: Sequence[str]) -> DataFrame:
+    """The rows of some files; other files are not opened."""
+    return df.filter(F.col("_metadata.file_path").isin(*paths))
