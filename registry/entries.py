@@ -542,6 +542,15 @@ def _(t):
     return t["store_performance"].select("initial_store_code", "month", windows.rank_desc(["month"], "total_orders").alias("place"))
 
 
+@entry("rank_in_slices", f"""
+    SELECT initial_store_code, month, {n('rank() OVER (PARTITION BY month ORDER BY orders DESC)', 'by_orders')},
+           {n('rank() OVER (PARTITION BY month ORDER BY revenue_c DESC)', 'by_revenue')} FROM store_perf""")
+def _(t):
+    months = t["store_performance"].select("initial_store_code", "month", "total_orders", "total_revenue")
+    ranked = relational.rank_in_slices(months, "month", {"by_orders": "total_orders", "by_revenue": "total_revenue"}, ["initial_store_code"])
+    return ranked.drop("total_orders", "total_revenue")
+
+
 @entry("prev_row", f"SELECT month, {c('lag(revenue_c) OVER (ORDER BY month)', 'before')} FROM day_months")
 def _(t):
     months = sales_marts.monthly_from_daily(sales_marts.daily_sales(t["fact_sales"], unique_orders=True))
@@ -976,7 +985,7 @@ def _(t):
 
 @entry("kpi_product", _kpi_sql("kpi_product"))
 def _(t):
-    return kpis.kpi_product(sales_marts.sales_by_product(t["fact_sales"], unique_orders=True))
+    return kpis.kpi_product(sales_marts.product_months(t["fact_sales"], unique_orders=True))
 
 
 @entry("kpi_exec_summary", _kpi_sql("kpi_exec_summary"))
@@ -986,7 +995,7 @@ def _(t):
     return kpis.kpi_exec_summary(
         kpis.revenue_of_months(months), kpis.orders_of_months(months), kpis.kpi_customer_retention(fact),
         kpis.kpi_store(store_marts.store_performance(fact, t["code_history"], unique_orders=True)),
-        kpis.kpi_product(sales_marts.sales_by_product(fact, unique_orders=True)))
+        kpis.kpi_product(sales_marts.product_months(fact, unique_orders=True)))
 
 
 # The same KPIs over order lines, where order ids repeat.

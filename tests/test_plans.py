@@ -57,6 +57,8 @@ BUILDS = {
     "directory": lambda f, h: store_marts.store_directory(f, h),
     "customers": lambda f, h: customer_marts.sales_by_customer(f, D("2026-10-01")),
     "products": lambda f, h: sales_marts.sales_by_product(f),
+    "store_months": lambda f, h: store_marts.store_months(f, h),
+    "product_months": lambda f, h: sales_marts.product_months(f),
     "retention": lambda f, h: kpis.kpi_customer_retention(f),
     "orders": lambda f, h: kpis.kpi_orders(f),
     "orphans": lambda f, h: quality.check_sales_resolve(f, h),
@@ -99,12 +101,12 @@ def test_groups_are_cut_down_before_the_shuffle(skewed):
     assert first.index("WindowGroupLimit", first.index("Exchange")) > 0  # below the exchange too
     assert plan(relational.top_k_sum(skewed, "store_code", "total_amount", 3, "s")).count("WindowGroupLimit") == 2
     assert "TakeOrderedAndProject" in plan(relational.top_k(skewed, [F.col("order_id")], 5))
-    month = plan(kpis.kpi_product(sales_marts.sales_by_product(skewed)))
+    month = plan(kpis.kpi_product(sales_marts.product_months(skewed)))
     assert "rank(" not in month
 
 
 def test_sales_are_not_copied_or_joined_to_themselves(skewed):
-    for df in (kpis.kpi_orders(skewed), sales_marts.sales_summary(skewed), sales_marts.sales_by_product(skewed)):
+    for df in (kpis.kpi_orders(skewed), sales_marts.sales_summary(skewed), sales_marts.product_months(skewed)):
         assert "Expand" not in plan(df) and "Join" not in plan(df)
     assert plan(kpis.kpi_customer_retention(skewed)).count("FileScan") == 1
     assert plan(kpis.kpi_revenue(skewed, unique_orders=True)).count("FileScan") == 1
@@ -126,3 +128,35 @@ def test_distinct_aggregation(spark):
 def test_customer_measures_are_hash_aggregated(spark, skewed):
     for unique in (True, False):
         assert "SortAggregate" not in plan(customer_marts.sales_by_customer(skewed, D("2026-10-01"), unique_orders=unique))
+
+
+@pytest.fixture(scope="module")
+def one_month(spark):
+    """30,000 rows, nearly all of one month: a third of equal values, some NULL, ties, and a NULL month."""
+    i = F.col("id")
+    month = F.when(i % 100 > 0, "2026-03").when(i % 200 > 0, "2026-04")
+    value = F.when(i % 3 == 0, 500).when(i % 50 == 1, F.lit(None)).otherwise(F.pmod(F.hash("id"), F.lit(5000)))
+    return spark.range(30_000).select("id", month.alias("month"), value.cast("decimal(12,2)").alias("v"), (i % 7).alias("w"))
+
+
+def test_ranks_of_slices_equal_ranks(spark, one_month):
+    from tillwise.functions import windows
+
+    want = one_month.select("id", windows.rank_desc(["month"], "v").alias("a"), windows.rank_desc(["month"], "w").alias("b"))
+    got = relational.rank_in_slices(one_month, "month", {"a": "v", "b": "w"}, ["id"])
+    assert got.columns == [*one_month.columns, "a", "b"] and got.schema["a"].dataType == want.schema["a"].dataType
+    assert seed.rows_of(got, "id", "a", "b") == seed.rows_of(want)
+    assert relational.rank_in_slices(one_month.limit(0), "month", {"a": "v"}, ["id"]).count() == 0
+
+
+def test_no_task_ranks_a_whole_month(spark, one_month):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        ranked = relational.rank_in_slices(one_month, "month", {"a": "v"}, ["id"])
+        per_task = ranked.groupBy(F.spark_partition_id().alias("p")).agg(F.count("id").alias("n"), F.max("a"))
+        sizes = [r["n"] for r in per_task.collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert sum(sizes) == 30_000 and max(sizes) < 3_000

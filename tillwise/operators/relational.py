@@ -6,12 +6,13 @@ import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions import calendar, windows
 from tillwise.functions.aggregates import least_row
 from tillwise.schemas import OPEN_END
+from tillwise.sources.shared import store
 
 # --- batch scans -----------------------------------------------------------------------------------
 
@@ -181,6 +182,43 @@ def top_k_sum(df: DataFrame, group: str, c: str, k: int, name: str) -> DataFrame
     return top_rows(ranked, "_rk", k).groupBy(group).agg(F.sum(c).alias(name))
 
 
+def rank_in_slices(df: DataFrame, group: str, ranks: Mapping[str, str], keys: Sequence[str], slices: int = 64) -> DataFrame:
+    """``windows.rank_desc`` of the columns ``{name: column}`` in a group of any size.
+
+    Quantiles cut a group's values into slices, of which each is ranked on its own; the rows of the slices above
+    are added. A value that is a quantile itself, as any frequent one is, and NULL are slices of one rank, so they
+    can be dealt out by ``keys``, which tell rows apart. Ties and NULL order are those of ``rank_desc``. ``df`` is
+    written once; per group only the cuts and one offset per slice are kept.
+    """
+    rows = store(df, "unranked")
+    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    cuts = rows.groupBy(F.col(group).alias("_of")).agg(*[F.percentile_approx(c, shares).alias(f"_cuts_{name}") for name, c in ranks.items()])
+    cuts = store(cuts, "cuts")
+
+    def place(name: str) -> Column:
+        value, own = F.col(ranks[name]), F.col(f"_cuts_{name}")
+        above = F.size(F.filter(own, lambda cut: cut > value))
+        return F.when(value.isNull(), -1).otherwise(2 * above + F.array_contains(own, value).cast("int"))
+
+    cut_rows = rows.join(cuts, rows[group].eqNullSafe(cuts["_of"]))
+    offsets = []
+    for name in ranks:
+        sizes = cut_rows.groupBy("_of", place(name).alias("_slice")).agg(F.count(F.lit(1)).alias("_n"))
+        before = F.sum("_n").over(windows.by(["_of"], F.col("_slice")).rowsBetween(Window.unboundedPreceding, -1))
+        before = sizes.withColumn("_before", F.coalesce(before, F.lit(0)).cast("int"))
+        offsets.append(before.groupBy("_of").agg(F.map_from_entries(F.collect_list(F.struct("_slice", "_before"))).alias(f"_before_{name}")))
+    per_group = reduce(lambda left, right: left.join(right.withColumnRenamed("_of", "_of2"), F.col("_of").eqNullSafe(F.col("_of2"))).drop("_of2"), [cuts, *offsets])
+    per_group = store(per_group, "slices")
+
+    out = rows.join(per_group, rows[group].eqNullSafe(per_group["_of"]))
+    for name, c in ranks.items():
+        dealt = F.when(F.col("_slice") % 2 == 0, 0).otherwise(F.pmod(F.xxhash64(*keys), F.lit(slices)))
+        out = out.withColumn("_slice", place(name)).withColumn("_part", dealt)
+        local = F.rank().over(windows.by([group, "_slice", "_part"], windows.desc(c)))
+        out = out.withColumn(name, F.element_at(f"_before_{name}", F.col("_slice")) + local)
+    return out.select(*df.columns, *ranks)
+
+
 # --- set operations --------------------------------------------------------------------------------
 
 

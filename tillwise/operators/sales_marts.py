@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillwise.functions import calendar, measures, windows
 from tillwise.functions.aggregates import order_count
-from tillwise.operators.relational import aggregate_distinct
+from tillwise.operators.relational import aggregate_distinct, rank_in_slices
 
 
 def daily_sales(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
@@ -60,8 +60,8 @@ def sales_summary(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
     )
 
 
-def sales_by_product(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
-    """Product x month with ranks inside the month."""
+def product_months(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
+    """Product x month."""
     counted, orders = order_count("total_transactions", unique_orders)
     monthly = aggregate_distinct(
         fact, {"product_id": F.col("product_id"), "_m": calendar.month_start(F.col("order_date"))},
@@ -76,11 +76,15 @@ def sales_by_product(fact: DataFrame, *, unique_orders: bool = False) -> DataFra
     return monthly.select(
         "product_id", calendar.month_key(F.col("_m")).alias("month"), "total_transactions", "unique_buyers",
         "sold_in_stores", "total_qty_sold", "total_revenue", "avg_unit_price", "min_unit_price", "max_unit_price",
-        windows.rank_desc(["_m"], "total_revenue").alias("revenue_rank"),
-        windows.rank_desc(["_m"], "total_qty_sold").alias("qty_rank"),
     )
 
 
+def sales_by_product(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
+    """Product x month with ranks inside the month."""
+    ranks = {"revenue_rank": "total_revenue", "qty_rank": "total_qty_sold"}
+    return rank_in_slices(product_months(fact, unique_orders=unique_orders), "month", ranks, ["product_id"])
+
+
 def price_band(by_product: DataFrame, low, high) -> DataFrame:
     """Budget below ``low``, Premium from ``high``, Mid between, by average unit price."""
     price = F.col("avg_unit_price")

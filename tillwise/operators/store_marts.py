@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from tillwise.functions import calendar, measures, windows
 from tillwise.functions.aggregates import count_orders, least_row, ordered_concat
-from tillwise.operators.relational import asof_version_join, left_star
+from tillwise.operators.relational import asof_version_join, left_star, rank_in_slices
 from tillwise.schemas import OPEN_END
 
 
-def store_performance(fact: DataFrame, history: DataFrame, *, unique_orders: bool = False) -> DataFrame:
+def store_months(fact: DataFrame, history: DataFrame, *, unique_orders: bool = False) -> DataFrame:
     """Stable store x month. Sales that fit no code version form a group with a NULL store."""
     sales = fact.select("order_id", "order_date", "store_code", "customer_id", "quantity", "total_amount")
     placed = asof_version_join(sales, history, "store_code", "order_date")
@@ -28,11 +28,16 @@ def store_performance(fact: DataFrame, history: DataFrame, *, unique_orders: boo
     return monthly.select(
         "initial_store_code", calendar.month_key(F.col("_m")).alias("month"), "total_orders", "unique_customers",
         "total_qty_sold", "total_revenue", "avg_order_value",
-        windows.rank_desc(["_m"], "total_revenue").alias("revenue_rank"),
-        windows.running_sum("total_revenue", "_m", ["initial_store_code"]).alias("cumulative_revenue"),
     )
 
 
+def store_performance(fact: DataFrame, history: DataFrame, *, unique_orders: bool = False) -> DataFrame:
+    """``store_months`` with the rank inside the month and the store's revenue so far."""
+    months = store_months(fact, history, unique_orders=unique_orders)
+    ranked = rank_in_slices(months, "month", {"revenue_rank": "total_revenue"}, ["initial_store_code"])
+    return ranked.withColumn("cumulative_revenue", windows.running_sum("total_revenue", "month", ["initial_store_code"]))
+
+
 def store_directory(fact: DataFrame, history: DataFrame, *, unique_orders: bool = False) -> DataFrame:
     """One row per stable store, with its lifetime sales.
 
