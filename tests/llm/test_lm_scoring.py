@@ -1,52 +1,97 @@
-"""Scores against a plain bigram model over the same hashed vocabulary."""
+"""Scores against a plain bigram model that leaves the scored document out."""
 
 import math
 import os
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tillwise.llm import lm_scoring as lm
 
-SCHEMA = "doc_id bigint, text string, target boolean, score string"
+SCHEMA = "doc_id bigint, text string, target boolean, score string, pairs string"
 ROWS = [
-    (1, "the cat sat on the mat", True, "x"), (2, "The dog sat on the log", True, "x"), (3, "buy now buy now", False, None), (4, None, True, "x"),
-    (5, "", False, "x"), (6, "cat", None, "x"), (None, "the cat", False, "x"), (1, "the cat sat on the mat", True, "x"),
+    (1, "the cat sat on the mat", True, "x", "p"), (2, "The dog sat on the log", True, "x", "p"), (3, "buy now buy now", False, None, "p"),
+    (4, None, True, "x", "p"), (5, "", False, "x", "p"), (6, "cat", None, "x", "p"), (None, "the cat", False, "x", "p"), (7, "Ünï the\x0bcat \t", False, "x", "p"),
 ]
 
 
-def plain_scores(rows):
-    pairs = lambda text: list(zip(lm.word_ids(text).tolist(), lm.word_ids(text).tolist()[1:]))
-    slot = lambda pair: int(lm.pair_ids(__import__("numpy").array(pair, "uint32"))[0])
-    models = []
-    for chosen in (lambda r: True, lambda r: r[2]):
-        seen = [p for r in rows if chosen(r) for p in pairs(r[1])]
-        models.append((Counter(w for _, w in seen), Counter(h for h, _ in seen), Counter(map(slot, seen)), len(seen)))
-    (bw, bh, bp, bn), (tw, th, tp, tn) = models
-    scale = tn / bn if tn and bn else 1.0
+def words_of(text):
+    return [w.decode() for w in (text or "").encode().lower().split()]
 
-    def loss(pair, words, firsts, joint, n, scale):
-        h, w = pair
-        share = (words[w] * scale + lm.ALPHA) / (n * scale + lm.ALPHA * lm.VOCABULARY)
-        return -math.log((joint[slot(pair)] * scale + lm.MU * share) / (firsts[h] * scale + lm.MU))
 
+def plain_scores(rows, shard_words=lm.SHARD_WORDS):
+    pairs = [list(zip(["<s>", *words_of(r[1])], words_of(r[1]))) for r in rows]
+    vocabulary = len({w for p in pairs for pair in p for w in pair})
+    models = []
+    for chosen in (lambda r: True, lambda r: r[2]):
+        seen = [p for r, own in zip(rows, pairs) if chosen(r) for p in own]
+        models.append((Counter(seen), Counter(v for v, _ in seen), len(seen)))
+    (bp, bw, bn), (tp, tw, tn) = models
+    scale = tn / bn if tn else 1.0
+    hot = {v for v, n in bw.items() if n > shard_words // 4}
     out = []
-    for i, text, *_ in rows:
-        found = [loss(p, tw, th, tp, tn, 1) - loss(p, bw, bh, bp, bn, scale) for p in pairs(text)]
-        out.append((str(i), len(found), round(sum(found) / len(found), 9) if found else None))
+    for r, own in zip(rows, pairs):
+        mine, first, total = Counter(own), Counter(v for v, _ in own if v not in hot), 0.0
+        for v, w in own:
+            def loss(joint, words, scale, seen):
+                return -math.log((scale * (joint[v, w] - seen * mine[v, w]) + lm.ALPHA) / (scale * (words[v] - seen * first[v]) + lm.ALPHA * vocabulary))
+            total += loss(tp, tw, 1, bool(r[2])) - loss(bp, bw, scale, True)
+        out.append((str(r[0]), len(own), total / len(own) if own else None))
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("piece", [2, 1 << 16])
-def test_equals_plain_model(spark, monkeypatch, piece):
-    monkeypatch.setattr(lm, "_PIECE", piece)
-    draw = random.Random(6)
-    rows = ROWS + [(100 + i, " ".join(draw.choice("abcdefghij") for _ in range(draw.randrange(40))), i % 3 == 0, "x") for i in range(40)]
+def scored(spark, rows, **options):
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    found = lm.score(docs, lm.train(docs, F.col("target"))).collect()
-    assert sorted(((str(r.doc_id), r.n_words, None if r.score is None else round(r.score, 9)) for r in found), key=str) == plain_scores(rows)
+    out = lm.cross_entropy_difference(docs, docs.filter("target"), **options)
+    assert out.columns == ["doc_id", "n_words", "score"]
+    return sorted(((str(r.doc_id), r.n_words, r.score) for r in out.collect()), key=str)
+
+
+def same(found, want):
+    assert [r[:2] for r in found] == [r[:2] for r in want]
+    for f, w in zip(found, want):
+        assert f[2] == w[2] if w[2] is None else f[2] == pytest.approx(w[2], abs=1e-5)
+
+
+def some_rows(seed=6, n=60):
+    draw = random.Random(seed)
+    return ROWS + [(100 + i, " ".join(draw.choice("aabcdefghij") for _ in range(draw.randrange(40))), i % 3 == 0, "x", "p") for i in range(n)]
+
+
+@pytest.mark.parametrize("piece, flush, docs", [(2, 50, 4), (1 << 22, 1 << 20, 1 << 15)])
+@pytest.mark.parametrize("shard_words", [lm.SHARD_WORDS, 64])
+def test_equals_plain_model(spark, monkeypatch, piece, flush, docs, shard_words):
+    for name, value in {"_PIECE": piece, "_FLUSH": flush, "_DOCS": docs}.items():
+        monkeypatch.setattr(lm, name, value)
+    same(scored(spark, some_rows(), shard_words=shard_words), plain_scores(some_rows(), shard_words))
+
+
+def test_joined_ids_give_the_same(spark):
+    rows = some_rows()
+    same(scored(spark, rows, most_buckets=0), plain_scores(rows))
+
+
+def test_own_label_does_not_count(spark):
+    rows = some_rows()
+    for i in (100, 103, 104):
+        flipped = [(*r[:2], not r[2], *r[3:]) if r[0] == i else r for r in rows]
+        a, b = ({k: s for k, _, s in scored(spark, x)}[str(i)] for x in (rows, flipped))
+        assert a == pytest.approx(b, abs=0.02)  # only the scale, a share of all words, differs
+
+
+def test_targets_by_bitmap(spark):
+    ids = [-70_000, -1, 0, 5, 32_767, 32_768, 2**40]
+    docs = spark.createDataFrame([(i, "a") for i in [*ids, 6, 2**40 + 1, -2, None]], "doc_id bigint, text string")
+    target = spark.createDataFrame([(i,) for i in [*ids, None, 5]], "doc_id bigint")
+    for most in (lm.MOST_BUCKETS, 2):
+        marked = lm.mark_targets(docs, target, id_col="doc_id", text_col="text", most_buckets=most)
+        assert {r.id for r in marked.filter("target").collect()} == {str(i) for i in ids} and marked.count() == 11
+    names = docs.select(F.concat(F.lit("d"), F.col("doc_id")).alias("doc_id"), "text")
+    marked = lm.mark_targets(names, names.limit(1).select("doc_id"), id_col="doc_id", text_col="text")
+    assert [r.target for r in marked.collect()].count(True) == 1
 
 
 def test_no_target_and_no_rows(spark):
@@ -56,23 +101,20 @@ def test_no_target_and_no_rows(spark):
     assert lm.cross_entropy_difference(nothing, nothing.select("doc_id")).count() == 0
 
 
-def test_target_sample_is_bounded_and_stable(spark):
-    ids = spark.range(500).withColumnRenamed("id", "doc_id")
-    first = {r.doc_id for r in lm.target_sample(ids.union(ids), limit=50).collect()}
-    assert len(first) == 50 and first == {r.doc_id for r in lm.target_sample(ids.repartition(7), limit=50).collect()}
-    assert {r.doc_id for r in lm.target_sample(ids, limit=60).collect()} >= first
-
-
-def test_every_labelled_document_is_target(spark):
-    n = 20_300  # more than any sample of 20,000
-    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 7).alias("text"))
-    found = lm.cross_entropy_difference(docs, docs.select("doc_id")).collect()
-    assert len(found) == n and all(r.score == 0 for r in found)  # both models have seen the same
+def test_pieces_cut_between_words(monkeypatch):
+    text = " ".join(str(i) * (i % 7) for i in range(60)).encode() + b"\n\t tail "
+    whole = np.concatenate(list(lm.pieces(text)))
+    monkeypatch.setattr(lm, "_PIECE", 9)
+    parts = list(lm.pieces(text))
+    assert len(parts) > 5 and np.concatenate([parts[0], *[p[1:] for p in parts[1:]]]).tolist() == whole.tolist()
+    assert all(a[-1] == b[0] for a, b in zip(parts, parts[1:])) and list(lm.pieces(None)) == []
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the test tables")
-def test_target_texts_score_lower(spark):
+def test_unlabelled_target_texts_score_lower(spark):
+    """Half of the French documents are target; the other half, which no model knows as such, is told apart."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    french = F.col("lang") == "fr"
-    means = dict(lm.score(docs, lm.train(docs, french)).join(docs, "doc_id").groupBy(french).agg(F.avg("score")).collect())
+    known = docs.filter("lang = 'fr' and doc_id % 2 = 0")
+    rest = docs.filter("not (lang <=> 'fr' and doc_id % 2 = 0)").select("doc_id", (F.col("lang") == "fr").alias("french"))
+    means = dict(lm.cross_entropy_difference(docs, known).join(rest, "doc_id").groupBy("french").agg(F.avg("score")).collect())
     assert means[True] < means[False]

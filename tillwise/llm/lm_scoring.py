@@ -1,163 +1,319 @@
 """Cross-entropy difference: how much better a target-domain n-gram model predicts a text than a background one.
 
-Words (between ASCII white space, A-Z lower-cased) are hashed into one shared vocabulary of ``VOCABULARY``
-entries; both models are bigram models over it with the same smoothing. The probability of a word after
-another is the bigram's share among the pairs of its first word, pulled towards the word's own share by
-``MU`` pseudo-counts; word shares are pulled towards uniform by ``ALPHA``. Pair counts live in ``PAIRS``
-hashed counters. All given rows are counted: each task adds up its texts and Spark sums the counters, so what
-is gathered follows the input while the model has a fixed, documented size, and is broadcast.
-
-The target model is matched to the background one: the same vocabulary, order and smoothing, and the
-background counts are scaled to the target's number of words before smoothing, so that neither model is
-sharper only for having seen more. A document's score is the mean over its words of target loss minus
-background loss, in nats: below 0 the document is closer to the target.
-
-Defined cases: a null text, or one without words, has 0 words and a null score; repeated rows count as often
-as they occur; the first word follows a start mark; equal texts have equal scores; without target words both
-models are uniform there and scores still exist; an empty table gives an empty result; other columns are
-ignored. Texts are handled in pieces of ``_PIECE`` words that overlap by one.
+Words lie between ASCII white space, A-Z lower-cased, and stand for themselves by a 64-bit hash. Both models are
+bigram models over one vocabulary, the V words of all given texts: a word w after v has the probability
+``(c(v, w) + ALPHA) / (c(v) + ALPHA * V)``. The background counts all texts, the target the labelled ones, and the
+background's counts are scaled to the target's number of words, so that neither model is sharper for having seen
+more. A document's score is the mean over its words of target loss minus background loss, in nats: below 0 the
+document is closer to the target.
+
+No document is scored by counts it has made itself: its own pairs are taken out of both models first. So the score
+of a labelled document does not depend on its own label.
+
+Counts are exact and grow with the corpus, and no model is ever gathered or broadcast. Each task cuts its words into
+shards by the first word of a pair and sends one packed block per shard (8 bytes of hash and 2 of document per word). A
+shard has all pairs of its words, so it counts and scores in one go and returns a sum per document and shard. The
+number of shards follows the number of words. Words more frequent than a quarter of a shard are counted beforehand
+and their pairs dealt out by both words, so that no word, however frequent, fills a shard.
+
+The labelled ids become a bitmap of at most ``MOST_BUCKETS`` pieces of 4 KB, which is broadcast; ids that are too many
+or too scattered for that, or no whole numbers, are joined. Texts are neither shuffled nor read more than twice.
+
+Defined cases: a null text, or one without words, has 0 words and a null score; a null id is no target; repeated rows
+are documents of their own and count as often as they occur; the first word follows a start mark; without target
+words the target model is uniform and the background counts as they are; an empty table gives an empty result;
+other columns are ignored, whatever their names. Long texts are handled in pieces of ``_PIECE`` bytes.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-VOCABULARY = 1 << 17
-PAIRS = 1 << 20
-MU = 8.0
 ALPHA = 0.1
-_PIECE = 1 << 16
-_START = 0
-_SEED = 7
-# words, words as the first of a pair, and pairs, side by side in one vector
-SIZE = 2 * VOCABULARY + PAIRS
-
-
-def word_ids(text: str | None) -> np.ndarray:
-    """Vocabulary entries of the words of a text, after the start mark; 0 is kept for the mark."""
-    from xxhash import xxh32_intdigest
-
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    ids = np.fromiter(map(xxh32_intdigest, words, repeat(_SEED)), np.uint32, len(words)) % np.uint32(VOCABULARY - 1)
-    return np.concatenate(([_START], ids + np.uint32(1))).astype(np.uint32)
-
-
-def pair_ids(ids: np.ndarray) -> np.ndarray:
-    """Pair counter of each word and the one before it."""
-    mixed = ids[:-1].astype(np.uint64) * np.uint64(VOCABULARY) + ids[1:]
-    mixed = (mixed ^ (mixed >> np.uint64(17))) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(44)).astype(np.int64) % PAIRS
-
-
-def pieces(text: str | None) -> Iterator[np.ndarray]:
-    ids = word_ids(text)
-    for start in range(0, len(ids) - 1, _PIECE):
-        yield ids[start: start + _PIECE + 1]
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((2, SIZE), np.int64)
-    together, size = ([], []), [0, 0]
-
-    def settle(corpus: int) -> None:
-        # pieces of several texts are counted at once; a pair over a border is left out
-        if together[corpus]:
-            ids = np.concatenate(together[corpus])
-            inner = np.ones(len(ids), bool)
-            inner[np.cumsum([len(x) for x in together[corpus]])[:-1]] = False  # first of each later piece
-            after, first = ids[1:][inner[1:]], ids[:-1][inner[1:]]
-            counts[corpus, :VOCABULARY] += np.bincount(after, minlength=VOCABULARY)
-            counts[corpus, VOCABULARY: 2 * VOCABULARY] += np.bincount(first, minlength=VOCABULARY)
-            counts[corpus, 2 * VOCABULARY:] += np.bincount(pair_ids(ids)[inner[1:]], minlength=PAIRS)
-            together[corpus].clear()
-            size[corpus] = 0
+SHARD_WORDS = 1 << 22
+MOST_BUCKETS = 1 << 14
+_PIECE = 1 << 22
+_FLUSH = 1 << 20
+_DOCS = 1 << 15
+_BLANKS = (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")
+_START = np.uint64(1)
+_LOW = np.uint64(0xFFFFFFFF)
+
+
+def pieces(text: bytes | None) -> Iterator[np.ndarray]:
+    """Hashes of the words of a text, each piece after the word before it; the first after the start mark."""
+    from xxhash import xxh3_64_intdigest
+
+    text, at, before = text or b"", 0, _START
+    while at < len(text):
+        end = at + _PIECE
+        if end < len(text):  # cut at white space; a word longer than a piece stays whole
+            before_end = max(text.rfind(c, at, end) for c in _BLANKS)
+            end = before_end + 1 if before_end >= 0 else min((i for c in _BLANKS if (i := text.find(c, end)) >= 0), default=len(text))
+        words = text[at:end].lower().split()
+        at = end
+        if words:
+            hashes = np.empty(len(words) + 1, np.uint64)
+            hashes[0] = before
+            hashes[1:] = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
+            before = hashes[-1]
+            yield hashes
+
+
+# --- which documents are target --------------------------------------------------------------------
+
+
+def mark_targets(docs: DataFrame, target_ids: DataFrame, *, id_col: str, text_col: str, most_buckets: int = MOST_BUCKETS) -> DataFrame:
+    """``(id, text, target)`` of every row of ``docs``; texts as bytes, ids as text."""
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    ids = target_ids.select(F.col(id_col).cast(texts.schema["id"].dataType).alias("target_id")).na.drop()
+    if isinstance(texts.schema["id"].dataType, T.IntegralType):
+        number = F.col("target_id").cast("bigint")
+        parts = ids.groupBy(F.shiftright(number, 15).alias("bucket")).agg(F.bitmap_construct_agg(number.bitwiseAND(F.lit(32767))).alias("bits"))
+        rows = parts.limit(most_buckets + 1).toArrow()
+        if rows.num_rows <= most_buckets:
+            member = _membership(docs.sparkSession, rows)
+            return texts.select(F.col("id").cast("string").alias("id"), "text", member(F.coalesce(F.col("id").cast("bigint"), F.lit(-1)), F.col("id").isNull()).alias("target"))
+    marked = texts.join(ids.distinct(), F.col("id") == F.col("target_id"), "left")
+    return marked.select(F.col("id").cast("string").alias("id"), "text", F.col("target_id").isNotNull().alias("target"))
+
+
+def _membership(spark, rows: pa.Table):
+    order = np.argsort(rows["bucket"].to_numpy(), kind="stable")
+    bits = [np.frombuffer(b, np.uint8) for b in rows["bits"].to_pylist()]
+    bits = np.stack([bits[i] for i in order]) if bits else np.zeros((0, 4096), np.uint8)
+    shipped = spark.sparkContext.broadcast((rows["bucket"].to_numpy()[order], bits))
+
+    @pandas_udf("boolean")
+    def member(number: pd.Series, missing: pd.Series) -> pd.Series:
+        buckets, table = shipped.value
+        own = number.to_numpy(np.int64)
+        if not len(buckets):
+            return pd.Series(np.zeros(len(own), bool))
+        at = np.minimum(np.searchsorted(buckets, own >> 15), len(buckets) - 1)
+        bit = own & 32767
+        return pd.Series((buckets[at] == own >> 15) & ((table[at, bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(bool) & ~missing.to_numpy(bool))
+
+    return member
+
+
+# --- counting --------------------------------------------------------------------------------------
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each word comes first in a pair, in all texts and in the target."""
+    held: list[np.ndarray] = []
+    first: list[np.ndarray] = []
+    size = 0
+
+    def settle() -> pa.RecordBatch:
+        words, at = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_inverse=True)
+        weight = np.concatenate(first) if first else np.zeros(0)
+        sums = [np.bincount(at, w, minlength=len(words)).astype(np.int64) for w in ((weight > 0), (weight > 1))]
+        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), *map(pa.array, sums)], ["word", "n", "n_target"])
 
     for batch in batches:
-        for text, is_target in zip(batch.column(0), batch.column(1)):
-            for ids in pieces(text.as_py()):
-                for corpus in (0, 1) if is_target.as_py() else (0,):
-                    together[corpus].append(ids)
-                    size[corpus] += len(ids)
-                    if size[corpus] > 1 << 20:
-                        settle(corpus)
-    settle(0)
-    settle(1)
-    which = counts.any(axis=0).nonzero()[0]
-    for start in range(0, len(which), 1 << 16):
-        part = which[start: start + (1 << 16)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(part, pa.int32()), pa.array(counts[0, part]), pa.array(counts[1, part])], ["slot", "background", "target"]
-        )
-
-
-class Losses:
-    """Target loss minus background loss of a word after another."""
-
-    def __init__(self, background: np.ndarray, target: np.ndarray):
-        seen, wanted = background[:VOCABULARY].sum(), target[:VOCABULARY].sum()
-        scale = wanted / seen if seen and wanted else 1.0
-        self.models = [self._model(background * scale), self._model(target.astype(float))]
-
-    @staticmethod
-    def _model(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        words = counts[:VOCABULARY]
-        shares = (words + ALPHA) / (words.sum() + ALPHA * VOCABULARY)
-        return MU * shares, counts[VOCABULARY: 2 * VOCABULARY] + MU, counts[2 * VOCABULARY:]
-
-    def differences(self, ids: np.ndarray) -> np.ndarray:
-        pairs, first, after = pair_ids(ids), ids[:-1], ids[1:]
-        (wb, fb, pb), (wt, ft, pt) = self.models
-        return np.log((pb[pairs] + wb[after]) * ft[first] / ((pt[pairs] + wt[after]) * fb[first]))
-
-    def score(self, text: str | None) -> tuple[int, float | None]:
-        """Number of words and mean difference."""
-        total, n = 0.0, 0
-        for ids in pieces(text):
-            total += float(self.differences(ids).sum())
-            n += len(ids) - 1
-        return n, total / n if n else None
-
-
-def train(docs: DataFrame, is_target: Column, *, text_col: str = "text") -> Losses:
-    """Count all rows as background and those with ``is_target`` as target too, in one pass."""
-    rows = docs.select(F.col(text_col).alias("text"), F.coalesce(is_target, F.lit(False)).alias("target"))
-    summed = rows.mapInArrow(_count, "slot int, background bigint, target bigint")
-    summed = summed.groupBy("slot").agg(F.sum("background").alias("background"), F.sum("target").alias("target")).toArrow().to_pandas()
-    counts = np.zeros((2, SIZE))
-    counts[0, summed["slot"]], counts[1, summed["slot"]] = summed["background"], summed["target"]
-    return Losses(counts[0], counts[1])
-
-
-def score(docs: DataFrame, losses: Losses, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_words, score)`` of every row."""
-    shipped = docs.sparkSession.sparkContext.broadcast(losses)
-
-    @pandas_udf("n_words bigint, score double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            found = [shipped.value.score(text) for text in texts]
-            yield pd.DataFrame({"n_words": [n for n, _ in found], "score": pd.array([s for _, s in found], "Float64")})
-
-    return docs.select(F.col(id_col), scored(F.col(text_col)).alias("s")).select(id_col, "s.*")
-
-
-def target_sample(labels: DataFrame, *, id_col: str = "doc_id", limit: int | None = None) -> DataFrame:
-    """The labelled ids, each once; with ``limit`` at most so many, by a hash order that knows nothing of the texts."""
-    ids = labels.select(F.col(id_col)).na.drop().distinct()
-    return ids if limit is None else ids.orderBy(F.xxhash64(id_col), id_col).limit(limit)
-
-
-def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Scores of all ``docs``; the target is all documents named by ``target_ids``, joined as their size allows."""
-    chosen = target_sample(target_ids, id_col=id_col).select(F.col(id_col).alias("target_id"))
-    marked = docs.select(id_col, text_col).join(chosen, F.col(id_col) == F.col("target_id"), "left")
-    losses = train(marked, F.col("target_id").isNotNull(), text_col=text_col)
-    return score(docs, losses, id_col=id_col, text_col=text_col)
+        for text, target in zip(batch.column(0), batch.column(1).to_pylist()):
+            for hashes in pieces(text.as_py()):
+                held.append(hashes)
+                first.append(np.full(len(hashes), 2.0 if target else 1.0))
+                first[-1][-1] = 0  # the next piece, or nothing, follows it
+                size += len(hashes)
+                if size > _FLUSH:
+                    yield settle()
+                    held, first, size = [], [], 0
+    yield settle()
+
+
+class Corpus:
+    """Totals of the corpus, and the counts of words that are too frequent for one shard."""
+
+    def __init__(self, marked: DataFrame, shard_words: int):
+        counted = marked.select("text", "target").mapInArrow(_count_words, "word bigint, n bigint, n_target bigint")
+        words = counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+        frequent = F.collect_list(F.when(F.col("n") > shard_words // 4, F.struct("word", "n", "n_target")))
+        row = words.agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n"), F.sum("n_target").alias("n_target"), frequent.alias("hot")).first()
+        self.pseudo = ALPHA * max(row["words"], 1)
+        total, target = row["n"] or 0, row["n_target"] or 0
+        self.scale = target / total if target else 1.0
+        self.shards = max(1, math.ceil(total / shard_words))
+        hot = sorted((r["word"] % 2**64, r["n"], r["n_target"]) for r in row["hot"])
+        self.hot = np.array([w for w, *_ in hot], np.uint64)
+        # in a shard a word goes by its lower half
+        lower = sorted((w & 0xFFFFFFFF, n, t) for w, n, t in hot)
+        self.hot_lower = np.array([w for w, *_ in lower], np.uint64)
+        self.hot_counts = np.array([c for _, *c in lower], np.float64).reshape(-1, 2)
+
+    def shard_of(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        key = first
+        if len(self.hot):
+            at = np.minimum(np.searchsorted(self.hot, first), len(self.hot) - 1)
+            key = np.where(self.hot[at] == first, (first ^ second) * np.uint64(0x9E3779B97F4A7C15), first)
+        return ((key >> np.uint64(32)) % np.uint64(self.shards)).astype(np.int64)
+
+
+_BLOCKS = "shard int, block bigint, ids array<string>, words array<bigint>, pairs binary, docs binary"
+
+
+def _pack(corpus):
+    """Blocks of up to ``_DOCS`` documents: a row with their ids, and rows of packed pairs per shard.
+
+    A document is its place in the block, times two, plus one if it is target.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plan = corpus.value
+        block = TaskContext.get().partitionId() << 32
+        ids, words, held, size = [], [], [], 0
+
+        def pairs() -> pa.RecordBatch:
+            first = np.concatenate([h[:-1] for h, _ in held])
+            second = np.concatenate([h[1:] for h, _ in held])
+            docs = np.concatenate([np.full(len(h) - 1, d, np.uint16) for h, d in held])
+            held.clear()
+            shard = plan.shard_of(first, second)
+            order = np.argsort(shard, kind="stable")
+            pair = ((first << np.uint64(32)) | (second & _LOW))[order]
+            docs, shard = docs[order], shard[order]
+            starts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
+            ends = np.r_[starts[1:], len(shard)]
+            names = shard[starts].tolist()
+            return _rows(names, [block] * len(names), [None] * len(names), [None] * len(names),
+                         [pair[a:b].tobytes() for a, b in zip(starts, ends)], [docs[a:b].tobytes() for a, b in zip(starts, ends)])
+
+        def close() -> pa.RecordBatch:
+            return _rows([(block & 0xFFFFFFFF) % plan.shards], [block], [ids], [words], [None], [None])
+
+        for batch in batches:
+            for doc, text, target in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                n = 0
+                for hashes in pieces(text.as_py()):
+                    held.append((hashes, 2 * len(ids) + bool(target)))
+                    n += len(hashes) - 1
+                    size += len(hashes)
+                    if size > _FLUSH:
+                        yield pairs()
+                        size = 0
+                ids.append(doc)
+                words.append(n)
+                if len(ids) == _DOCS:
+                    if held:
+                        yield pairs()
+                        size = 0
+                    yield close()
+                    block, ids, words = block + 1, [], []
+        if held:
+            yield pairs()
+        if ids:
+            yield close()
+
+    return run
+
+
+def _rows(*columns) -> pa.RecordBatch:
+    types = [pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [f.split()[0] for f in _BLOCKS.split(", ")])
+
+
+# --- scoring ---------------------------------------------------------------------------------------
+
+
+def _sums(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Group number of each element of sorted keys, and the sums of values per group."""
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    group = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(key)]))
+    return group, [np.add.reduceat(v, starts) for v in values]
+
+
+def differences(plan, pair: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(documents, loss differences) of the pairs of a whole shard; an odd document is target."""
+    order = np.lexsort((doc, pair))
+    pair, doc = pair[order], doc[order]
+    one, target = np.ones(len(pair)), (doc & 1).astype(float)
+    which, (n, n_target) = _sums(pair, one, target)
+    own_key = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1])])
+    own = np.repeat(np.diff(np.r_[own_key, len(pair)]), np.diff(np.r_[own_key, len(pair)])).astype(float)
+
+    word = pair >> np.uint64(32)
+    of_word, (m, m_target) = _sums(word, one, target)
+    m, m_target = m[of_word], m_target[of_word]
+    by_doc = np.lexsort((doc, word))
+    word_doc = np.flatnonzero(np.r_[True, (word[by_doc][1:] != word[by_doc][:-1]) | (doc[by_doc][1:] != doc[by_doc][:-1])])
+    runs = np.diff(np.r_[word_doc, len(pair)])
+    own_word = np.empty(len(pair))
+    own_word[by_doc] = np.repeat(runs, runs)
+    if len(plan.hot_lower):  # counted over all shards; a document's own share of them is too small to matter
+        at = np.minimum(np.searchsorted(plan.hot_lower, word), len(plan.hot_lower) - 1)
+        hot = plan.hot_lower[at] == word
+        m, m_target = np.where(hot, plan.hot_counts[at, 0], m), np.where(hot, plan.hot_counts[at, 1], m_target)
+        own_word[hot] = 0
+
+    background = plan.scale * (n[which] - own) + ALPHA
+    wanted = n_target[which] - own * target + ALPHA
+    of_background = plan.scale * (m - own_word) + plan.pseudo
+    of_wanted = m_target - own_word * target + plan.pseudo
+    return doc, np.log(background * of_wanted / (wanted * of_background))
+
+
+_PARTS = "block bigint, ids array<string>, words array<bigint>, docs binary, sums binary"
+
+
+def _score_shard(corpus):
+    def run(key, table):
+        blocks, pairs, docs = table.column("block").to_pylist(), table.column("pairs").to_pylist(), table.column("docs").to_pylist()
+        number = {b: i for i, b in enumerate(sorted(set(blocks)))}
+        filled = [i for i, p in enumerate(pairs) if p is not None]
+        out = [(b, ids, words, None, None) for b, ids, words in zip(blocks, table.column("ids").to_pylist(), table.column("words").to_pylist()) if ids is not None]
+        if filled:
+            pair = np.concatenate([np.frombuffer(pairs[i], np.uint64) for i in filled])
+            doc = np.concatenate([np.frombuffer(docs[i], np.uint16).astype(np.int64) + number[blocks[i]] * 2 * _DOCS for i in filled])
+            doc, loss = differences(corpus.value, pair, doc)
+            order = np.argsort(doc >> 1, kind="stable")
+            _, (sums,) = _sums(doc[order] >> 1, loss[order])
+            doc = np.unique(doc >> 1)
+            at = np.searchsorted(doc // _DOCS, np.arange(len(number) + 1))
+            for b, i in number.items():
+                if at[i] < at[i + 1]:
+                    part = slice(at[i], at[i + 1])
+                    out.append((b, None, None, (doc[part] % _DOCS).astype(np.uint16).tobytes(), sums[part].astype(np.float32).tobytes()))
+        types = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+        return pa.table({f.split()[0]: pa.array(list(c), t) for f, c, t in zip(_PARTS.split(", "), zip(*out) if out else [[]] * 5, types)})
+
+    return run
+
+
+def _add_up(key, table):
+    """Documents of a block with the mean of their differences."""
+    ids, words, total = [], [], np.zeros(_DOCS)
+    for own, n, docs, sums in zip(*[table.column(c).to_pylist() for c in ("ids", "words", "docs", "sums")]):
+        if own is not None:
+            ids, words = own, n
+        else:
+            total[np.frombuffer(docs, np.uint16)] += np.frombuffer(sums, np.float32)
+    words = np.array(words, np.int64)
+    mean = total[: len(words)] / np.maximum(words, 1)
+    return pa.table({"id": pa.array(ids, pa.string()), "n_words": pa.array(words), "score": pa.array(mean, mask=words == 0)})
+
+
+def cross_entropy_difference(
+    docs: DataFrame, target_ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shard_words: int = SHARD_WORDS,
+    most_buckets: int = MOST_BUCKETS,
+) -> DataFrame:
+    """``(id, n_words, score)`` of every row of ``docs``; the target is all documents whose id ``target_ids`` names."""
+    marked = mark_targets(docs, target_ids, id_col=id_col, text_col=text_col, most_buckets=most_buckets)
+    plan = docs.sparkSession.sparkContext.broadcast(Corpus(marked, shard_words))
+    blocks = marked.mapInArrow(_pack(plan), _BLOCKS)
+    parts = blocks.groupBy("shard").applyInArrow(_score_shard(plan), _PARTS)
+    scored = parts.groupBy("block").applyInArrow(_add_up, "id string, n_words bigint, score double")
+    key = docs.select(id_col).schema[0].dataType
+    return scored.select(F.col("id").cast(key).alias(id_col), "n_words", "score")
