@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 ALPHA = 0.1
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 20
 MOST_BUCKETS = 1 << 14
 _PIECE = 1 << 22
 _FLUSH = 1 << 20
