@@ -45,17 +45,45 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 Copyright (c) <year>, <owner>
 Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "BSD-2-Clause": """Copyright (c) <year> <owner>
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "BSD-3-Clause": """Copyright (c) <year> <owner>
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
     "0BSD": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
 }
 
-# lines end at a line feed only; ASCII letters and digits and everything from U+0080 up are kept
-COPYRIGHT_LINE = r"(?md)^[ \t*#/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
-# the lines that ``normalise`` drops; COPYRIGHT_LINE, any line that begins with the word, is what the SQL form drops
+# fixed values: digests of the normal forms of long licence texts, as their stewards publish them
+DIGESTS = {
+    "Apache-2.0": "e87dea5078ce2faaea46d3475af18d30a5c0ac0f09425b60b3e0c6569f72f8d2",
+    "Artistic-1.0-Perl": "64e91f5cc481723b420f8e1ecf131ec7eba02da96cf0a78bb4b764fb30984f7a",
+    "CC0-1.0": "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f",
+    "GFDL-1.2": "dc0a69dd77c36ecefaab939fe6f1fe20d430b27b4bba90820623760aadc9d0be",
+    "GFDL-1.3": "f63115b17c1c179670bd2984927f637d14545c9ad5ef5b33ab30f5073f67a635",
+    "GPL-1.0": "9afd2a0837407af373a8d2fd5fa246e7ab95ded1f8b20bde740e7c7c1525cd70",
+    "GPL-2.0": "39fd2d64822d059bba18173590e22f9d95d836209aef6efd30b983b346aa4354",
+    "GPL-3.0": "a0d76dea66119be2ccb8030ac13187c066bacfa00c50c278dabbaca01f0fa456",
+    "LGPL-2.0": "8e8ffd5752111302160e6ee7d7d229c3ff9fc6431363cfc44be8cfd0f64c24c6",
+    "LGPL-2.1": "5ce6fa0934cb8db1e96d36322f81fd98d11cc658ec86c71b9519d9c723a13041",
+    "LGPL-3.0": "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
+    "MPL-1.1": "306c97d6d414b6d81e284c065ce46bb98866841c27e12248e4f16e85936a1474",
+    "MPL-2.0": "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a",
+}
+
+# Lines that state a copyright: after the word a sign, a placeholder, ``by`` or a year, or a year that ends the line.
+# Lines end at a line feed only. SQL engines take the same expression (``(?m)`` where ``d`` is unknown).
 STATED_COPYRIGHT = (
-    r"(?md)^[ \t*#/;-]*(copyright[ \t:,]*(\(c\)|©|by\b|[<\[{]|[^\n]*\b(19|20)[0-9]{2}\b)"
-    r"|\(c\)[ \t]*(copyright|[<\[{]|[^\n]*\b(19|20)[0-9]{2}\b)|©|all rights reserved)[^\n]*$"
+    r"(?md)^[ \t*#/;-]*((copyright|\(c\))[ \t:,]*(\(c\)|copyright|©|by[ \t]|[<\[{]|(19|20)[0-9][0-9])"
+    r"|(copyright|\(c\))[ \t][^\n]*[ \t,-](19|20)[0-9][0-9][ \t]*$|©|all rights reserved)[^\n]*$"
 )
+# ASCII letters and digits and everything from U+0080 up are kept
 NOT_WORD = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 
 
@@ -74,9 +102,19 @@ def known_texts(spark: SparkSession, texts: dict[str, str] | None = None) -> Dat
     return spark.createDataFrame(list((KNOWN if texts is None else texts).items()), "license string, text string")
 
 
+def digests_of(known: DataFrame) -> DataFrame:
+    """``(license, digest)`` of licence texts ``(license, text)``; texts that normalise to nothing have none."""
+    forms = known.select("license", normalise(F.col("text")).alias("form")).filter("form <> ''")
+    return forms.select("license", F.sha2("form", 256).alias("digest"))
+
+
+def known_digests(spark: SparkSession) -> DataFrame:
+    """``(license, digest)`` of ``KNOWN`` and of the long texts in ``DIGESTS``."""
+    return digests_of(known_texts(spark)).union(spark.createDataFrame(list(DIGESTS.items()), "license string, digest string"))
+
+
 def scan(docs: DataFrame, known: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, digest, license)`` of every row; license is null for a text that is not a known licence."""
-    digests = known.select("license", normalise(F.col("text")).alias("form")).filter("form <> ''")
-    digests = digests.groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license").alias("license"))
+    """``(id, digest, license)`` of every row, by ``(license, digest)``; license is null for any other text."""
+    digests = known.groupBy("digest").agg(F.min("license").alias("license"))
     own = docs.select(F.col(id_col), F.sha2(normalise(F.col(text_col)), 256).alias("digest"))
     return own.join(digests, "digest", "left").select(id_col, "digest", "license")

@@ -121,24 +121,26 @@ def _licence_sql() -> str:
 
     def form(column: str) -> str:
         out = f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-        out = f"regexp_replace({out}, {quoted(licences.COPYRIGHT_LINE.replace('(?md)', '(?m)'))}, ' ', 'g')"
+        out = f"regexp_replace({out}, {quoted(licences.STATED_COPYRIGHT.replace('(?md)', '(?m)'))}, ' ', 'g')"
         out = f"regexp_replace({out}, {quoted(licences.NOT_WORD)}, ' ', 'g')"
         for spelling, same in licences.SPELLINGS:
             out = f"replace({out}, '{spelling}', '{same}')"
         return f"trim({out}, ' ')"
 
-    rows = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in licences.KNOWN.items())
+    rows, digests = (", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in known.items()) for known in (licences.KNOWN, licences.DIGESTS))
     return f"""
         WITH known AS (
-            SELECT sha256(form) AS digest, min(license) AS license
-            FROM (SELECT license, {form('text')} AS form FROM (VALUES {rows}) t(license, text)) WHERE form <> '' GROUP BY 1
+            SELECT digest, min(license) AS license FROM (
+                SELECT license, sha256({form('text')}) AS digest FROM (VALUES {rows}) t(license, text)
+                UNION ALL SELECT * FROM (VALUES {digests}) t(license, digest)
+            ) GROUP BY 1
         ), own AS (SELECT doc_id, sha256({form('text')}) AS digest FROM documents)
         SELECT doc_id, digest, license FROM own LEFT JOIN known USING (digest)"""
 
 
 @entry("op10_licence_lookup", _licence_sql())
 def _(spark, table):
-    return licences.scan(table("documents"), licences.known_texts(spark))
+    return licences.scan(table("documents"), licences.known_digests(spark))
 
 
 _HARD_NEGATIVES = """
