@@ -14,7 +14,7 @@ from registry.oracle import c, d, half_up, n, pct, with_tables
 from registry.views import AS_OF, CORRECTIONS, LAST_MONTH, MID, SCALED_RFM, YEARS, RetailTables, tables
 from tillwise.functions import aggregates, calendar, measures, text, windows
 from tillwise.operators import (
-    customer_marts, facts, identity, kpis, quality, relational, reports, sales_marts, snapshots, store_marts,
+    customer_marts, facts, identity, kpis, mergeable, quality, relational, reports, sales_marts, snapshots, store_marts,
 )
 from tillwise.plans.monthly import RetailWarehouse
 from tillwise.schemas import CUSTOMER_CHECK_COLUMNS, SALES_CHECK_COLUMNS, SRC_SALES, STORE_CHECK_COLUMNS, TIERS
@@ -978,6 +978,41 @@ def _(t):
     return kpis.kpi_customer_retention(t["fact_sales"])
 
 
+@entry("retention_from_parts", _kpi_sql("kpi_customer_retention"))
+def _(t):
+    """Months of buyers stored for the sales up to June 1999, and one part for each of two later loads, some of it again."""
+    fact = t["fact_sales"]
+    cuts = [relational.upto_batch(fact, MID), fact.filter("order_id % 2 = 0"), fact.filter(F.col("partition_time") > F.lit(MID))]
+    parts = [store(mergeable.buyer_months(part), "buyer_months") for part in cuts]
+    return kpis.retention_of_months(mergeable.retention_months(mergeable.merge_buyer_months(*parts)))
+
+
+_COUNTED = """
+    SELECT 'month' AS grain, strftime(order_date, '%Y-%m') AS "key", count(DISTINCT customer_id) AS buyers FROM sales GROUP BY ALL
+    UNION ALL SELECT 'day', CAST(order_date AS VARCHAR), count(DISTINCT customer_id) FROM sales GROUP BY ALL
+    UNION ALL SELECT 'store', store_code, count(DISTINCT customer_id) FROM sales GROUP BY ALL
+    UNION ALL SELECT 'store month', store_code || ' ' || strftime(order_date, '%Y-%m'), count(DISTINCT customer_id) FROM sales GROUP BY ALL
+    UNION ALL SELECT 'all', 'all', count(DISTINCT customer_id) FROM sales"""
+
+
+@entry("buyers_from_parts", _COUNTED)
+def _(t):
+    """Buyers of days, months, stores and all, or-ed from sets per day and store that two loads have stored."""
+    fact, parts, numbers = t["fact_sales"], [], None
+    for load in (relational.upto_batch(fact, MID), fact.filter(F.col("partition_time") > F.lit(MID))):
+        fresh = mergeable.number_values(numbers, load, "customer_id", "store_code")
+        numbers = fresh if numbers is None else numbers.unionByName(fresh)
+        parts.append(store(mergeable.set_parts(load, ["order_date", "store_code"], "customer_id", numbers), "buyers"))
+    month = calendar.month_key(F.col("order_date"))
+    daily = parts[0].unionByName(parts[1]).withColumn("month", month)
+    keys = {
+        "month": F.col("month"), "day": F.col("order_date").cast("string"), "store": F.col("store_code"),
+        "store month": F.concat_ws(" ", "store_code", "month"), "all": F.lit("all"),
+    }
+    counted = [mergeable.count_sets(daily.withColumn("key", key), ["key"], "buyers").select(F.lit(g).alias("grain"), "key", "buyers") for g, key in keys.items()]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @entry("kpi_store", _kpi_sql("kpi_store"))
 def _(t):
     return kpis.kpi_store(store_marts.store_performance(t["fact_sales"], t["code_history"], unique_orders=True))

@@ -89,12 +89,18 @@ def kpi_customer_retention(fact: DataFrame) -> DataFrame:
         "_first": F.min(m).over(visits.rowsBetween(Window.unboundedPreceding, 0)),
         "_before": F.lag(m).over(visits),
     })
-    months = marked.groupBy("_m").agg(
+    return retention_of_months(marked.groupBy("_m").agg(
         F.count("customer_id").alias("total_buyers"),
         F.count_if(F.col("_first") == m).alias("new_customers"),
         F.count_if(F.col("_first") < m).alias("returning_customers"),
         F.count_if(F.col("_before") == F.add_months(m, -1)).alias("retained_from_prev_month"),
-    ).withColumn("month", calendar.month_key(m)).withColumn("prev_month_buyers", windows.prev("total_buyers", "month"))
+    ))
+
+
+def retention_of_months(months: DataFrame) -> DataFrame:
+    """Retention from the buyers of each month ``_m``: counted from sales, or from ``mergeable.retention_months``."""
+    m = F.col("_m")
+    months = months.withColumn("month", calendar.month_key(m)).withColumn("prev_month_buyers", windows.prev("total_buyers", "month"))
     buyers, before, kept = F.col("total_buyers"), F.col("prev_month_buyers"), F.col("retained_from_prev_month")
     return months.select(
         "month", "total_buyers", "new_customers", "returning_customers", "retained_from_prev_month", "prev_month_buyers",

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame
 
-from tillwise.operators import customer_marts, kpis, sales_marts, store_marts
+from tillwise.operators import customer_marts, kpis, mergeable, sales_marts, store_marts
 from tillwise.operators.customer_marts import RfmConfig
 from tillwise.operators.identity import active_store, closed_store
 
@@ -35,7 +35,10 @@ SORT_KEYS = {
 
 
 class Layers(Mapping[str, DataFrame]):
-    """Tables by name. ``base`` holds at least ``fact_sales``, ``code_history`` and ``dim_customer``."""
+    """Tables by name. ``base`` holds at least ``fact_sales``, ``code_history`` and ``dim_customer``.
+
+    With ``buyer_months`` in it, retention comes from there and not from the fact.
+    """
 
     def __init__(
         self,
@@ -77,6 +80,8 @@ class Layers(Mapping[str, DataFrame]):
             case "kpi_orders":
                 return kpis.orders_of_months(t("month_base"))
             case "kpi_customer_retention":
+                if "buyer_months" in self._tables:
+                    return kpis.retention_of_months(mergeable.retention_months(t("buyer_months")))
                 return kpis.kpi_customer_retention(t("fact_sales"))
             case "kpi_store":
                 return kpis.kpi_store(t("store_performance"))

@@ -10,7 +10,7 @@ A full build fills an empty root, which the caller names; batches follow in date
 directories of its own day and nothing else, so running the newest batch again replaces what it wrote before, and
 every earlier day can still be read: ``table(name, day)``. Readers see days whose build was finished.
 
-What a batch writes follows the batch: new orders (``fact_sales``), versions opened or closed (``code_history``,
+What a batch writes follows the batch: new orders (``fact_sales``), their buyers' months (``buyer_months``), versions opened or closed (``code_history``,
 ``dim_*``), locations first seen (``store_seen``) and source files that are new or changed (``sales_files``).
 """
 
@@ -24,7 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.operators import facts, identity, snapshots
+from tillwise.operators import facts, identity, mergeable, snapshots
 from tillwise.operators.customer_marts import RfmConfig
 from tillwise.operators.quality import check_unique, freshness, run_checks
 from tillwise.operators.relational import one_batch, upto_batch
@@ -51,6 +51,10 @@ DIMENSIONS = {
 }
 
 
+# what every build adds to, besides dimensions
+STATES = ("sales_files", "fact_sales", "buyer_months", "store_seen", "code_history")
+
+
 class BatchRejected(ValueError):
     """A batch holds rows that would make its result ambiguous, or comes out of order."""
 
@@ -112,6 +116,8 @@ class RetailWarehouse:
         parts = self._parts(name, day)
         if name == "code_history":
             return identity.history_of_changes(parts, "day")
+        if name == "buyer_months":
+            return mergeable.merge_buyer_months(parts.drop("day"))
         return parts.drop("day")
 
     # --- builds ------------------------------------------------------------------------------------
@@ -129,11 +135,12 @@ class RetailWarehouse:
         fact = self._write("fact_sales", cutoff, facts.clean_sales(sales), partition_by=["partition_time"])
         # one pass over the order ids here spares every mart, and every later batch, its own
         unique = check_unique(fact, ["order_id"]).isEmpty()
+        self._write("buyer_months", cutoff, mergeable.buyer_months(fact), sort_by=["customer_id"])
 
         stores = sources["src_store"]
         self._write("store_seen", cutoff, identity.first_seen(upto_batch(stores, cutoff)), sort_by=["latitude", "longitude"])
         self._write("code_history", cutoff, identity.build_code_history(stores, cutoff), sort_by=["store_code"])
-        tables = ["sales_files", "fact_sales", "store_seen", "code_history"]
+        tables = list(STATES)
         for name, dim in DIMENSIONS.items():
             if dim.source in sources:
                 self._write_first_versions(name, sources[dim.source], cutoff)
@@ -157,7 +164,7 @@ class RetailWarehouse:
         sales = upto_batch(sources["src_sales"], day)
         changed = self._changed_files(sales, day)
         unique = all(b["unique_orders"] for b in before.values()) & self._add_sales(sales, changed, day)
-        tables = ["sales_files", "fact_sales", "store_seen", "code_history"]
+        tables = list(STATES)
         for name, dim in DIMENSIONS.items():
             if dim.source not in sources:
                 continue
@@ -203,6 +210,7 @@ class RetailWarehouse:
         _require_empty(rows.filter("order_id is null").select("partition_time"), "orders without an id")
         new = facts.arrived_rows(rows, self._parts("fact_sales", day, before=True))
         fresh = self._write("fact_sales", day, new, partition_by=["partition_time"])
+        self._write("buyer_months", day, mergeable.buyer_months(fresh), sort_by=["customer_id"])
         # fresh ids are not in the fact, so only they can repeat among themselves
         return check_unique(fresh, ["order_id"]).isEmpty()
 
@@ -238,7 +246,7 @@ class RetailWarehouse:
                 return store(df, name) if name == "month_base" else df
             return self._write(f"marts/{name}", day, df, sort_by=SORT_KEYS[name])
 
-        base = {name: self._table(name, day, built) for name in ("fact_sales", "code_history", "dim_customer")}
+        base = {name: self._table(name, day, built) for name in ("fact_sales", "code_history", "dim_customer", "buyer_months")}
         layers = Layers(base, as_of, self.rfm, keep, unique)
         for name in (*MARTS, *KPIS):
             layers[name]
