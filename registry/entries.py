@@ -865,6 +865,19 @@ def _(t):
     return customer_marts.sales_by_customer(t["fact_sales"], AS_OF, unique_orders=True)
 
 
+def _customer_state(t):
+    """Parts of the sales up to June 1999 and of those after, which hold other orders."""
+    fact = t["fact_sales"]
+    loads = (relational.upto_batch(fact, MID), fact.filter(F.col("partition_time") > F.lit(MID)))
+    parts = [store(customer_marts.customer_parts(load, unique_orders=unique), "parts") for load, unique in zip(loads, (True, False))]
+    return customer_marts.merge_customer_parts(parts[0].unionByName(parts[1]))
+
+
+@entry("customers_from_parts", _BY_CUSTOMER + " FROM rated")
+def _(t):
+    return customer_marts.customer_value(_customer_state(t), AS_OF)
+
+
 @entry("sales_by_customer_scaled", _BY_CUSTOMER + " FROM rated_scaled")
 def _(t):
     return customer_marts.sales_by_customer(t["fact_sales"], AS_OF, SCALED_RFM, unique_orders=True)
@@ -887,13 +900,21 @@ def _(t):
     return customer_marts.favorite_product(t["fact_sales"])
 
 
-@entry("customer_profile", f"""
+_PROFILE = f"""
     SELECT customer_id, {_TITLE.format('full_name')} AS full_name, lower(trim(email)) AS email, phone,
            {_TITLE.format('city')} AS city, {_TITLE.format('province')} AS province, {d('registered', 'registration_date')},
            {n("DATE '2001-08-01' - registered", 'days_as_customer')}, tier AS current_tier, {d('valid_from', 'tier_since')},
            {n('changes', 'total_tier_upgrades')}, journey AS tier_journey, {n('orders', 'lifetime_orders')},
            {c('spend_c', 'lifetime_spend')}, {d('first_day', 'first_purchase_date')}, {d('last_day', 'last_purchase_date')},
-           {n("DATE '2001-08-01' - last_day", 'days_since_last_purchase')} FROM profiles""")
+           {n("DATE '2001-08-01' - last_day", 'days_since_last_purchase')} FROM profiles"""
+
+
+@entry("profile_from_parts", _PROFILE)
+def _(t):
+    return customer_marts.profile_with_sales(t["dim_customer"], customer_marts.lifetime_of_parts(_customer_state(t)), AS_OF)
+
+
+@entry("customer_profile", _PROFILE)
 def _(t):
     return customer_marts.customer_profile(t["dim_customer"], t["fact_sales"], AS_OF, unique_orders=True)
 

@@ -73,27 +73,53 @@ def favorite_product(fact: DataFrame) -> DataFrame:
     return _favorite(_by_product(fact))
 
 
-def sales_by_customer(
-    fact: DataFrame, as_of: dt.date, cfg: RfmConfig = RfmConfig(), *, unique_orders: bool = False
-) -> DataFrame:
-    """Value profile per customer.
+def customer_parts(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
+    """What sales add to their customers, as rows that merge: per product, per store and, unless orders are unique, per order.
 
-    Sales are reduced to (customer, product), (customer, store) and, unless orders are unique,
-    (customer, order) rows; each reduction spreads a customer with very many sales over its products,
-    stores or orders. Their union is then aggregated per customer, in one shuffle and with numbers only, so
-    that it stays a hash aggregation. The favourite product, a text, is found on its own and joined.
+    Each reduction spreads a customer with very many sales over its products, stores or orders. ``part`` tells which
+    of the three a row is. Parts of loads that share no order can be stored and united; see ``merge_customer_parts``.
     """
     amount, day = F.col("total_amount"), F.col("order_date")
     bought = _by_product(
         fact, F.sum(amount).alias("spend"), F.count(amount).alias("n"), F.min(day).alias("first"),
         F.max(day).alias("last"), *([F.count("order_id").alias("orders")] if unique_orders else []),
     )
-    parts = [bought, fact.select("customer_id", "store_code").distinct()]
+    stores = fact.select("customer_id", "store_code").distinct()
+    parts = [bought.withColumn("part", F.lit("product")), stores.withColumn("part", F.lit("store"))]
     if not unique_orders:
         orders = fact.select("customer_id", "order_id").distinct()
-        parts.append(orders.select("customer_id", F.col("order_id").isNotNull().cast("long").alias("orders")))
+        known = F.col("order_id").isNotNull().cast("long")
+        parts.append(orders.select("customer_id", "order_id", known.alias("orders"), F.lit("order").alias("part")))
     together = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
-    base = together.groupBy("customer_id").agg(
+    missing = {c: F.lit(None).cast(fact.schema[c].dataType if c in fact.columns else "long") for c in ("order_id", "orders") if c not in together.columns}
+    return together.withColumns(missing)
+
+
+_PART_KEYS = ["customer_id", "part", "product_id", "store_code", "order_id"]
+
+
+def merge_customer_parts(parts: DataFrame) -> DataFrame:
+    """Parts of several loads as those of all sales: one row per customer and product, store or order."""
+    measure = {"qty": F.sum, "spend": F.sum, "n": F.sum, "orders": F.sum, "first": F.min, "last": F.max}
+    merged = parts.groupBy(*_PART_KEYS).agg(*[f(c).cast(parts.schema[c].dataType).alias(c) for c, f in measure.items()])
+    return merged.select(*parts.columns)
+
+
+def sales_by_customer(
+    fact: DataFrame, as_of: dt.date, cfg: RfmConfig = RfmConfig(), *, unique_orders: bool = False
+) -> DataFrame:
+    """Value profile per customer."""
+    return customer_value(customer_parts(fact, unique_orders=unique_orders), as_of, cfg)
+
+
+def customer_value(parts: DataFrame, as_of: dt.date, cfg: RfmConfig = RfmConfig()) -> DataFrame:
+    """Value profile per customer from ``customer_parts`` or ``merge_customer_parts``, for any day.
+
+    The parts are aggregated per customer in one shuffle and with numbers only, so that it stays a hash
+    aggregation. The favourite product, a text, is found on its own and joined.
+    """
+    bought = parts.filter("part = 'product'")
+    base = parts.groupBy("customer_id").agg(
         F.sum("orders").alias("total_orders"),
         F.count("store_code").alias("stores_visited"),
         F.count("product_id").alias("unique_products_bought"),
@@ -119,10 +145,32 @@ def sales_by_customer(
     )
 
 
+def lifetime_sales(fact: DataFrame, *, unique_orders: bool = False) -> DataFrame:
+    return fact.groupBy("customer_id").agg(
+        count_orders(unique_orders).alias("orders"),
+        F.sum("total_amount").alias("spend"),
+        F.min("order_date").alias("first_purchase_date"),
+        F.max("order_date").alias("last_purchase_date"),
+    )
+
+
+def lifetime_of_parts(parts: DataFrame) -> DataFrame:
+    """``lifetime_sales`` from parts, merged or not."""
+    return parts.groupBy("customer_id").agg(
+        F.sum("orders").alias("orders"), F.sum("spend").cast(parts.schema["spend"].dataType).alias("spend"),
+        F.min("first").alias("first_purchase_date"), F.max("last").alias("last_purchase_date"),
+    )
+
+
 def customer_profile(
     dim_customer: DataFrame, fact: DataFrame, as_of: dt.date, *, unique_orders: bool = False
 ) -> DataFrame:
     """Current profile, tier history and lifetime sales of every customer with an open version."""
+    return profile_with_sales(dim_customer, lifetime_sales(fact, unique_orders=unique_orders), as_of)
+
+
+def profile_with_sales(dim_customer: DataFrame, lifetime: DataFrame, as_of: dt.date) -> DataFrame:
+    """``customer_profile`` with sales that are added up already."""
     versions = dim_customer.select(
         clean_id(F.col("customer_id")).alias("customer_id"), clean_name(F.col("full_name")).alias("full_name"),
         clean_email(F.col("email")).alias("email"), "phone", clean_name(F.col("city")).alias("city"),
@@ -132,12 +180,6 @@ def customer_profile(
     journey = versions.groupBy("customer_id").agg(
         (F.count(F.lit(1)) - 1).alias("changes"), ordered_concat("tier", "valid_from", " → ").alias("tier_journey")
     )
-    lifetime = fact.groupBy("customer_id").agg(
-        count_orders(unique_orders).alias("orders"),
-        F.sum("total_amount").alias("spend"),
-        F.min("order_date").alias("first_purchase_date"),
-        F.max("order_date").alias("last_purchase_date"),
-    )
     today = F.lit(as_of)
     return left_star(current, [journey, lifetime], "customer_id").select(
         "customer_id", "full_name", "email", "phone", "city", "province", "registration_date",

@@ -37,7 +37,7 @@ SORT_KEYS = {
 class Layers(Mapping[str, DataFrame]):
     """Tables by name. ``base`` holds at least ``fact_sales``, ``code_history`` and ``dim_customer``.
 
-    With ``buyer_months`` in it, retention comes from there and not from the fact.
+    With ``buyer_months`` or ``customer_parts`` in it, retention or customers come from there and not from the fact.
     """
 
     def __init__(
@@ -70,8 +70,13 @@ class Layers(Mapping[str, DataFrame]):
             case "sales_by_product":
                 return sales_marts.sales_by_product(t("fact_sales"), **self._unique)
             case "sales_by_customer":
+                if "customer_parts" in self._tables:
+                    return customer_marts.customer_value(t("customer_parts"), self._as_of, self._rfm)
                 return customer_marts.sales_by_customer(t("fact_sales"), self._as_of, self._rfm, **self._unique)
             case "customer_profile":
+                if "customer_parts" in self._tables:
+                    lifetime = customer_marts.lifetime_of_parts(t("customer_parts"))
+                    return customer_marts.profile_with_sales(t("dim_customer"), lifetime, self._as_of)
                 return customer_marts.customer_profile(t("dim_customer"), t("fact_sales"), self._as_of, **self._unique)
             case "month_base":
                 return kpis.month_base(t("fact_sales"), **self._unique)

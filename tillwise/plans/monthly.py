@@ -10,7 +10,8 @@ A full build fills an empty root, which the caller names; batches follow in date
 directories of its own day and nothing else, so running the newest batch again replaces what it wrote before, and
 every earlier day can still be read: ``table(name, day)``. Readers see days whose build was finished.
 
-What a batch writes follows the batch: new orders (``fact_sales``), their buyers' months (``buyer_months``), versions opened or closed (``code_history``,
+What a batch writes follows the batch: new orders (``fact_sales``), what they add to their customers
+(``buyer_months``, ``customer_parts``), versions opened or closed (``code_history``,
 ``dim_*``), locations first seen (``store_seen``) and source files that are new or changed (``sales_files``).
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.operators import facts, identity, mergeable, snapshots
-from tillwise.operators.customer_marts import RfmConfig
+from tillwise.operators.customer_marts import RfmConfig, customer_parts, merge_customer_parts
 from tillwise.operators.quality import check_unique, freshness, run_checks
 from tillwise.operators.relational import one_batch, upto_batch
 from tillwise.plans.layers import DOMAINS, KPIS, MARTS, SORT_KEYS, Layers
@@ -52,7 +53,7 @@ DIMENSIONS = {
 
 
 # what every build adds to, besides dimensions
-STATES = ("sales_files", "fact_sales", "buyer_months", "store_seen", "code_history")
+STATES = ("sales_files", "fact_sales", "buyer_months", "customer_parts", "store_seen", "code_history")
 
 
 class BatchRejected(ValueError):
@@ -118,6 +119,8 @@ class RetailWarehouse:
             return identity.history_of_changes(parts, "day")
         if name == "buyer_months":
             return mergeable.merge_buyer_months(parts.drop("day"))
+        if name == "customer_parts":
+            return merge_customer_parts(parts.drop("day"))
         return parts.drop("day")
 
     # --- builds ------------------------------------------------------------------------------------
@@ -135,7 +138,7 @@ class RetailWarehouse:
         fact = self._write("fact_sales", cutoff, facts.clean_sales(sales), partition_by=["partition_time"])
         # one pass over the order ids here spares every mart, and every later batch, its own
         unique = check_unique(fact, ["order_id"]).isEmpty()
-        self._write("buyer_months", cutoff, mergeable.buyer_months(fact), sort_by=["customer_id"])
+        self._add_customers(fact, cutoff, unique)
 
         stores = sources["src_store"]
         self._write("store_seen", cutoff, identity.first_seen(upto_batch(stores, cutoff)), sort_by=["latitude", "longitude"])
@@ -210,9 +213,15 @@ class RetailWarehouse:
         _require_empty(rows.filter("order_id is null").select("partition_time"), "orders without an id")
         new = facts.arrived_rows(rows, self._parts("fact_sales", day, before=True))
         fresh = self._write("fact_sales", day, new, partition_by=["partition_time"])
-        self._write("buyer_months", day, mergeable.buyer_months(fresh), sort_by=["customer_id"])
         # fresh ids are not in the fact, so only they can repeat among themselves
-        return check_unique(fresh, ["order_id"]).isEmpty()
+        unique = check_unique(fresh, ["order_id"]).isEmpty()
+        self._add_customers(fresh, day, unique)
+        return unique
+
+    def _add_customers(self, fresh: DataFrame, day: dt.date, unique: bool) -> None:
+        """What new sales add to their customers."""
+        self._write("buyer_months", day, mergeable.buyer_months(fresh), sort_by=["customer_id"])
+        self._write("customer_parts", day, customer_parts(fresh, unique_orders=unique), sort_by=["customer_id"])
 
     @staticmethod
     def _newest_loads(sales: DataFrame, changed: Sequence[tuple]) -> DataFrame:
@@ -247,6 +256,7 @@ class RetailWarehouse:
             return self._write(f"marts/{name}", day, df, sort_by=SORT_KEYS[name])
 
         base = {name: self._table(name, day, built) for name in ("fact_sales", "code_history", "dim_customer", "buyer_months")}
+        base["customer_parts"] = store(self._table("customer_parts", day, built), "customer_parts")  # two marts read it
         layers = Layers(base, as_of, self.rfm, keep, unique)
         for name in (*MARTS, *KPIS):
             layers[name]
