@@ -49,3 +49,25 @@ def test_outcomes(spark):
     assert failed == [("not_null", "customer_id", 1), ("positive", "quantity", 1), ("total_consistent", "total_amount", 1), ("unique", "order_id", 1)]
     assert out.count() == 9 + 1 + 3 + 1
     assert {r["table"] for r in out.collect()} == {"fact_sales"}
+
+
+def test_keys_and_table_rules(spark):
+    history = spark.createDataFrame([
+        ("A", "A", D("2026-01-01"), OPEN_END), ("A", "B", D("2026-02-01"), OPEN_END), (None, "C", D("2026-01-01"), OPEN_END), (None, "D", D("2026-01-01"), OPEN_END),
+        ("C", "C", D("2026-02-01"), D("2026-01-01")), ("A", "E", D("2025-02-01"), D("2026-01-01"))], CODE_HISTORY)
+    rated = spark.createDataFrame([("a", "Loyal"), ("b", None), ("b", "loyal")], "customer_id string, customer_segment string")
+    fact = seed.sales(spark, [seed.sale(i, day, "A", "C", "P", 1, 1) for i, day in ((1, "2026-01-05"), (2, "2024-12-31"))])
+    rules = {"code_history": quality.RULES["code_history"], "sales_by_customer": quality.TableRules(unique=("customer_id",))}
+    out = quality.run_checks({"code_history": history, "sales_by_customer": rated, "fact_sales": fact}, rules)
+    assert {(r.check, r.column): r.violations for r in out.collect()} == {
+        ("not_null", "initial_store_code"): 2, ("not_null", "store_code"): 0, ("not_null", "start_date"): 0, ("not_null", "end_date"): 0,
+        ("unique", "customer_id"): 1, ("one_active_version", None): 1, ("date_range", None): 1, ("known_segment", None): 2, ("sales_resolve", None): 1,
+    }
+
+
+def test_one_scan_per_table(spark, tmp_path):
+    for name, df in {"fact_sales": seed.sales(spark), "code_history": spark.createDataFrame([("A", "A", D("2026-01-01"), OPEN_END)], CODE_HISTORY)}.items():
+        df.write.parquet(str(tmp_path / name))
+    out = quality.run_checks({name: spark.read.parquet(str(tmp_path / name)) for name in ("fact_sales", "code_history")})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 + 2  # the sales that fit no version are found by a join of both

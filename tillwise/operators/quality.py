@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.operators.relational import asof_version_join, duplicate_keys, not_in, store_by_status
-from tillwise.schemas import GRAINS, SCORES, SEGMENTS, STORE_STATUSES, TIERS
+from tillwise.schemas import GRAINS, OPEN_END, SCORES, SEGMENTS, STORE_STATUSES, TIERS
 
 # --- conditions on one row: true where the row violates the rule. NULL passes all but not_null. --------
 
@@ -72,9 +72,12 @@ def check_sales_resolve(fact: DataFrame, history: DataFrame) -> DataFrame:
     return asof_version_join(sales, history, "store_code", "order_date", how="left_anti")
 
 
+def unknown_segment() -> Column:
+    return null_value("customer_segment") | not_accepted("customer_segment", SEGMENTS)
+
+
 def check_segments(by_customer: DataFrame) -> DataFrame:
-    bad = null_value("customer_segment") | not_accepted("customer_segment", SEGMENTS)
-    return by_customer.filter(bad).select("customer_id", "customer_segment")
+    return by_customer.filter(unknown_segment()).select("customer_id", "customer_segment")
 
 
 def freshness(df: DataFrame, col: str, as_of: dt.date, warn: int = 7, error: int = 14) -> DataFrame:
@@ -162,13 +165,23 @@ RULES: dict[str, TableRules] = {
     ),
 }
 
-# Rules over whole tables: name -> (table reported, tables read, check).
-TABLE_CHECKS: dict[str, tuple[str, tuple[str, ...], Callable[..., DataFrame]]] = {
-    "one_active_version": ("code_history", ("code_history",), check_one_active),
-    "one_profile": ("customer_profile", ("customer_profile",), lambda df: check_unique(df, ["customer_id"])),
-    "date_range": ("code_history", ("code_history",), check_date_range),
-    "sales_resolve": ("fact_sales", ("fact_sales", "code_history"), check_sales_resolve),
-    "known_segment": ("sales_by_customer", ("sales_by_customer",), check_segments),
+@dataclass(frozen=True)
+class TableCheck:
+    """A rule with a name of its own on ``table``: violating rows, a key that may occur once, or a query over ``needs``."""
+
+    table: str
+    row: Callable[[], Column] | None = None
+    key: Callable[[], Column] | None = None
+    needs: tuple[str, ...] = ()
+    query: Callable[..., DataFrame] | None = None
+
+
+TABLE_CHECKS: dict[str, TableCheck] = {
+    "one_active_version": TableCheck("code_history", key=lambda: F.when(F.col("end_date") == F.lit(OPEN_END), F.col("initial_store_code"))),
+    "one_profile": TableCheck("customer_profile", key=lambda: F.col("customer_id")),
+    "date_range": TableCheck("code_history", row=lambda: F.col("end_date") < F.col("start_date")),
+    "sales_resolve": TableCheck("fact_sales", needs=("fact_sales", "code_history"), query=check_sales_resolve),
+    "known_segment": TableCheck("sales_by_customer", row=unknown_segment),
 }
 
 
@@ -181,34 +194,53 @@ def _row_conditions(rules: TableRules) -> dict[tuple[str, str], Column]:
     return found
 
 
-def _outcome(check: str, table: str, column: str | None, violations: Column) -> Column:
-    return F.struct(
-        F.lit(check).alias("check"), F.lit(table).alias("table"), F.lit(column).cast("string").alias("column"),
-        violations.alias("violations"),
-    )
-
-
-def table_outcomes(table: str, df: DataFrame, rules: TableRules) -> DataFrame:
-    """All row rules of a table in a single pass, plus one aggregation per unique column."""
-    conditions = _row_conditions(rules)
-    counted = df.agg(*[F.count_if(cond).alias(f"v{i}") for i, cond in enumerate(conditions.values())])
-    outcomes = F.array(*[_outcome(name, table, col, F.col(f"v{i}")) for i, (name, col) in enumerate(conditions)])
-    parts = [counted.select(F.inline(outcomes))]
-    for col in rules.unique:
-        clashes = check_unique(df, [col]).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(clashes.select(F.inline(F.array(_outcome("unique", table, col, F.col("n"))))))
-    return reduce(DataFrame.unionByName, parts)
-
-
 def run_checks(
     tables: Mapping[str, DataFrame],
     rules: Mapping[str, TableRules] = RULES,
-    table_checks: Mapping[str, tuple] = TABLE_CHECKS,
+    table_checks: Mapping[str, TableCheck] = TABLE_CHECKS,
 ) -> DataFrame:
-    """(check, table, column, violations, passed) for every declared rule whose tables are given."""
-    parts = [table_outcomes(name, tables[name], r) for name, r in rules.items() if name in tables]
-    for name, (table, needs, check) in table_checks.items():
-        if all(n in tables for n in needs):
-            n = check(*[tables[t] for t in needs]).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(n.select(F.inline(F.array(_outcome(name, table, None, F.col("n"))))))
-    return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("violations") == 0)
+    """(check, table, column, violations, passed) for every declared rule whose tables are given.
+
+    One scan per table, whatever its rules, and one shuffle for all: a row gives a mark for each rule it violates and
+    for each of its keys. Marks of violations are added up in the map tasks, those of keys are counted per value,
+    where a value seen more than once is a violation. Only rules that join tables are jobs of their own.
+    """
+    declared: list[tuple] = []
+    marks: dict[str, list[Column]] = {name: [] for name in tables}
+
+    def declare(check: str, table: str, column: str | None) -> int:
+        declared.append((len(declared), check, table, column))
+        return len(declared) - 1
+
+    def mark(table: str, rule: int, where: Column, value: Column) -> None:
+        marks[table].append(F.when(where, F.struct(F.lit(rule).alias("rule"), value.cast("string").alias("value"))))
+
+    for name, declared_rules in rules.items():
+        if name in tables:
+            for (check, column), violated in _row_conditions(declared_rules).items():
+                mark(name, declare(check, name, column), violated, F.lit(None))
+            for column in declared_rules.unique:
+                mark(name, declare("unique", name, column), F.col(column).isNotNull(), F.col(column))
+    joined = []
+    for name, check in table_checks.items():
+        if check.table not in tables or any(n not in tables for n in check.needs):
+            continue
+        rule = declare(name, check.table, None)
+        if check.row:
+            mark(check.table, rule, check.row(), F.lit(None))
+        elif check.key:
+            mark(check.table, rule, check.key().isNotNull(), check.key())
+        else:
+            found = check.query(*[tables[n] for n in check.needs]).agg(F.count(F.lit(1)).alias("violations"))
+            joined.append(found.select(F.lit(rule).alias("rule"), "violations"))
+    seen = [
+        tables[name].select(F.inline(F.filter(F.array(*found), lambda m: m.isNotNull())).alias("rule", "value"))
+        for name, found in marks.items() if found
+    ]
+    spark = next(iter(tables.values())).sparkSession
+    every = spark.createDataFrame(declared, "rule int, check string, table string, column string")
+    counted = reduce(DataFrame.unionByName, seen).groupBy("rule", "value").agg(F.count(F.lit(1)).alias("n"))
+    violations = counted.groupBy("rule").agg(F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise((F.col("n") > 1).cast("bigint"))).alias("violations"))
+    violations = reduce(DataFrame.unionByName, [violations, *joined])
+    out = every.join(violations, "rule", "left").withColumn("violations", F.coalesce("violations", F.lit(0)).cast("bigint"))
+    return out.select("check", "table", "column", "violations", (F.col("violations") == 0).alias("passed"))
