@@ -11,25 +11,26 @@ SCHEMA = "vec_id bigint, label int, embedding array<float>, links string"
 
 
 def plain(rows, threshold):
+    """All pairs of rows; ids may repeat or be missing."""
     vectors = {}
-    for i, label, v, _ in rows:
-        if i is not None and label is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v):
-            vectors[i] = (label, np.asarray(v, np.float32).astype(float))
-    links = {i: set() for i, *_ in rows if i is not None}
+    for k, (_, label, v, _) in enumerate(rows):
+        if label is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v):
+            vectors[k] = (label, np.asarray(v, np.float32).astype(float))
+    links = {k: set() for k in range(len(rows))}
     for i, (la, a) in vectors.items():
         for j, (lb, b) in vectors.items():
             if i < j and la == lb and len(a) == len(b) and a @ b / (np.linalg.norm(a) * np.linalg.norm(b)) >= threshold:
                 links[i].add(j)
                 links[j].add(i)
-    root = {i: i for i in links}
-    changed = True
-    while changed:
-        changed = False
-        for i, others in links.items():
-            low = min([root[i], *(root[j] for j in others)])
-            changed |= low != root[i]
-            root[i] = low
-    return sorted((i, len(links[i]), root[i], root[i] == i) for i in links)
+    root = dict.fromkeys(links)
+    for k in links:
+        if root[k] is None:
+            group, more = {k}, [k]
+            while more:
+                more = [j for i in more for j in links[i] if j not in group and not group.add(j)]
+            root |= dict.fromkeys(group, (min((rows[i][0] for i in group if rows[i][0] is not None), default=None),))
+    out = [(rows[k][0], len(links[k]), root[k][0], rows[k][0] == root[k][0]) for k in links]
+    return sorted(out, key=str)
 
 
 def sample():
@@ -45,7 +46,7 @@ def sample():
     rows += [
         (600, None, rows[0][2], "x"), (601, 1, None, "x"), (602, 1, [0.0] * 24, "x"), (603, 1, [float("nan")] * 24, "x"), (604, 1, [], "x"),
         (605, 1, [None] + [1.0] * 23, "x"), (606, 1, [float("inf")] + [1.0] * 23, "x"), (607, 1, [1.0, 0.0, 0.0], "x"), (608, 1, [2.0, 0.0, 0.0], "x"),
-        rows[7], rows[7],
+        rows[7], rows[7], (rows[8][0], rows[8][1], rows[20][2], "y"), (rows[9][0], 1 - rows[9][1], rows[9][2], "y"), (None, *rows[7][1:]), (None, *rows[7][1:]),
     ]
     return rows
 
@@ -57,12 +58,14 @@ def test_equals_all_pairs(spark, monkeypatch, threshold, block, bins):
     monkeypatch.setattr(dedup, "_STEPS", (2, 5, 11))
     rows = sample()
     found = dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), threshold=threshold).collect()
-    assert sorted(tuple(r) for r in found) == plain(rows, threshold)
+    assert sorted(map(tuple, found), key=str) == plain(rows, threshold)
 
 
-def test_null_id_and_empty(spark):
-    vectors = spark.createDataFrame([(None, 1, [1.0, 0.0], "x"), (3, 1, [1.0, 0.0], "x")], SCHEMA)
-    assert sorted(map(tuple, dedup.near_duplicates(vectors).collect()), key=str) == [(3, 0, 3, True), (None, 0, None, True)]
+def test_repeated_and_missing_ids(spark):
+    rows = [(1, 1, [1.0, 0.0], "x"), (1, 1, [0.0, 1.0], "x"), (2, 1, [0.0, 1.0], "x"), (3, 1, [1.0, 0.0], "x"), (None, 1, [1.0, 0.0], "x"), (None, 2, [1.0, 0.0], "x")]
+    vectors = spark.createDataFrame(rows, SCHEMA)
+    assert sorted(map(tuple, dedup.near_duplicates(vectors).collect()), key=str) == plain(rows, 0.98) == [
+        (1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (None, 0, None, True), (None, 2, 1, False)]
     assert dedup.near_duplicates(vectors.limit(0)).count() == 0
 
 

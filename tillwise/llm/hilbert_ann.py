@@ -7,19 +7,23 @@ partitions before gives its rank, without any sort in one task. Ranks are cut in
 is sent to every block that its window touches, on each curve, and is compared there with the block's rows by
 one matrix product. The best of all blocks are merged and ranked again by exact cosine in double precision.
 
-The window reaches ``share`` of all rows to either side (``least`` rows at the least). Vectors without
-structure need a fixed share of the rows for a fixed recall, at every size; on clustered vectors a smaller
-share does. Equal vectors are one entry that carries its smallest ids, so that copies, however many, neither
-fill a window nor decide a tie by chance.
-
-Defined cases: ids are a key as in ``pca_dedup.unique_vectors``; vectors that are null, empty, zero or hold a
-null or non-finite component, vectors of a null id, and vectors of another length than the query's take no
-part; ties go to the smaller id; a query with fewer candidates than asked for gets all of them; an empty table
-gives an empty result; other columns are ignored.
+The window reaches ``share`` of all rows to either side, rounded up to whole blocks. Blocks hold unit vectors in
+single precision; the few best of each are ranked again by the original ones. Equal vectors are one entry that
+carries its smallest ids, so that copies, however many, neither fill a window nor decide a tie by chance.
+
+Vectors without structure need a fixed share of the rows for a fixed recall, at every size, so that searching costs
+no less than in proportion to exact search (the README has comparisons and recall by size); on clustered vectors a
+smaller share does.
+
+Defined cases: rows that repeat id and vector count once; a row that repeats an id with another vector is a row of its
+own, query and candidate alike; vectors that are null, empty, zero or hold a null or non-finite component, vectors
+of a null id, and vectors of another length than the query's take no part; ties go to the smaller id; a query with
+fewer candidates than asked for gets all of them; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,18 +31,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tillwise.llm.pca_dedup import stack, unique_vectors, unit, usable
+from tillwise.llm.pca_dedup import stack, unit, usable
 from tillwise.sources.shared import store
 
-CURVES = 8
+CURVES = 16
 DIMS = 8
 BITS = 7
-SHARE = 0.10
-LEAST = 1024
-BLOCK = 1024
+SHARE = 0.025
+BLOCK = 256
+_SPARE = 4  # places kept beyond those asked for, as blocks compare in single precision
 _SEED = 20
 
 
@@ -124,64 +127,71 @@ def _ranked(entries: DataFrame, curves: int) -> DataFrame:
     )
 
 
-_HIT = T.StructType().add("query", "long").add("rep", "long").add("score", "double")
-
-
-def _cosines(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    return (queries @ rows.T) / (np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(rows, axis=1)[None, :])
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lengths = np.array(batch.column(1).value_lengths())
+        for dim in sorted(set(lengths.tolist())):
+            own = batch.filter(pa.array(lengths == dim))
+            flat = unit(stack(own.column(1))).astype(np.float32).ravel()
+            vectors = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, dim), pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([own.column(0), vectors], ["rep", "unit"])
 
 
 def search(
     vectors: DataFrame, is_query: Column, *, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
-    curves: int = CURVES, share: float = SHARE, least: int = LEAST,
+    curves: int = CURVES, share: float = SHARE,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each row with ``is_query``, its ``k`` nearest other rows found.
 
     ``is_query`` is a condition on ``vec_id``.
     """
-    valid = store(unique_vectors(vectors, id_col, vector_col).filter(F.col("vec_id").isNotNull() & usable(F.col("vector"))), "vectors")
+    rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    valid = store(rows.filter(F.col("vec_id").isNotNull() & usable(F.col("vector"))).distinct(), "vectors")
     entries = store(_entries(valid, k), "entries")
     ranks = store(_ranked(entries, curves), "ranks")
     total = entries.count()
-    reach = max(int(share * total), least)
+    reach = math.ceil(share * total)
     block = F.floor(F.col("rank") / BLOCK)
 
     asked = valid.filter(is_query).select("vec_id", "vector")
     query_of = store(asked.join(entries.select("rep", "vector"), "vector").select("vec_id", "rep"), "queries")
     different = query_of.select("rep").distinct()
-    rows = ranks.join(entries.select("rep", "vector"), "rep")
+    units = store(entries.select("rep", "vector").mapInArrow(_units, "rep bigint, unit array<float>"), "units")
+    rows = ranks.join(units, "rep")
     last = F.floor(F.lit(max(total - 1, 0)) / BLOCK)
     touched = F.sequence(F.greatest(F.floor((F.col("rank") - reach) / BLOCK), F.lit(0).cast("bigint")), F.least(F.floor((F.col("rank") + reach) / BLOCK), last))
-    sent = rows.join(different, "rep", "left_semi").select("rep", "vector", "dim", "curve", F.explode(touched).alias("block"), F.lit(True).alias("asks"))
-    held = rows.select("rep", "vector", "dim", "curve", block.alias("block"), F.lit(False).alias("asks"))
+    sent = rows.join(different, "rep", "left_semi").select("rep", "unit", "dim", "curve", F.explode(touched).alias("block"), F.lit(True).alias("asks"))
+    held = rows.select("rep", "unit", "dim", "curve", block.alias("block"), F.lit(False).alias("asks"))
+    most = k + 1 + _SPARE  # the query itself may be among them
 
     def compare(key, table):
         queries, block_rows = table.filter(table["asks"]), table.filter(pc.invert(table["asks"]))
         if not queries.num_rows or not block_rows.num_rows:
-            return pa.table({"query": pa.array([], pa.int64()), "rep": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+            return pa.table({"query": pa.array([], pa.int64()), "rep": pa.array([], pa.int64()), "score": pa.array([], pa.float32())})
         ids, reps = queries["rep"].to_numpy(), block_rows["rep"].to_numpy()
         order = np.argsort(reps, kind="stable")
-        reps, matrix = reps[order], stack(block_rows["vector"])[order]
-        n = min(k + 1, len(reps))  # the query itself may be among them
+        reps, matrix = reps[order], stack(block_rows["unit"])[order]
+        n = min(most, len(reps))
         found = []
         for at in range(0, len(ids), 256):
-            scores = _cosines(stack(queries["vector"].slice(at, 256)), matrix)
+            scores = stack(queries["unit"].slice(at, 256)) @ matrix.T
             best = np.argsort(-scores, axis=1, kind="stable")[:, :n]  # ties stay in id order
             found.append((np.repeat(ids[at: at + 256], n), reps[best].ravel(), np.take_along_axis(scores, best, 1).ravel()))
         return pa.table(dict(zip(("query", "rep", "score"), map(np.concatenate, zip(*found)))))
 
     group = ["dim", "curve", "block"]
-    hits = sent.union(held).groupBy(*group).applyInArrow(compare, _HIT)
+    hits = sent.union(held).groupBy(*group).applyInArrow(compare, "query bigint, rep bigint, score float")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
     merged = hits.groupBy("query", "rep").agg(F.max("score").alias("score"))
-    merged = merged.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
+    merged = merged.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= most)
 
     # original vectors of the few that are left: exact score, then every id that shares the vector
     left, right = entries.select(F.col("rep").alias("query"), F.col("vector").alias("q")), entries.select("rep", "vector", "ids")
     exact = merged.join(left, "query").join(right, "rep").withColumn("score", exact_cosine(F.col("q"), F.col("vector")))
-    spread = exact.select(F.col("query").alias("rep"), "score", F.explode("ids").alias("vec_id"))
-    answered = query_of.withColumnRenamed("vec_id", "query_id").join(spread, "rep").filter("query_id <> vec_id")
-    final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    spread = exact.select("query", F.col("rep").alias("found"), "score", F.explode("ids").alias("vec_id"))
+    answered = query_of.select(F.col("vec_id").alias("query_id"), F.col("rep").alias("query")).join(spread, "query")
+    answered = answered.filter((F.col("query_id") != F.col("vec_id")) | (F.col("query") != F.col("found")))  # not itself
+    final = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     return answered.withColumn("rank", F.row_number().over(final)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -12,9 +12,9 @@ and a tile without pairs left stops. The pairs that reach the last coordinate ar
 vectors in double precision. A tile gives, per vector, the number of its links and one edge towards a vector
 it is linked with: enough for counts and components, and never the pairs of a large group.
 
-Defined cases: ``vec_id`` is a key: repeats of a row count once, and of rows that repeat an id with another
-vector or label the one with the smallest hash is taken; a null id stays as one row that links with nothing.
-Vectors that are null, empty, zero or hold a null or non-finite component, and vectors of a null label, link
+Defined cases: every row is a vector of its own, also one that repeats another or its id; rows are numbered in the
+order of their ids, nulls last, so that the smallest row of a component has its smallest id; a component of null ids
+only has a null id and all its rows are kept. Vectors that are null, empty, zero or hold a null or non-finite component, and vectors of a null label, link
 with nothing. Vectors of different lengths are never linked; each length has its own rotation. An empty
 table gives an empty result; other columns are ignored. ``vec_id``, ``label`` and ``embedding`` are parameters.
 """
@@ -49,12 +49,12 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & ~bad & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def unique_vectors(vectors: DataFrame, id_col: str, vector_col: str, *others: str) -> DataFrame:
-    """One row per id, with vector components as doubles: ``(vec_id, vector, *others)``."""
-    row = F.struct(F.col(vector_col).cast("array<double>").alias("vector"), *[F.col(c).alias(c) for c in others])
-    kept = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), row.alias("row"))
-    chosen = kept.groupBy("vec_id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
-    return chosen.select("vec_id", "row.*")
+def numbered_vectors(vectors: DataFrame, id_col: str, vector_col: str, *others: str) -> DataFrame:
+    """``(row, vec_id, vector, *others)`` of every row, components as doubles, rows numbered by id; stored."""
+    rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"), *others)
+    order = [F.col("vec_id").asc_nulls_last(), F.xxhash64("vector")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return store(ordered.withColumn("row", F.monotonically_increasing_id()).select("row", "vec_id", "vector", *others), "vectors")
 
 
 def stack(column: pa.Array) -> np.ndarray:
@@ -164,19 +164,19 @@ def tile_links(ids: np.ndarray, vectors: np.ndarray, left: np.ndarray, same: boo
     return ids[touched], links[touched], ids[root[touched]]
 
 
-_SCHEMA = T.StructType().add("vec_id", "long").add("links", "long").add("neighbour", "long")
+_SCHEMA = T.StructType().add("row", "long").add("links", "long").add("neighbour", "long")
 
 
 def near_duplicates(
     vectors: DataFrame, *, id_col: str = "vec_id", label_col: str = "label", vector_col: str = "embedding", threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """``(vec_id, n_links, component_id, kept)``, one row per id; links need equal labels and cosine >= threshold."""
+    """``(vec_id, n_links, component_id, kept)``, one row per row; links need equal labels and cosine >= threshold."""
     if not 0 < threshold <= 1:
         raise ValueError("the threshold is a cosine above 0")
     spark = vectors.sparkSession
     label = "label"
-    every = store(unique_vectors(vectors.withColumn(label, F.col(label_col)), id_col, vector_col, label), "vectors")
-    valid = every.filter(F.col("vec_id").isNotNull() & F.col(label).isNotNull() & usable(F.col("vector")))
+    every = numbered_vectors(vectors.select(id_col, vector_col, F.col(label_col).alias(label)), id_col, vector_col, label)
+    valid = every.filter(F.col(label).isNotNull() & usable(F.col("vector")))
     turned = rotations(valid)
     shipped = spark.sparkContext.broadcast(turned)
 
@@ -188,10 +188,10 @@ def near_duplicates(
                 own = lengths == dim
                 first[own] = unit(stack(batch.column(1).filter(pa.array(own)))) @ shipped.value[dim][:, 0]
             bins = np.clip(np.floor((first + 1) * (_BINS / 2)), 0, _BINS - 1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(lengths, pa.int32()), pa.array(bins)], ["vec_id", "vector", "label", "dim", "bin"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(lengths, pa.int32()), pa.array(bins)], ["row", "vector", "label", "dim", "bin"])
 
-    schema = T.StructType([valid.schema["vec_id"], valid.schema["vector"], valid.schema[label]]).add("dim", "integer").add("bin", "integer")
-    placed = store(valid.select("vec_id", "vector", label).mapInArrow(lead, schema), "placed")
+    schema = T.StructType([valid.schema["row"], valid.schema["vector"], valid.schema[label]]).add("dim", "integer").add("bin", "integer")
+    placed = store(valid.select("row", "vector", label).mapInArrow(lead, schema), "placed")
 
     # histogram of the first coordinate -> blocks; at most _BINS rows per label
     group = [label, "dim"]
@@ -217,25 +217,28 @@ def near_duplicates(
 
     cells = bins.select(*group, "bin", "cut", "own_bin", "parts")
     members = placed.join(cells, [*group, "bin"]).withColumn(
-        "block", F.struct("cut", "own_bin", F.pmod(F.xxhash64("vec_id"), F.col("parts")).alias("part"))
+        "block", F.struct("cut", "own_bin", F.pmod(F.xxhash64("row"), F.col("parts")).alias("part"))
     )
-    dealt = members.select(*group, "block", "vec_id", "vector").join(halves, [*group, "block"])
+    dealt = members.select(*group, "block", "row", "vector").join(halves, [*group, "block"])
 
     def compare(key, table):
-        ids = table["vec_id"].to_numpy()
+        ids = table["row"].to_numpy()
         order = np.argsort(ids, kind="stable")
         left = table["side"].to_numpy()[order] == 0
         matrix = stack(table["vector"])[order]
         first, second = key[2].as_py(), key[3].as_py()
         found = tile_links(ids[order], matrix, left, first == second, shipped.value[key[1].as_py()], threshold)
-        return pa.table({"vec_id": found[0], "links": found[1].astype(np.int64), "neighbour": found[2]})
+        return pa.table({"row": found[0], "links": found[1].astype(np.int64), "neighbour": found[2]})
 
     links = store(dealt.groupBy(*group, "first", "second").applyInArrow(compare, _SCHEMA), "links")
-    counts = links.groupBy("vec_id").agg(F.sum("links").alias("links"))
-    roots = components(links.select(F.col("vec_id").alias("a"), F.col("neighbour").alias("b")))
-    out = every.select("vec_id").join(counts, "vec_id", "left").join(roots, F.col("vec_id") == F.col("node"), "left")
-    component = F.coalesce("root", "vec_id")
+    counts = links.groupBy("row").agg(F.sum("links").alias("links"))
+    roots = components(links.select(F.col("row").alias("a"), F.col("neighbour").alias("b")))
+    linked = counts.join(roots, F.col("row") == F.col("node"), "left").select("row", "links", "root")
+    names = every.select(F.col("row").alias("root"), F.col("vec_id").alias("component_id"))
+    linked = linked.join(names, "root").select("row", "links", "component_id", F.lit(True).alias("found"))
+    out = every.select("row", "vec_id").join(linked, "row", "left")
+    component = F.when(F.col("found"), F.col("component_id")).otherwise(F.col("vec_id"))
     return out.select(
         "vec_id", F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"),
-        F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
+        F.coalesce(F.col("vec_id") == component, component.isNull()).alias("kept"),
     )
