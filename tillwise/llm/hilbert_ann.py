@@ -7,7 +7,8 @@ partitions before gives its rank, without any sort in one task. Ranks are cut in
 is sent to every block that its window touches, on each curve, and is compared there with the block's rows by
 one matrix product. The best of all blocks are merged and ranked again by exact cosine in double precision.
 
-The window reaches ``share`` of all rows to either side, rounded up to whole blocks. Blocks hold unit vectors in
+The window reaches ``share`` of all rows to either side, rounded up to whole blocks. A sample of ``SAMPLE`` components
+gives every query first neighbours, and blocks return only what is no worse than the last of those. Blocks hold unit vectors in
 single precision; the few best of each are ranked again by the original ones. Equal vectors are one entry that
 carries its smallest ids, so that copies, however many, neither fill a window nor decide a tie by chance.
 
@@ -41,6 +42,7 @@ DIMS = 8
 BITS = 7
 SHARE = 0.025
 BLOCK = 256
+SAMPLE = 1 << 17  # components of a sample that gives every query a first bound
 _SPARE = 4  # places kept beyond those asked for, as blocks compare in single precision
 _SEED = 20
 
@@ -137,6 +139,30 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([own.column(0), vectors], ["rep", "unit"])
 
 
+def _first_bounds(sample: DataFrame, queries: DataFrame, most: int) -> DataFrame:
+    """``(query, rep, score)``: the best of a bounded sample for each query, candidates like any other."""
+    by_dim: dict[int, list] = {}
+    for r in sample.collect():
+        by_dim.setdefault(len(r.unit), []).append((r.rep, r.unit))
+    held = {dim: (np.array([i for i, _ in rows]), np.array([u for _, u in rows], np.float32)) for dim, rows in by_dim.items()}
+    shipped = queries.sparkSession.sparkContext.broadcast(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = np.array(batch.column(1).value_lengths())
+            for dim in sorted(set(lengths.tolist()) & set(shipped.value)):
+                reps, matrix = shipped.value[dim]
+                own = batch.filter(pa.array(lengths == dim))
+                scores = stack(own.column(1)) @ matrix.T
+                n = min(most, len(reps))
+                best = np.argsort(-scores, axis=1, kind="stable")[:, :n]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.repeat(own.column(0).to_numpy(), n)), pa.array(reps[best].ravel()), pa.array(np.take_along_axis(scores, best, 1).ravel()),
+                ], ["query", "rep", "score"])
+
+    return queries.mapInArrow(run, "query bigint, rep bigint, score float")
+
+
 def search(
     vectors: DataFrame, is_query: Column, *, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
     curves: int = CURVES, share: float = SHARE,
@@ -157,18 +183,23 @@ def search(
     query_of = store(asked.join(entries.select("rep", "vector"), "vector").select("vec_id", "rep"), "queries")
     different = query_of.select("rep").distinct()
     units = store(entries.select("rep", "vector").mapInArrow(_units, "rep bigint, unit array<float>"), "units")
+    most = k + 1 + _SPARE  # the query itself may be among them
+    few = units.orderBy(F.xxhash64("rep"), "rep").limit(max(SAMPLE // max(units.agg(F.max(F.size("unit"))).first()[0] or 1, 1), most))
+    early = store(_first_bounds(few, units.join(different, "rep", "left_semi").select(F.col("rep").alias("query"), "unit"), most), "early")
+    reached = early.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("floor")).filter(F.col("n") == most)
     rows = ranks.join(units, "rep")
     last = F.floor(F.lit(max(total - 1, 0)) / BLOCK)
     touched = F.sequence(F.greatest(F.floor((F.col("rank") - reach) / BLOCK), F.lit(0).cast("bigint")), F.least(F.floor((F.col("rank") + reach) / BLOCK), last))
     sent = rows.join(different, "rep", "left_semi").select("rep", "unit", "dim", "curve", F.explode(touched).alias("block"), F.lit(True).alias("asks"))
-    held = rows.select("rep", "unit", "dim", "curve", block.alias("block"), F.lit(False).alias("asks"))
-    most = k + 1 + _SPARE  # the query itself may be among them
+    sent = sent.join(reached.select(F.col("query").alias("rep"), "floor"), "rep", "left")
+    held = rows.select("rep", "unit", "dim", "curve", block.alias("block"), F.lit(False).alias("asks"), F.lit(None).cast("float").alias("floor"))
 
     def compare(key, table):
         queries, block_rows = table.filter(table["asks"]), table.filter(pc.invert(table["asks"]))
         if not queries.num_rows or not block_rows.num_rows:
             return pa.table({"query": pa.array([], pa.int64()), "rep": pa.array([], pa.int64()), "score": pa.array([], pa.float32())})
         ids, reps = queries["rep"].to_numpy(), block_rows["rep"].to_numpy()
+        floors = queries["floor"].fill_null(-2.0).to_numpy()
         order = np.argsort(reps, kind="stable")
         reps, matrix = reps[order], stack(block_rows["unit"])[order]
         n = min(most, len(reps))
@@ -176,13 +207,15 @@ def search(
         for at in range(0, len(ids), 256):
             scores = stack(queries["unit"].slice(at, 256)) @ matrix.T
             best = np.argsort(-scores, axis=1, kind="stable")[:, :n]  # ties stay in id order
-            found.append((np.repeat(ids[at: at + 256], n), reps[best].ravel(), np.take_along_axis(scores, best, 1).ravel()))
+            top = np.take_along_axis(scores, best, 1)
+            enough = top >= floors[at: at + 256, None]  # worse ones cannot be among the best
+            found.append((np.repeat(ids[at: at + 256], n)[enough.ravel()], reps[best][enough], top[enough]))
         return pa.table(dict(zip(("query", "rep", "score"), map(np.concatenate, zip(*found)))))
 
     group = ["dim", "curve", "block"]
-    hits = sent.union(held).groupBy(*group).applyInArrow(compare, "query bigint, rep bigint, score float")
+    hits = sent.unionByName(held).groupBy(*group).applyInArrow(compare, "query bigint, rep bigint, score float")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
-    merged = hits.groupBy("query", "rep").agg(F.max("score").alias("score"))
+    merged = hits.union(early).groupBy("query", "rep").agg(F.max("score").alias("score"))
     merged = merged.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= most)
 
     # original vectors of the few that are left: exact score, then every id that shares the vector
