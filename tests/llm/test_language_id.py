@@ -42,6 +42,28 @@ def test_model_equals_plain_counts(spark):
     assert np.allclose(np.exp(model.log_prior), [docs["de"] / 5, docs["en"] / 5])
 
 
+@pytest.mark.parametrize("piece, rows", [(7, 2), (1 << 18, 64)])
+def test_posterior_equals_plain_sums(spark, monkeypatch, piece, rows):
+    model = lid.train(spark.createDataFrame(ROWS, SCHEMA))
+    texts = [r[1] for r in ROWS] + ["Der Garten und the house", "xyz " * 40, "é", None]
+
+    def plain(text):
+        found = list(lid.ngram_buckets(text))
+        if not found:
+            return lid.UNDETERMINED, 0.0
+        logs = [model.log_prior[i] + sum(model.log_prob[b, i] for b in np.concatenate(found)) for i in range(2)]
+        chances = [1 / sum(np.exp(other - own) for other in logs) for own in logs]
+        return model.languages[int(np.argmax(logs))], max(chances)
+
+    want = [plain(text) for text in texts]
+    monkeypatch.setattr(lid, "_PIECE", piece)
+    monkeypatch.setattr(lid, "_ROWS", rows)
+    languages, chances = model.score_all(texts)
+    assert languages == [lang for lang, _ in want] and np.allclose(chances, [p for _, p in want])
+    assert [model.score(text) for text in texts] == list(zip(languages, chances.tolist()))
+    assert model.score_all([])[0] == []
+
+
 def test_defined_cases(spark):
     docs = spark.createDataFrame(ROWS, SCHEMA)
     out = {(r.doc_id, r.lang_pred): r.score for r in lid.identify(docs, docs).collect()}

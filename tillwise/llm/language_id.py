@@ -13,7 +13,7 @@ first; with nothing to learn from every text is ``und``. Texts are cut into piec
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -27,6 +27,7 @@ BUCKETS = 1 << 15
 ORDERS = 3
 MAX_MATRIX_MB = 256
 _PIECE = 1 << 18
+_ROWS = 64
 
 
 def _letters(text: str) -> np.ndarray:
@@ -73,24 +74,43 @@ class Model:
     def __init__(self, languages: list[str], log_prob: np.ndarray, log_prior: np.ndarray):
         self.languages, self.log_prob, self.log_prior = languages, log_prob, log_prior
 
-    def score(self, text: str | None) -> tuple[str, float]:
-        """Most probable language and its posterior probability."""
-        total, seen = self.log_prior.copy(), False
-        for buckets in ngram_buckets(text):
-            seen = True
-            # counts of the buckets that occur; a sparse row times the matrix
-            which, times = np.unique(buckets, return_counts=True) if len(buckets) < 4096 else _counted(buckets)
-            total += times @ self.log_prob[which]
-        if not seen or not self.languages:
-            return UNDETERMINED, 0.0
-        best = int(total.argmax())
-        return self.languages[best], float(1 / np.exp(total - total[best]).sum())
-
+    def score_all(self, texts: Sequence[str | None]) -> tuple[list[str], np.ndarray]:
+        """Most probable language and its posterior probability of each text.
+
+        Texts are scored ``_ROWS`` at a time: the buckets that occur in them are a sparse matrix of counts, of which
+        the product with the log probabilities is added up language by language. A long text is added piece by piece,
+        so that its score does not depend on the texts beside it.
+        """
+        total, seen = np.tile(self.log_prior, (len(texts), 1)), np.zeros(len(texts), bool)
+        held: list[tuple[int, np.ndarray]] = []
+        for row, text in enumerate(texts):
+            for piece, buckets in enumerate(ngram_buckets(text)):
+                seen[row] = True
+                if piece or len(held) == _ROWS:
+                    self._add(total, held)
+                    held = []
+                held.append((row, buckets))
+        self._add(total, held)
+        if not self.languages:
+            return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        best = total.argmax(axis=1)
+        chance = 1 / np.exp(total - total[np.arange(len(texts)), best][:, None]).sum(axis=1)
+        return [self.languages[i] if s else UNDETERMINED for i, s in zip(best, seen)], np.where(seen, chance, 0.0)
+
+    def _add(self, total: np.ndarray, held: list[tuple[int, np.ndarray]]) -> None:
+        """Add the log probabilities of the held buckets to the totals of their rows."""
+        if not held:
+            return
+        keys = np.concatenate([buckets + np.int64(i * BUCKETS) for i, (_, buckets) in enumerate(held)])
+        counts = np.bincount(keys, minlength=len(held) * BUCKETS)
+        at = counts.nonzero()[0]
+        row, bucket, times = at // BUCKETS, at % BUCKETS, counts[at]
+        for i in range(len(self.languages)):
+            total[[r for r, _ in held], i] += np.bincount(row, times * self.log_prob[bucket, i], len(held))
 
-def _counted(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.bincount(buckets, minlength=BUCKETS)
-    which = counts.nonzero()[0]
-    return which, counts[which]
+    def score(self, text: str | None) -> tuple[str, float]:
+        languages, chances = self.score_all([text])
+        return languages[0], float(chances[0])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +157,8 @@ def predictor(spark: SparkSession, model: Model):
     @pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.DataFrame([shipped.value.score(text) for text in texts], columns=["lang_pred", "score"])
+            languages, chances = shipped.value.score_all(texts.tolist())
+            yield pd.DataFrame({"lang_pred": languages, "score": chances})
 
     return predict
 
