@@ -337,6 +337,13 @@ def _(t):
     return joined.groupBy("tier").agg(F.count(F.lit(1)).alias("rows"), F.sum("total_amount").alias("total"))
 
 
+@entry("asof_version_sweep", _PLACED + " GROUP BY ALL")
+def _(t):
+    versions = t["code_history"].withColumnRenamed("store_code", "code")
+    placed = relational.asof_version_sweep(t["fact_sales"].withColumn("code", F.col("store_code")), versions, "code", "order_date")
+    return placed.groupBy("initial_store_code", "store_code").agg(F.count(F.lit(1)).alias("rows"), F.sum("total_amount").alias("total"))
+
+
 @entry("map_to_identity", "SELECT initial_store_code, store_code, count(*) AS batches FROM src_store JOIN store_names USING (latitude, longitude) GROUP BY ALL")
 def _(t):
     stores = t["src_store"].withColumn("store_code", text.clean_id(F.col("store_code")))

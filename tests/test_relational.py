@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 import seed
@@ -81,3 +82,39 @@ def test_month_joins(spark):
     assert seed.rows_of(rel.full_join_months([a, b, c])) == [
         ("2026-01", 1, None, None), ("2026-02", 2, 3, None), ("2026-03", None, 4, 5)]
     assert seed.rows_of(rel.join_months([a, b])) == [("2026-02", 2, 3)]
+
+
+def _versions(spark, rows):
+    return spark.createDataFrame(rows, "k string, name string, start_date date, end_date date")
+
+
+def test_sweep_equals_join(spark):
+    rng, day, rows = random.Random(7), dt.date(2019, 11, 1), []
+    for k in ("a", "b", None):
+        at = day
+        for i in range(40):  # some touch, some leave a gap
+            until = at + dt.timedelta(days=rng.randint(1, 60))
+            rows.append((k, f"{k}{i}", at, until))
+            at = until + dt.timedelta(days=rng.choice([0, 0, 5]))
+        rows.append((k, f"{k} last", at, dt.date(9999, 12, 31)))
+    asked = [(rng.choice(["a", "b", "c", None]), rng.choice([None] + [day + dt.timedelta(days=rng.randint(-30, 1600)) for _ in range(9)]), i) for i in range(500)]
+    asked += [("a", r[2], 1000 + i) for i, r in enumerate(rows[:41])] + [("a", r[3], 2000 + i) for i, r in enumerate(rows[:40])]
+    fact = spark.createDataFrame(asked, "k string, day date, id int")
+    want = rel.asof_version_join(fact, _versions(spark, rows), "k", "day")
+    for span in ("year", "month"):
+        got = rel.asof_version_sweep(fact, _versions(spark, rows), "k", "day", span=span)
+        assert got.columns == ["k", "day", "id", "name"]
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+    none = fact.limit(0)
+    assert rel.asof_version_sweep(none, _versions(spark, rows), "k", "day").count() == 0
+    assert rel.asof_version_sweep(fact, _versions(spark, rows[:0]), "k", "day").filter(F.col("name").isNull()).count() == len(asked)
+
+
+def test_sweep_of_very_many_versions(spark):
+    start = F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int"))
+    versions = spark.range(10_000).select(F.lit("a").alias("k"), F.col("id").alias("version"), start.alias("start_date"), F.date_add(start, 1).alias("end_date"))
+    fact = spark.range(20_000).select(F.lit("a").alias("k"), F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") % 10_001).cast("int")).alias("day"), "id")
+    swept = rel.asof_version_sweep(fact, versions, "k", "day")
+    assert "Join" not in swept._jdf.queryExecution().executedPlan().toString()
+    right = F.when(F.col("id") % 10_001 < 10_000, F.col("id") % 10_001)
+    assert swept.count() == 20_000 and swept.filter(~F.col("version").eqNullSafe(right)).count() == 0

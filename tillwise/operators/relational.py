@@ -93,6 +93,42 @@ def asof_version_join(
     return joined if how in ("left_anti", "left_semi") else joined.drop("_key", "_start", "_end")
 
 
+def asof_version_sweep(
+    fact: DataFrame, versions: DataFrame, key: str, date: str, start: str = "start_date", end: str = "end_date", *, span: str = "year",
+) -> DataFrame:
+    """``asof_version_join`` (left) as one pass in time order, for keys with very many versions.
+
+    Versions and rows of a key are put in one line by date, and each row takes the version that started last, if it
+    has not ended by then. Nothing is joined, so a row never meets the other versions of its key. A key is cut into
+    calendar spans, in each of which the versions that reach into it start the line, so that a hot key is many groups.
+    The versions of a key must not overlap, as those of a history don't; rows without key or date have no version.
+    """
+    others = [c for c in versions.columns if c not in (key, start, end)]
+    clash = [c for c in others if c in fact.columns]
+    if clash:
+        raise ValueError(f"both sides have {clash}")
+    first = lambda c: F.date_trunc(span, c).cast("date")
+    days = fact.agg(F.min(date).alias("lo"), F.max(date).alias("hi")).first()
+    starts, ends = F.col(start).cast("date"), F.date_sub(F.col(end).cast("date"), 1)
+    # spans that hold no row need no version
+    lo, hi = F.greatest(starts, F.lit(days["lo"]).cast("date")), F.least(ends, F.lit(days["hi"]).cast("date"))
+    reaching = versions.filter(F.col(key).isNotNull() & (lo <= hi))
+    spans = F.explode(F.sequence(first(lo), first(hi), F.expr(f"interval 1 {span}")))
+    told = reaching.select(
+        F.col(key).alias("_key"), spans.alias("_span"), F.col(start).alias("_at"),
+        F.struct(F.col(end).alias("_until"), *others).alias("_version"), F.lit(None).cast(fact.schema.simpleString()).alias("_row"))
+    asked = fact.select(
+        F.col(key).alias("_key"), first(F.col(date)).alias("_span"), F.col(date).cast(versions.schema[start].dataType).alias("_at"),
+        F.lit(None).cast(told.schema["_version"].dataType).alias("_version"), F.struct(*fact.columns).alias("_row"))
+    # rows without key or date meet no version, so they can be dealt out
+    loose = F.when(F.col("_key").isNull() | F.col("_span").isNull(), F.pmod(F.xxhash64("_row"), F.lit(1024))).otherwise(0)
+    line = told.unionByName(asked).withColumn("_loose", loose)
+    w = windows.by(["_key", "_span", "_loose"], F.col("_at"), F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    swept = line.withColumn("_last", F.last("_version", ignorenulls=True).over(w)).filter(F.col("_row").isNotNull())
+    valid = F.col("_at") < F.col("_last._until")
+    return swept.select("_row.*", *[F.when(valid, F.col(f"_last.{c}")).alias(c) for c in others])
+
+
 def map_to_identity(stores: DataFrame, identity: DataFrame) -> DataFrame:
     return stores.join(identity, ["latitude", "longitude"])
 
