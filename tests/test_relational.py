@@ -118,3 +118,9 @@ def test_sweep_of_very_many_versions(spark):
     assert "Join" not in swept._jdf.queryExecution().executedPlan().toString()
     right = F.when(F.col("id") % 10_001 < 10_000, F.col("id") % 10_001)
     assert swept.count() == 20_000 and swept.filter(~F.col("version").eqNullSafe(right)).count() == 0
+
+
+def test_asof_join_with_columns_of_the_same_name(spark):
+    fact = spark.createDataFrame([("a", dt.date(2020, 1, 5), "x", "y")], "k string, day date, _k string, _start_date string")
+    versions = _versions(spark, [("a", "one", dt.date(2020, 1, 1), dt.date(2020, 2, 1))])
+    assert rel.asof_version_join(fact, versions, "k", "day").collect() == [("a", dt.date(2020, 1, 5), "x", "y", "one")]

@@ -85,12 +85,17 @@ def asof_version_join(
     broadcasts the versions when their measured size allows, and beyond that the sort-merge join
     leaves a hot key to the adaptive skew split of the fact side.
     """
-    renamed = versions.withColumnsRenamed({key: "_key", start: "_start", end: "_end"})
-    on = (
-        (F.col(key) == F.col("_key")) & (F.col(date) >= F.col("_start")) & (F.col(date) < F.col("_end"))
-    )
+    taken = {*fact.columns, *versions.columns}
+    own = {}
+    for c in (key, start, end):
+        own[c] = f"_{c}"
+        while own[c] in taken:
+            own[c] = f"_{own[c]}"
+        taken.add(own[c])
+    renamed = versions.withColumnsRenamed(own)
+    on = (F.col(key) == F.col(own[key])) & (F.col(date) >= F.col(own[start])) & (F.col(date) < F.col(own[end]))
     joined = fact.join(renamed, on, how)
-    return joined if how in ("left_anti", "left_semi") else joined.drop("_key", "_start", "_end")
+    return joined if how in ("left_anti", "left_semi") else joined.drop(*own.values())
 
 
 def asof_version_sweep(
