@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 
@@ -112,3 +113,106 @@ def test_columns(spark):
 def test_clean_texts_stay(spark, text):
     row = spark.createDataFrame([(text,)], "text string").select(scan.scan_column("text")).first()[0]
     assert row.clean_text == text and row.spans == []
+
+
+LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+ENCODINGS = {
+    "decimal": DIGITS, "upper hex": DIGITS + "ABCDEF", "base 32": UPPER + "234567", "lower base 32": LOWER + "234567",
+    "base 36": UPPER + DIGITS, "lower base 36": LOWER + DIGITS, "letters": LOWER + UPPER,
+    "base 58": "".join(c for c in LOWER + UPPER + DIGITS if c not in "0OIl"), "base 62": LOWER + UPPER + DIGITS,
+    "base 64": LOWER + UPPER + DIGITS + "+/", "URL-safe": LOWER + UPPER + DIGITS + "-_",
+}
+
+
+@pytest.mark.parametrize("name", ENCODINGS)
+@pytest.mark.parametrize("length", [20, 32, 64])
+def test_keys_of_every_encoding_are_found(name, length):
+    draw = random.Random(f"{name} {length}")
+    keys = ["".join(draw.choice(ENCODINGS[name]) for _ in range(length)) for _ in range(300)]
+    assert sum(scan.random_spans(f"= {key} .", []) == [("random", 2, 2 + length)] for key in keys) >= 285
+
+
+@pytest.mark.parametrize("symbols", [LOWER, UPPER])
+def test_keys_of_one_case_have_their_own_level(symbols):
+    draw = random.Random(9)
+    keys = ["".join(draw.choice(symbols) for _ in range(24)) for _ in range(300)]
+    assert sum(bool(scan.random_spans(key, [])) for key in keys) >= 255
+
+
+def test_grouped_keys():
+    draw = random.Random(10)
+    for lengths in ([8, 4, 4, 4, 12], [5] * 5):
+        keys = ["-".join("".join(draw.choice("0123456789abcdef") for _ in range(n)) for n in lengths) for _ in range(200)]
+        assert sum(bool(scan.random_spans(key, [])) for key in keys) >= 190
+    assert scan._ungrouped("ab-cde") == "ab-cde" and scan._ungrouped("abcd-efgh") == "abcdefgh" and scan._ungrouped("abc-def") == "abc-def" and scan._ungrouped("-abc-") == "-abc-"
+
+
+@pytest.mark.parametrize("word", [
+    "getElementsByClassNameFromDocument", "AbstractSingletonProxyFactoryBean", "ThisIsACamelCaseClassNameForTests",
+    "SELECTCOUNTFROMTABLEWHERE", "some_long_variable_name_here", "com/example/data/records/expressions", "electroencephalograph",
+    "Rindfleischetikettierung", "anticonstitutionnellement", "internacionalizaciones", "00000000000000000000", "a-b-c-d-e-f-g-h-i-j-k-l-m",
+])
+def test_names_and_words_are_cleared(word):
+    assert scan.random_spans(word, []) == []
+
+
+def plain_p(symbols, size):
+    """The three statistics, each from its definition."""
+    n, parts = len(symbols), max(2, min(size, len(symbols) // 10))
+    part = [s * parts // size for s in symbols]
+    chi = 0.0
+    for p in range(parts):
+        share = sum(s * parts // size == p for s in range(size)) / size
+        chi += (part.count(p) - n * share) ** 2 / (n * share)
+    d = 2 / (9 * (parts - 1))
+    p_chi = 1 - normal(((chi / (parts - 1)) ** (1 / 3) - 1 + d) / d**0.5)
+    signs = "".join("+" if s >= size // 2 else "-" for s in symbols)
+    plus, minus = signs.count("+"), signs.count("-")
+    if not plus or not minus:
+        p_runs = 2 / 2**n
+    else:
+        runs = len(re.findall(r"\++|-+", signs))
+        expected = 2 * plus * minus / n + 1
+        variance = 2 * plus * minus * (2 * plus * minus - n) / (n * n * (n - 1))
+        p_runs = 2 * (1 - normal(abs(runs - expected) / variance**0.5)) if variance > 0 else 1.0
+    mean = sum(symbols) / n
+    power = sum((s - mean) ** 2 for s in symbols)
+    if not power:
+        return 0.0
+    lag = sum((symbols[i] - mean) * (symbols[i + 1] - mean) for i in range(n - 1)) / power
+    return min(1.0, 3 * min(p_chi, p_runs, 2 * (1 - normal(abs(lag + 1 / n) * n**0.5))))
+
+
+def normal(z):
+    return (1 + math.erf(z / 2**0.5)) / 2
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sampled_from([10, 16, 26, 32, 36, 52, 58, 62, 64]).flatmap(
+    lambda size: st.tuples(st.just(size), st.lists(st.integers(0, size - 1), min_size=20, max_size=90))))
+def test_battery_equals_its_definition(drawn):
+    size, symbols = drawn
+    assert scan.randomness(symbols, size) == pytest.approx(plain_p(symbols, size), abs=1e-9)
+
+
+def test_level_is_shared_as_defined():
+    """Step-up by its definition: as many runs are cleared as have weighted p-values below their line."""
+    draw = random.Random(11)
+    for _ in range(30):
+        words = ["".join(draw.choice("aaeeinrst" + LOWER * draw.randrange(2)) for _ in range(draw.randrange(20, 40))) for _ in range(8)]
+        words += ["".join(draw.choice(LOWER + UPPER + DIGITS) for _ in range(draw.randrange(20, 40))) for _ in range(3)]
+        text = " ".join(words)
+        runs = [scan._encoded(w) for w in words]
+        mean = sum(len(s) for s, _ in runs) / len(runs)
+        weighted = [scan.randomness(s, size) * mean / (len(s) * (10 if size == 26 else 1)) for s, size in runs]
+        lines = [k for k in range(1, len(words) + 1) if sum(p <= 0.01 * k / len(words) for p in weighted) >= k]
+        line = 0.01 * max(lines, default=0) / len(words)
+        want = [w for w, p in zip(words, weighted) if p > line]
+        assert sorted(text[a:b] for _, a, b in scan.random_spans(text, [])) == sorted(want)
+
+
+def test_nothing_is_reported_in_the_given_texts(spark):
+    """The given documents hold no random keys but those of the patterns."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    spans = scan.scan(docs).selectExpr("inline(spans)")
+    assert spans.filter("kind = 'random'").count() == 0 and spans.count() > 0
