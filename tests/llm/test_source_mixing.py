@@ -57,7 +57,30 @@ def test_exponent_for_entropy(totals):
     wanted = (entropy(sizes, 0) + entropy(sizes, 1)) / 2
     found = mixing.temper(totals, entropy=wanted)
     assert entropy(sizes, found) == pytest.approx(wanted, abs=1e-6)
-    assert mixing.temper(totals, entropy=0.0) == 1.0  # flatter than as it is, never less
+    with pytest.raises(ValueError, match="no exponent"):
+        mixing.temper(totals, entropy=0.0)
+    assert mixing.temper(totals.filter("source = 'big'"), entropy=0.0) == 0.0
+    assert mixing.temper(totals, entropy=9.0) == 0.0
+
+
+def test_entropy_below_that_of_the_shares(docs, totals):
+    sizes = [t for _, t in plain_totals(sample()).values() if t]
+    wanted = entropy(sizes, 1) / 2
+    found = mixing.temper(totals, entropy=wanted)
+    assert found > 1 and entropy(sizes, found) == pytest.approx(wanted, abs=1e-6)
+    weights = {r.source: r.weight for r in mixing.plan(totals, found, 5000).collect() if r.weight}
+    assert -sum(w * math.log(w) for w in weights.values()) == pytest.approx(wanted, abs=1e-6)
+    rows = mixing.mix(docs, keys=["doc_id", "text"], entropy=wanted, budget_tokens=5000).collect()
+    used = sum(len((r.text or "").split()) for r in rows)
+    assert 5000 - 30 * len(weights) < used <= 5000
+
+
+def test_rows_of_one_id_are_taken_one_by_one(spark):
+    """Rows without an id, or with the same, differ by their content and fill a budget one by one."""
+    rows = [(None if i % 2 else 7, "a", f"{i} " + "w " * 9) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    for mixed in (mixing.mix, mixing.mix_whole_rows):
+        assert mixed(docs, keys=["doc_id", "text"], max_repeats=1.0, budget_tokens=500).count() == 50
 
 
 @pytest.mark.parametrize("arguments", [{}, {"entropy": 1.0, "max_repeats": 2.0}, {"max_repeats": 0.5}])

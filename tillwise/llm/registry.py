@@ -14,6 +14,7 @@ from tillwise.llm import (
     byte_bpe, chat_format, decontamination, hard_negatives, hilbert_ann, language_id, licences, lm_scoring, pca_dedup, secret_scan, simhash_dedup,
     source_mixing, spelling,
 )
+from tillwise.sources.shared import store
 
 MAX_REPEATS = 2.0
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,8 +62,10 @@ def _(spark, table):
 
 @entry("op2_source_mixing")
 def _(spark, table):
-    docs = table("documents").select("doc_id", "source", source_mixing.count_tokens(F.col("text")).alias("n_tokens"))
-    return source_mixing.mix(docs, tokens=F.col("n_tokens"), keys=["doc_id"], max_repeats=MAX_REPEATS, prefix="")
+    text = F.col("text")
+    docs = store(table("documents").select("doc_id", "source", source_mixing.count_tokens(text).alias("n_tokens"), F.xxhash64(text).alias("content")), "counted")
+    mixed = source_mixing.mix(docs, tokens=F.col("n_tokens"), keys=["doc_id", "content"], max_repeats=MAX_REPEATS, prefix="")
+    return mixed.drop("content")
 
 
 @entry("op3_pca_tiled_dedup")

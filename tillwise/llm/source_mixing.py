@@ -2,7 +2,8 @@
 
 Weights are the sources' token shares to the power of an exponent, normalised. The exponent is bisected
 between 0 (all sources equal) and 1 (as they are) until the weights have the wanted entropy, or until no
-source is repeated more often than allowed; the largest such exponent-side answer is taken. One pass over the
+source is repeated more often than allowed; the largest such exponent-side answer is taken. An entropy below
+that of the shares needs an exponent above 1, up to ``_SHARPEST``; one that none of them reaches is an error. One pass over the
 source table evaluates the ends of the next ``_HALVINGS`` halvings together, so the table never leaves Spark.
 
 A source's budget is its weight times the total. It is filled block by block: a block is the source's rows in
@@ -30,6 +31,7 @@ from tillwise.sources.shared import store
 
 _HALVINGS = 5
 _ROUNDS = 8
+_SHARPEST = 64
 _LEAST_SHARD = 256
 
 
@@ -45,7 +47,7 @@ def source_totals(docs: DataFrame, source_col: str, tokens: Column) -> DataFrame
 
 
 def temper(totals: DataFrame, *, entropy: float | None = None, max_repeats: float | None = None) -> float:
-    """Exponent in [0, 1] nearest to 0 that still allows what is asked for.
+    """Exponent nearest to 0 that still allows what is asked for.
 
     ``entropy`` (nats): the flattest mix wanted has this entropy; entropy falls as the exponent grows.
     ``max_repeats``: with the largest source taken once, no source is taken more often than this.
@@ -55,10 +57,10 @@ def temper(totals: DataFrame, *, entropy: float | None = None, max_repeats: floa
     if max_repeats is not None and max_repeats < 1:
         raise ValueError("a source is taken once at least")
     filled = totals.filter("tokens > 0").withColumn("s", F.col("tokens").cast("double"))
-    ends = filled.agg(F.max("s").alias("most"), F.min("s").alias("least"), F.sum("s").alias("all")).first()
+    ends = filled.agg(F.max("s").alias("most"), F.min("s").alias("least")).first()
     if ends.most is None:
         return 1.0
-    share = F.col("s") / ends.all
+    share = F.col("s") / ends.most  # the largest stays 1 to any power
 
     def holds(exponents: list[float]) -> list[bool]:
         if max_repeats is not None:
@@ -68,9 +70,15 @@ def temper(totals: DataFrame, *, entropy: float | None = None, max_repeats: floa
         # entropy of p^x / z is ln z - x * sum(p^x ln p) / z
         return [math.log(row[2 * i]) - x * row[2 * i + 1] / row[2 * i] <= entropy for i, x in enumerate(exponents)]
 
-    low, high = 0.0, 1.0  # the answer lies above low; high is allowed, or nothing is
-    if holds([0.0])[0]:
+    # the answer lies above low; high is allowed
+    ends_tried = [0.0, *(2.0**k for k in range(_SHARPEST.bit_length()))] if entropy is not None else [0.0, 1.0]
+    allowed = holds(ends_tried)
+    if not any(allowed):
+        raise ValueError(f"no exponent up to {_SHARPEST} gives an entropy of {entropy}")
+    first = allowed.index(True)
+    if first == 0:
         return 0.0
+    low, high = ends_tried[first - 1: first + 1]
     for _ in range(_ROUNDS):
         steps = 2**_HALVINGS
         inner = [low + (high - low) * k / steps for k in range(1, steps)]
@@ -83,7 +91,8 @@ def temper(totals: DataFrame, *, entropy: float | None = None, max_repeats: floa
 def plan(totals: DataFrame, exponent: float, budget_tokens: float | None = None) -> DataFrame:
     """``(source, rows, tokens, weight, budget, shards)``; without a total the least repeated source is taken once."""
     s = F.when(F.col("tokens") > 0, F.col("tokens").cast("double"))
-    powered = totals.withColumn("powered", s ** F.lit(float(exponent)))
+    most = totals.agg(F.max("tokens").alias("most")).first().most or 1
+    powered = totals.withColumn("powered", (s / F.lit(float(most))) ** F.lit(float(exponent)))
     ends = powered.agg(F.sum("powered").alias("z"), F.max(s / F.col("powered")).alias("widest")).first()
     z = ends.z or 1.0
     total = float(budget_tokens) if budget_tokens is not None else (ends.widest or 0.0) * z
@@ -160,14 +169,19 @@ def realise(
     )
 
 
-def repeat_rows(docs: DataFrame, planned: DataFrame, *, source_col: str, tokens: Column, keys: list[str], seed: int = 0) -> DataFrame:
+def narrow(docs: DataFrame, *, source_col: str, tokens: Column, keys: list[str]) -> DataFrame:
+    """``(source, id, n)`` of every row, stored: tokens are counted once."""
+    return store(docs.select(docs[source_col].alias("source"), _identity(docs, keys).alias("id"), tokens.alias("n")), "counted")
+
+
+def repeat_rows(docs: DataFrame, counted: DataFrame, planned: DataFrame, *, source_col: str, keys: list[str], seed: int = 0) -> DataFrame:
     """The rows that ``realise`` takes, without places and with all columns, which are not shuffled.
 
     Only the last block of a source leaves rows out: those beyond the place of the last one that fits. That
-    place is found on narrow rows; one row per source then decides in the scan of ``docs``.
+    place is found on the ``narrow`` rows; one row per source then decides in the scan of ``docs``.
     """
     own = [docs[source_col].alias("source"), _identity(docs, keys).alias("id")]
-    last = _with_plan(docs.select(*own, tokens.alias("n")), planned).filter("rest > 0").withColumn("block", F.col("full"))
+    last = _with_plan(counted, planned).filter("rest > 0").withColumn("block", F.col("full"))
     fitting = _ordered(last, seed).filter(F.col("upto") <= F.col("rest"))
     ends = store(fitting.groupBy(F.col("source").alias("end_source")).agg(F.max("place").alias("end")), "ends")
     ended = planned.join(ends, planned["source"].eqNullSafe(ends["end_source"]), "left").drop("end_source")
@@ -195,5 +209,6 @@ def mix(
 def mix_whole_rows(docs: DataFrame, *, source_col: str = "source", tokens: Column | None = None, keys: list[str], seed: int = 0, **goal) -> DataFrame:
     """As ``mix``, without places: the rows with all their columns, repeated, for tables with long texts."""
     tokens = count_tokens(F.col("text")) if tokens is None else tokens
-    planned = mix_plan(docs, source_col=source_col, tokens=tokens, **goal)
-    return repeat_rows(docs, planned, source_col=source_col, tokens=tokens, keys=keys, seed=seed)
+    counted = narrow(docs, source_col=source_col, tokens=tokens, keys=keys)
+    planned = mix_plan(counted, source_col="source", tokens=F.col("n"), **goal)
+    return repeat_rows(docs, counted, planned, source_col=source_col, keys=keys, seed=seed)
