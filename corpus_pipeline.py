@@ -53,7 +53,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once, those of smaller sources up to ``MAX_REPEATS`` times."""
-    return source_mixing.mix_whole_rows(docs, keys=["doc_id"], max_repeats=MAX_REPEATS)
+    return source_mixing.mix_whole_rows(docs, keys=["doc_id", "text"], max_repeats=MAX_REPEATS)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
