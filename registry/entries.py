@@ -109,6 +109,13 @@ def _(t):
     return _per_batch(sinks.read_table(t.spark, path).filter(F.col("partition_time") >= F.lit(MID)))
 
 
+@entry("table_clustered", _BATCHES + " GROUP BY ALL")
+def _(t):
+    path, fact = fresh_path(t.spark), t["fact_sales"]
+    sinks.write_clustered(fact, path, ["store_code", "order_date"], files=16)
+    return _per_batch(sinks.read_table(t.spark, path, fact.schema))
+
+
 @entry("table_merge", f"""
     SELECT customer_id, CASE WHEN qty > 500 THEN 'big' ELSE 'any' END AS label, {n('orders')} FROM buyer_base""")
 def _(t):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,42 @@ def write_table(
     df.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
+def _cuts(df: DataFrame, col: str, bits: int) -> list:
+    """Least values of ``2**bits`` ranges with about as many distinct values each, without the first; NULL is in the first."""
+    ranges = df.select(F.col(col).alias("v")).filter("v is not null").distinct().repartitionByRange(2**bits, "v")
+    least = ranges.groupBy(F.spark_partition_id()).agg(F.min("v").alias("v")).collect()
+    return sorted(row.v for row in least)[1:]
+
+
+def _range_number(col: Column, cuts: list) -> Column:
+    """How many cuts are at or below the value, by halving."""
+    def below(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(col >= F.lit(cuts[middle]), below(middle + 1, high)).otherwise(below(low, middle))
+    return below(0, len(cuts))
+
+
+def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str], *, files: int, bits: int = 6) -> None:
+    """Write parquet that a lookup by any one of the ``cluster_by`` columns reads in part only.
+
+    Each column is cut into at most ``2**bits`` ranges; the bits of the range numbers are interleaved, and rows are
+    dealt out to ``files`` by ranges of that number, so a file holds a short stretch of every column. The cuts, not the
+    rows, come to the driver. ``df`` is read once per column and once to be written.
+    """
+    if not cluster_by or bits * len(cluster_by) > 62:
+        raise ValueError("name the columns, and at most 62 bits for all of them")
+    numbers = [_range_number(F.col(c), _cuts(df, c, bits)).cast("bigint") for c in cluster_by]
+    mixed = F.lit(0).cast("bigint")
+    for bit in range(bits):
+        for place, number in enumerate(numbers):
+            single = F.shiftright(number, bit).bitwiseAND(F.lit(1).cast("bigint"))
+            mixed = mixed.bitwiseOR(F.shiftleft(single, bit * len(numbers) + len(numbers) - 1 - place))
+    order = [mixed, *cluster_by]
+    df.repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
 def append_rows(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -> None:
     write_table(df, path, partition_by=partition_by, mode="append")
 
