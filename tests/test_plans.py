@@ -160,3 +160,27 @@ def test_no_task_ranks_a_whole_month(spark, one_month):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert sum(sizes) == 30_000 and max(sizes) < 3_000
+
+
+def _nodes(node):
+    yield node
+    children = node.children()
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))
+
+
+def test_ranked_rows_are_shuffled_without_cuts(one_month):
+    ranked = relational.rank_in_slices(one_month, "month", {"a": "v", "b": "w"}, ["id"])
+    ranks = [n for n in _nodes(ranked._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Window"]
+    assert len(ranks) == 2
+    for columns in (n.schema().simpleString() for n in ranks):
+        assert "array<" not in columns and "map<" not in columns
+
+
+@pytest.mark.parametrize("slices", [1, 2, 5, 64])
+def test_any_number_of_slices(one_month, slices):
+    from tillwise.functions import windows
+
+    few = one_month.filter("id < 3000")
+    got = relational.rank_in_slices(few, "month", {"a": "v"}, ["id"], slices)
+    assert seed.rows_of(got, "id", "a") == seed.rows_of(few.select("id", windows.rank_desc(["month"], "v").alias("a")))
