@@ -184,3 +184,7 @@ def test_any_number_of_slices(one_month, slices):
     few = one_month.filter("id < 3000")
     got = relational.rank_in_slices(few, "month", {"a": "v"}, ["id"], slices)
     assert seed.rows_of(got, "id", "a") == seed.rows_of(few.select("id", windows.rank_desc(["month"], "v").alias("a")))
+
+
+def test_store_months_do_not_copy_sales(skewed, history):
+    assert "Expand" not in plan(store_marts.store_months(skewed, history))
