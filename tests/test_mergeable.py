@@ -67,3 +67,24 @@ def test_nothing(spark):
     numbers = mergeable.number_values(None, none, "customer_id", "store_code")
     assert numbers.count() == 0 and mergeable.number_values(numbers, fact, "customer_id", "store_code").count() == 40
     assert mergeable.count_sets(mergeable.set_parts(none, ["store_code"], "customer_id", numbers), ["store_code"], "n").count() == 0
+
+
+def test_sets_are_or_ed_in_place(spark):
+    """Rows of a set are short and of one length, however sparse it is, and no aggregation sorts them."""
+    _, fact = sales(spark, 6)
+    numbers = mergeable.number_values(None, fact, "customer_id", "store_code")
+    parts = mergeable.set_parts(fact, ["order_date", "store_code"], "customer_id", numbers)
+    assert parts.schema["bits"].dataType.simpleString() == "bigint"
+    counted = mergeable.count_sets(parts, ["store_code"], "buyers")
+    assert "SortAggregate" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_numbers_on_both_sides_of_a_border(spark):
+    """Numbers 62 to 65, 127, 128 and beyond four bytes, the sign bit among them; a value of two parts counts once."""
+    given = [62, 63, 64, 65, 127, 128, (1 << 33) + 63, (1 << 33) + 64]
+    numbers = spark.createDataFrame([(f"C{n}", n) for n in given], "customer_id string, number bigint")
+    rows = spark.createDataFrame([("X", f"C{n}") for n in given] + [("Y", "C63")], "store_code string, customer_id string")
+    parts = mergeable.set_parts(rows, ["store_code"], "customer_id", numbers)
+    both = parts.unionByName(parts)
+    assert seed.rows_of(mergeable.count_sets(both, ["store_code"], "n"), "store_code", "n") == [("X", len(given)), ("Y", 1)]
+    assert [r.n for r in mergeable.count_sets(both, [], "n").collect()] == [len(given)]
