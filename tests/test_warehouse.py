@@ -2,6 +2,7 @@ import pytest
 import seed
 from pyspark.sql import functions as F
 
+from registry import views
 from tillwise.plans.monthly import BatchRejected, RetailWarehouse
 from tillwise.sources import tables
 from tillwise.streaming.arrivals import append_arrivals, append_sales_batch, read_fact, start_fact
@@ -199,3 +200,26 @@ def test_replayed_and_repeated_arrivals(spark, tmp_path):
     with pytest.raises(ValueError, match="without an id"):
         append_sales_batch(sales.withColumn("order_id", F.lit(None).cast("bigint")), 2, fact)
     assert read_fact(spark, fact).count() == 24
+
+
+def test_a_batch_reads_its_sources_once(spark, sources, tmp_path):
+    w = RetailWarehouse(spark, str(tmp_path))
+    w.full(sources, M[0], seed.AS_OF, with_marts=False)
+    reads = {name: spark.sparkContext.accumulator(0) for name in ("src_store", "src_customer")}
+
+    def counted(name):
+        def seen(_):
+            reads[name].add(1)
+            return True
+        return sources[name].filter(F.udf(seen, "boolean").asNondeterministic()("partition_time"))
+
+    w.batch(sources | {name: counted(name) for name in reads}, M[1], seed.AS_OF, with_marts=False)
+    assert {name: n.value for name, n in reads.items()} == {name: sources[name].count() for name in reads}
+
+
+def test_suppliers_are_dealt_out_before_they_become_batches(spark, tmp_path):
+    spark.range(40).selectExpr("id as s_suppkey", "'x' as s_name", "1 as s_nationkey", "1.5D as s_acctbal").coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    tables_of = views.RetailTables(spark, str(tmp_path))
+    for name, batches in (("src_store", 80), ("src_store_detail", len(views.YEARS))):
+        sizes = tables_of[name].groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in sizes) == 40 * batches and len(sizes) > 1, name

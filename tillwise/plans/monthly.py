@@ -163,7 +163,8 @@ class RetailWarehouse:
             raise BatchRejected(f"the batch of {day} has to come after {max(builds)}")
         before = {d: b for d, b in builds.items() if d < day}
         known = {n for b in before.values() for n in b["tables"]}
-        self._add_codes(sources["src_store"], day)
+        # a batch is read many times below: a source may be costly to derive, or hold all batches in one file
+        self._add_codes(store(one_batch(sources["src_store"], day), "src_store"), day)
         sales = upto_batch(sources["src_sales"], day)
         changed = self._changed_files(sales, day)
         unique = all(b["unique_orders"] for b in before.values()) & self._add_sales(sales, changed, day)
@@ -179,7 +180,7 @@ class RetailWarehouse:
             if dim.source == "src_sales":
                 rows, newest = self._newest_loads(sales, changed), "partition_time"
             else:
-                rows = one_batch(sources[dim.source], day)
+                rows = store(one_batch(sources[dim.source], day), dim.source)
                 _require_empty(snapshots.ambiguous_keys(rows, dim.key), f"{dim.source} repeats or lacks a key on {day}")
                 rows = rows.withColumnRenamed("partition_time", "partition_date")
             events = self._parts(name, day, before=True).drop("day")
