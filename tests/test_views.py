@@ -1,0 +1,58 @@
+"""The given tables as retail sources."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from test_plans import plan
+
+from registry import views
+
+LINE = "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double"
+HEAD = "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"
+DAY = dt.datetime(1998, 5, 4)
+
+
+@pytest.fixture(scope="module")
+def given(spark, tmp_path_factory):
+    """Prices on, near and far from half cents; keys that are null, repeated or known to one side only."""
+    path = str(tmp_path_factory.mktemp("given"))
+    prices = [0.1, 0.2, 1.005, 2.675, -1.005, -0.0, 1e-9, 0.005, 9999999999.99, 99999.995, 1.0049999999999999, None]
+    lines = [(1, 7, 3, 2.0, p) for p in prices] + [(2, 5, 10, 1.0, p) for p in prices[:3]]
+    lines += [(3, None, None, None, None), (None, 1, 1, 1.0, 1.0), (5, 1, 1, 1.0, 1.0), (6, 2, 17, 4.0, 10.0)]
+    heads = [(1, 11, DAY), (1, 9, DAY - dt.timedelta(days=40)), (2, None, None), (3, 1, DAY), (None, 1, DAY), (4, 1, DAY), (6, 4, DAY)]
+    spark.createDataFrame(lines, LINE).write.parquet(f"{path}/lineitem.parquet")
+    spark.createDataFrame(heads, HEAD).write.parquet(f"{path}/orders.parquet")
+    return path
+
+
+def test_prices_in_cents_are_those_of_the_decimal(spark, given):
+    price = F.col("l_extendedprice")
+    rows = spark.read.parquet(f"{given}/lineitem.parquet").select(price.cast("decimal(12,2)").alias("price"), views._cents(price).alias("cents")).collect()
+    assert [r["cents"] for r in rows] == [None if r["price"] is None else int(r["price"] * 100) for r in rows]
+
+
+def test_sales_equal_lines_joined_to_heads(spark, given):
+    lines = spark.read.parquet(f"{given}/lineitem.parquet").groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
+        F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast(views.PRICE).alias("total_amount"),
+        F.concat(F.lit("p"), F.min("l_partkey").cast("string"), F.lit(" ")).alias("product_id"),
+    )
+    heads = spark.read.parquet(f"{given}/orders.parquet").groupBy(F.col("o_orderkey").alias("order_id")).agg(
+        F.min("o_orderdate").cast("date").alias("order_date"), F.concat(F.lit("c"), F.min("o_custkey").cast("string")).alias("customer_id"),
+    )
+    expected = lines.join(heads, "order_id").withColumn("unit_price", F.round(F.col("total_amount") / F.col("quantity"), 2).cast(views.PRICE))
+    found = views.RetailTables(spark, given)["src_sales"]
+    assert {r["order_id"] for r in found.collect()} == {1, 2, 3, 6}
+    assert sorted(map(str, found.select(expected.columns).collect())) == sorted(map(str, expected.collect()))
+    assert found.schema["total_amount"].dataType.simpleString() == found.schema["unit_price"].dataType.simpleString() == views.PRICE
+    assert found.filter("order_id = 6").first()["total_amount"] == Decimal("10.00")
+
+
+def test_sales_are_neither_sorted_nor_joined(spark, given):
+    """One shuffle by order key; also for the count, which needs the keys only."""
+    sales = views.RetailTables(spark, given)["src_sales"]
+    for df in (sales, sales.agg(F.count(F.lit(1)))):
+        text = plan(df)
+        assert "Join" not in text and "Sort" not in text and text.count("Exchange hashpartitioning") == 1
