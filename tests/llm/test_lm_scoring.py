@@ -3,9 +3,12 @@
 import math
 import os
 import random
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +77,54 @@ def test_joined_ids_give_the_same(spark):
     same(scored(spark, rows, most_buckets=0), plain_scores(rows))
 
 
+def twice_each(draw):
+    return " ".join(f"{w} {w}" for w in (draw.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(10)))
+
+
+@pytest.mark.parametrize("text", [twice_each, lambda draw: "x y " * 10, lambda draw: "z " * 20, lambda draw: " ".join(str(draw.random()) for _ in range(19)) + " end"])
+def test_no_pair_fills_a_shard(spark, text):
+    """Words said twice, pairs and last words that are a large part of a corpus of 24 shards."""
+    draw = random.Random(3)
+    rows = [(i, text(draw), i % 3 == 0, "x", "p") for i in range(300)]
+    same(scored(spark, rows, shard_words=256), plain_scores(rows, 256))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    plan = lm.Corpus(docs, 256)
+    blocks = docs.select(F.col("doc_id").cast("string").alias("id"), F.col("text").cast("binary").alias("text"), "target").mapInArrow(lm._pack(spark.sparkContext.broadcast(plan)), lm._BLOCKS)
+    pairs = dict(blocks.groupBy("shard").agg(F.sum(F.length("pairs") / 8)).na.drop().collect())
+    assert plan.shards == 24 and sum(pairs.values()) == 6000 and max(pairs.values()) < 3 * 256
+
+
+def a_shard(n=1 << 20, blocks=3, seed=2):
+    draw = np.random.default_rng(seed)
+    pair = (np.uint64(2654435761) * draw.zipf(1.3, n).astype(np.uint64) << np.uint64(32)) | draw.integers(0, 50, n).astype(np.uint64)
+    doc = np.sort(draw.integers(0, 4000, n).astype(np.uint16))
+    cut = np.linspace(0, n, blocks + 1).astype(int)
+    rows = [lm._rows([0], [b], [None], [None], [pair[i:j].tobytes()], [doc[i:j].tobytes()]) for b, i, j in zip(range(blocks), cut, cut[1:])]
+    hot, pairs = np.unique(pair >> np.uint64(32))[:2], np.unique(pair)[:3]
+    counts = [np.arange(1.0, 1 + 2 * len(x)).reshape(-1, 2)[:, ::-1] + 2 * n for x in (hot, pairs)]
+    plan = SimpleNamespace(scale=0.4, pseudo=9.0, hot_lower=hot, hot_counts=counts[0], pairs=pairs, pair_counts=counts[1])
+    return plan, pair, doc.astype(np.int64), pa.Table.from_batches(rows)
+
+
+def test_chunks_give_the_same(monkeypatch):
+    plan, pair, doc, _ = a_shard(20_000)
+    whole = lm.differences(plan, pair, doc)
+    monkeypatch.setattr(lm, "_CHUNK", 300)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, lm._in_chunks(plan, pair, doc)))
+
+
+def test_memory_of_a_shard():
+    """A whole shard is scored in less than 120 bytes a pair."""
+    plan, _, _, table = a_shard()
+    tracemalloc.start()
+    try:
+        scored = lm._score_shard(SimpleNamespace(value=plan))((0,), table)
+        assert tracemalloc.get_traced_memory()[1] < 120 << 20
+    finally:
+        tracemalloc.stop()
+    assert scored.num_rows == 3
+
+
 def test_own_label_does_not_count(spark):
     rows = some_rows()
     for i in (100, 103, 104):

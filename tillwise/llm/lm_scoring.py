@@ -14,10 +14,13 @@ Counts are exact and grow with the corpus, and no model is ever gathered or broa
 shards by the first word of a pair and sends one packed block per shard (8 bytes of hash and 2 of document per word). A
 shard has all pairs of its words, so it counts and scores in one go and returns a sum per document and shard. The
 number of shards follows the number of words. Words more frequent than a quarter of a shard are counted beforehand
-and their pairs dealt out by both words, so that no word, however frequent, fills a shard.
+and their pairs dealt out by both words, so that no word, however frequent, fills a shard. Pairs more frequent than
+half a shard are counted beforehand as well, among words that are, and dealt out by document. A shard is scored in
+pieces of about ``_CHUNK`` pairs, cut between words.
 
 The labelled ids become a bitmap of at most ``MOST_BUCKETS`` pieces of 4 KB, which is broadcast; ids that are too many
-or too scattered for that, or no whole numbers, are joined. Texts are neither shuffled nor read more than twice.
+or too scattered for that, or no whole numbers, are joined. Texts are not shuffled, and read twice, or three times if
+there are words for such pairs.
 
 Defined cases: a null text, or one without words, has 0 words and a null score; a null id is no target; repeated rows
 are documents of their own and count as often as they occur; the first word follows a start mark; without target
@@ -31,13 +34,11 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
 ALPHA = 0.1
 SHARD_WORDS = 1 << 20
@@ -45,9 +46,11 @@ MOST_BUCKETS = 1 << 14
 _PIECE = 1 << 22
 _FLUSH = 1 << 20
 _DOCS = 1 << 15
+_CHUNK = 1 << 17
 _BLANKS = (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")
 _START = np.uint64(1)
 _LOW = np.uint64(0xFFFFFFFF)
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def pieces(text: bytes | None) -> Iterator[np.ndarray]:
@@ -80,38 +83,23 @@ def mark_targets(docs: DataFrame, target_ids: DataFrame, *, id_col: str, text_co
     if isinstance(texts.schema["id"].dataType, T.IntegralType):
         number = F.col("target_id").cast("bigint")
         parts = ids.groupBy(F.shiftright(number, 15).alias("bucket")).agg(F.bitmap_construct_agg(number.bitwiseAND(F.lit(32767))).alias("bits"))
-        rows = parts.limit(most_buckets + 1).toArrow()
-        if rows.num_rows <= most_buckets:
-            member = _membership(docs.sparkSession, rows)
-            return texts.select(F.col("id").cast("string").alias("id"), "text", member(F.coalesce(F.col("id").cast("bigint"), F.lit(-1)), F.col("id").isNull()).alias("target"))
+        if parts.limit(most_buckets + 1).count() <= most_buckets:
+            # in the JVM: another Python worker for each core would hold its memory until the query ends
+            own = F.col("id").cast("bigint")
+            at = own.bitwiseAND(F.lit(32767)).cast("int")
+            byte = F.conv(F.hex(F.substring("bits", F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+            bit = F.getbit(byte, at.bitwiseAND(F.lit(7)))
+            marked = texts.join(F.broadcast(parts), F.shiftright(own, 15) == F.col("bucket"), "left")
+            return marked.select(F.col("id").cast("string").alias("id"), "text", F.coalesce(bit == 1, F.lit(False)).alias("target"))
     marked = texts.join(ids.distinct(), F.col("id") == F.col("target_id"), "left")
     return marked.select(F.col("id").cast("string").alias("id"), "text", F.col("target_id").isNotNull().alias("target"))
 
 
-def _membership(spark, rows: pa.Table):
-    order = np.argsort(rows["bucket"].to_numpy(), kind="stable")
-    bits = [np.frombuffer(b, np.uint8) for b in rows["bits"].to_pylist()]
-    bits = np.stack([bits[i] for i in order]) if bits else np.zeros((0, 4096), np.uint8)
-    shipped = spark.sparkContext.broadcast((rows["bucket"].to_numpy()[order], bits))
-
-    @pandas_udf("boolean")
-    def member(number: pd.Series, missing: pd.Series) -> pd.Series:
-        buckets, table = shipped.value
-        own = number.to_numpy(np.int64)
-        if not len(buckets):
-            return pd.Series(np.zeros(len(own), bool))
-        at = np.minimum(np.searchsorted(buckets, own >> 15), len(buckets) - 1)
-        bit = own & 32767
-        return pd.Series((buckets[at] == own >> 15) & ((table[at, bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(bool) & ~missing.to_numpy(bool))
-
-    return member
-
-
 # --- counting --------------------------------------------------------------------------------------
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often each word comes first in a pair, in all texts and in the target."""
+    """How often each word comes first in a pair, in all texts and in the target, and how much more often it comes second."""
     held: list[np.ndarray] = []
     first: list[np.ndarray] = []
     size = 0
@@ -119,8 +107,11 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def settle() -> pa.RecordBatch:
         words, at = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_inverse=True)
         weight = np.concatenate(first) if first else np.zeros(0)
-        sums = [np.bincount(at, w, minlength=len(words)).astype(np.int64) for w in ((weight > 0), (weight > 1))]
-        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), *map(pa.array, sums)], ["word", "n", "n_target"])
+        n, n_target = (np.bincount(at, w, minlength=len(words)).astype(np.int64) for w in ((weight > 0), (weight > 1)))
+        second = np.ones(len(weight))
+        second[np.cumsum([0, *map(len, held)])[:-1]] = 0  # the piece before has it, or it is the start mark
+        n_last = np.bincount(at, second, minlength=len(words)).astype(np.int64) - n
+        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), *map(pa.array, (n, n_target, n_last))], ["word", "n", "n_target", "n_last"])
 
     for batch in batches:
         for text, target in zip(batch.column(0), batch.column(1).to_pylist()):
@@ -135,14 +126,66 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield settle()
 
 
+def _find(among: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of values among sorted ones, of which there are some, and which values are there."""
+    at = np.minimum(np.searchsorted(among, values), len(among) - 1)
+    return at, among[at] == values
+
+
+def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return (first << np.uint64(32)) | (second & _LOW)
+
+
+def _count_pairs(firsts: np.ndarray, seconds: np.ndarray):
+    """How often each pair of these words comes, in all texts and in the target."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, found, size, kept = [], [], 0, 0
+
+        def choose() -> int:
+            first, second = np.concatenate([h[:-1] for h, _ in held]), np.concatenate([h[1:] for h, _ in held])
+            target = np.repeat([t for _, t in held], [len(h) - 1 for h, _ in held])
+            held.clear()
+            own = np.flatnonzero(_find(firsts, first)[1])
+            own = own[_find(seconds, second[own])[1]]
+            found.append((_pair(first[own], second[own]), target[own]))
+            return len(own)
+
+        def settle() -> pa.RecordBatch:
+            pairs, at = np.unique(np.concatenate([p for p, _ in found]), return_inverse=True)
+            n_target = np.bincount(at, np.concatenate([t for _, t in found]), minlength=len(pairs)).astype(np.int64)
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(np.bincount(at, minlength=len(pairs))), pa.array(n_target)], ["pair", "n", "n_target"])
+
+        for batch in batches:
+            for text, target in zip(batch.column(0), batch.column(1).to_pylist()):
+                for hashes in pieces(text.as_py()):
+                    held.append((hashes, bool(target)))
+                    size += len(hashes)
+                    if size > _FLUSH:
+                        kept, size = kept + choose(), 0
+                        if kept > _FLUSH:
+                            yield settle()
+                            kept = 0
+        if held:
+            choose()
+        if found:
+            yield settle()
+
+    return run
+
+
 class Corpus:
-    """Totals of the corpus, and the counts of words that are too frequent for one shard."""
+    """Totals of the corpus, and the counts of words and pairs that are too frequent for one shard."""
 
     def __init__(self, marked: DataFrame, shard_words: int):
-        counted = marked.select("text", "target").mapInArrow(_count_words, "word bigint, n bigint, n_target bigint")
-        words = counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+        most = shard_words // 2
+        texts = marked.select("text", "target")
+        counted = texts.mapInArrow(_count_words, "word bigint, n bigint, n_target bigint, n_last bigint")
+        words = counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "n_target", "n_last")])
         frequent = F.collect_list(F.when(F.col("n") > shard_words // 4, F.struct("word", "n", "n_target")))
-        row = words.agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n"), F.sum("n_target").alias("n_target"), frequent.alias("hot")).first()
+        second = F.collect_list(F.when(F.col("n") + F.col("n_last") > most, F.col("word")))
+        row = words.agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n"), F.sum("n_target").alias("n_target"), frequent.alias("hot"), second.alias("second")).first()
         self.pseudo = ALPHA * max(row["words"], 1)
         total, target = row["n"] or 0, row["n_target"] or 0
         self.scale = target / total if target else 1.0
@@ -153,12 +196,25 @@ class Corpus:
         lower = sorted((w & 0xFFFFFFFF, n, t) for w, n, t in hot)
         self.hot_lower = np.array([w for w, *_ in lower], np.uint64)
         self.hot_counts = np.array([c for _, *c in lower], np.float64).reshape(-1, 2)
-
-    def shard_of(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        # a pair is at most as frequent as either word
+        firsts, seconds = np.array([w for w, n, _ in hot if n > most], np.uint64), np.array(sorted(w % 2**64 for w in row["second"]), np.uint64)
+        pairs = []
+        if len(firsts) and len(seconds):
+            counted = texts.mapInArrow(_count_pairs(firsts, seconds), "pair bigint, n bigint, n_target bigint").groupBy("pair")
+            pairs = sorted((r["pair"] % 2**64, r["n"], r["n_target"]) for r in counted.agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).filter(F.col("n") > most).collect())
+        self.pairs = np.array([p for p, *_ in pairs], np.uint64)
+        self.pair_counts = np.array([c for _, *c in pairs], np.float64).reshape(-1, 2)
+
+    def shard_of(self, first: np.ndarray, second: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Shards of pairs; doc tells the documents of the whole table apart."""
         key = first
         if len(self.hot):
-            at = np.minimum(np.searchsorted(self.hot, first), len(self.hot) - 1)
-            key = np.where(self.hot[at] == first, (first ^ second) * np.uint64(0x9E3779B97F4A7C15), first)
+            hot = _find(self.hot, first)[1]
+            key = np.where(hot, ((first * _GOLDEN) ^ second) * _GOLDEN, first)  # unlike first ^ second, not the same for all repeated words
+            if len(self.pairs):
+                own = np.flatnonzero(hot)
+                own = own[_find(self.pairs, _pair(first[own], second[own]))[1]]
+                key[own] = doc[own] * _GOLDEN
         return ((key >> np.uint64(32)) % np.uint64(self.shards)).astype(np.int64)
 
 
@@ -181,9 +237,9 @@ def _pack(corpus):
             second = np.concatenate([h[1:] for h, _ in held])
             docs = np.concatenate([np.full(len(h) - 1, d, np.uint16) for h, d in held])
             held.clear()
-            shard = plan.shard_of(first, second)
+            shard = plan.shard_of(first, second, np.uint64((block << 15) % 2**64) + (docs >> 1))
             order = np.argsort(shard, kind="stable")
-            pair = ((first << np.uint64(32)) | (second & _LOW))[order]
+            pair = _pair(first, second)[order]
             docs, shard = docs[order], shard[order]
             starts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
             ends = np.r_[starts[1:], len(shard)]
@@ -236,11 +292,15 @@ def _sums(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[np.nda
 
 
 def differences(plan, pair: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(documents, loss differences) of the pairs of a whole shard; an odd document is target."""
+    """(documents, loss differences) of the pairs of a whole shard, or of some of its words; an odd document is target."""
     order = np.lexsort((doc, pair))
     pair, doc = pair[order], doc[order]
     one, target = np.ones(len(pair)), (doc & 1).astype(float)
     which, (n, n_target) = _sums(pair, one, target)
+    n, n_target = n[which], n_target[which]
+    if len(plan.pairs):  # counted over all shards; a document has all of its own in one
+        at, hot = _find(plan.pairs, pair)
+        n, n_target = np.where(hot, plan.pair_counts[at, 0], n), np.where(hot, plan.pair_counts[at, 1], n_target)
     own_key = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1])])
     own = np.repeat(np.diff(np.r_[own_key, len(pair)]), np.diff(np.r_[own_key, len(pair)])).astype(float)
 
@@ -253,34 +313,53 @@ def differences(plan, pair: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np
     own_word = np.empty(len(pair))
     own_word[by_doc] = np.repeat(runs, runs)
     if len(plan.hot_lower):  # counted over all shards; a document's own share of them is too small to matter
-        at = np.minimum(np.searchsorted(plan.hot_lower, word), len(plan.hot_lower) - 1)
-        hot = plan.hot_lower[at] == word
+        at, hot = _find(plan.hot_lower, word)
         m, m_target = np.where(hot, plan.hot_counts[at, 0], m), np.where(hot, plan.hot_counts[at, 1], m_target)
         own_word[hot] = 0
 
-    background = plan.scale * (n[which] - own) + ALPHA
-    wanted = n_target[which] - own * target + ALPHA
+    background = plan.scale * (n - own) + ALPHA
+    wanted = n_target - own * target + ALPHA
     of_background = plan.scale * (m - own_word) + plan.pseudo
     of_wanted = m_target - own_word * target + plan.pseudo
     return doc, np.log(background * of_wanted / (wanted * of_background))
 
 
+def _in_chunks(plan, pair: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``differences`` of a whole shard, of some words after the other."""
+    chunks = min(math.ceil(len(pair) / _CHUNK), 1 << 16)
+    chunk = (((pair >> np.uint64(32)) * np.uint64(chunks)) >> np.uint64(32)).astype(np.uint16)
+    order, ends = np.argsort(chunk, kind="stable"), np.cumsum(np.bincount(chunk, minlength=chunks))
+    docs, losses = np.empty_like(doc), np.empty(len(pair))
+    for a, b in zip([0, *ends[:-1]], ends):
+        if a < b:
+            docs[a:b], losses[a:b] = differences(plan, pair[order[a:b]], doc[order[a:b]])
+    return docs, losses
+
+
 _PARTS = "block bigint, ids array<string>, words array<bigint>, docs binary, sums binary"
 
 
 def _score_shard(corpus):
     def run(key, table):
-        blocks, pairs, docs = table.column("block").to_pylist(), table.column("pairs").to_pylist(), table.column("docs").to_pylist()
+        blocks = table.column("block").to_pylist()
         number = {b: i for i, b in enumerate(sorted(set(blocks)))}
-        filled = [i for i, p in enumerate(pairs) if p is not None]
-        out = [(b, ids, words, None, None) for b, ids, words in zip(blocks, table.column("ids").to_pylist(), table.column("words").to_pylist()) if ids is not None]
+        out = [(b, ids.as_py(), words.as_py(), None, None) for b, ids, words in zip(blocks, table.column("ids"), table.column("words")) if ids.is_valid]
+        filled = [(b, p.as_buffer(), d.as_buffer()) for b, p, d in zip(blocks, table.column("pairs"), table.column("docs")) if p.is_valid]
         if filled:
-            pair = np.concatenate([np.frombuffer(pairs[i], np.uint64) for i in filled])
-            doc = np.concatenate([np.frombuffer(docs[i], np.uint16).astype(np.int64) + number[blocks[i]] * 2 * _DOCS for i in filled])
-            doc, loss = differences(corpus.value, pair, doc)
-            order = np.argsort(doc >> 1, kind="stable")
-            _, (sums,) = _sums(doc[order] >> 1, loss[order])
-            doc = np.unique(doc >> 1)
+            pair = np.concatenate([np.frombuffer(p, np.uint64) for _, p, _ in filled])
+            doc, at = np.empty(len(pair), np.int64), 0
+            for b, _, d in filled:
+                own = np.frombuffer(d, np.uint16)
+                doc[at : at + len(own)] = own
+                doc[at : at + len(own)] += number[b] * 2 * _DOCS
+                at += len(own)
+            doc, loss = _in_chunks(corpus.value, pair, doc)
+            del pair
+            doc >>= 1
+            order = np.argsort(doc, kind="stable")
+            doc = doc[order]
+            _, (sums,) = _sums(doc, loss[order])
+            doc = doc[np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])]
             at = np.searchsorted(doc // _DOCS, np.arange(len(number) + 1))
             for b, i in number.items():
                 if at[i] < at[i + 1]:
